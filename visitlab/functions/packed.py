@@ -45,34 +45,43 @@ PROFILE_FIELDS = [
 DELIMITER = "|"
 
 
-def _c(x) -> Column:
-    return F.col(x) if isinstance(x, str) else x
-
-
-def pack(pairs: list[tuple[str, Column]], delimiter: str = DELIMITER) -> Column:
-    """Build ``k=v`` text; a null value is written as an empty value."""
-    items = [F.concat(F.lit(k + "="), F.coalesce(_c(v).cast("string"), F.lit("")))
-             for k, v in pairs]
-    return F.concat_ws(delimiter, *items)
-
-
-def packed_field(text, key: str, delimiter: str = DELIMITER) -> Column:
-    """Value of ``key``; first well-formed match wins. A part counts only when
-    it has exactly one ``=`` and a non-empty value, so an empty value reads as
-    null."""
-    parts = F.transform(F.split(_c(text), re.escape(delimiter)), lambda p: F.split(p, "="))
-    hits = F.filter(parts, lambda p: (F.size(p) == 2)
-                    & (F.try_element_at(p, F.lit(1)) == F.lit(key))
-                    & (F.try_element_at(p, F.lit(2)) != F.lit("")))
-    return F.try_element_at(F.try_element_at(hits, F.lit(1)), F.lit(2))
-
-
-def set_packed_field(text, key: str, value, delimiter: str = DELIMITER) -> Column:
-    """Replace the value of every part whose key is ``key``; order and other
-    parts (empty values included) are kept; an absent key is not added."""
-    value = F.coalesce(_c(value).cast("string"), F.lit(""))
-    parts = F.split(_c(text), re.escape(delimiter))
-    rewritten = F.transform(parts, lambda p: F.when(
-        F.try_element_at(F.split(p, "=", 2), F.lit(1)) == F.lit(key),
-        F.concat(F.lit(key + "="), value)).otherwise(p))
-    return F.array_join(rewritten, delimiter)
+def _lit(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def pack_sql(pairs: list[tuple[str, str]], delimiter: str = DELIMITER) -> str:
+    """``k=v`` text from (field name, SQL expression) pairs; a null value is
+    written as an empty value."""
+    items = [f"concat({_lit(k + '=')}, coalesce(CAST({v} AS STRING), ''))" for k, v in pairs]
+    return f"concat_ws({_lit(delimiter)}, {', '.join(items)})"
+
+
+def packed_field_sql(text: str, key: str, delimiter: str = DELIMITER) -> str:
+    """Value of ``key``; the first well-formed match wins. A part counts only
+    when it has exactly one ``=`` and a non-empty value, so an empty value
+    reads as null."""
+    parts = f"transform(split({text}, {_lit(re.escape(delimiter))}), p -> split(p, '='))"
+    hits = (f"filter({parts}, p -> size(p) = 2 AND try_element_at(p, 1) = {_lit(key)}"
+            f" AND try_element_at(p, 2) <> '')")
+    return f"try_element_at(try_element_at({hits}, 1), 2)"
+
+
+def set_packed_field_sql(text: str, key: str, value: str, delimiter: str = DELIMITER) -> str:
+    """Replace the value of every part whose key is ``key``; order and the
+    other parts (empty values included) are kept; an absent key is not added."""
+    v = f"coalesce(CAST({value} AS STRING), '')"
+    return (f"array_join(transform(split({text}, {_lit(re.escape(delimiter))}),"
+            f" p -> CASE WHEN try_element_at(split(p, '=', 2), 1) = {_lit(key)}"
+            f" THEN concat({_lit(key + '=')}, {v}) ELSE p END), {_lit(delimiter)})")
+
+
+def pack(pairs: list[tuple[str, str]], delimiter: str = DELIMITER) -> Column:
+    return F.expr(pack_sql(pairs, delimiter))
+
+
+def packed_field(text: str, key: str, delimiter: str = DELIMITER) -> Column:
+    return F.expr(packed_field_sql(text, key, delimiter))
+
+
+def set_packed_field(text: str, key: str, value: str, delimiter: str = DELIMITER) -> Column:
+    return F.expr(set_packed_field_sql(text, key, value, delimiter))

@@ -4,6 +4,9 @@ Action times are ``yyyy-MM-dd H:mm:ss`` text whose hour may be a single
 digit (``3:30:57``). Pattern ``H`` accepts one or two digits; ``HH`` would
 reject the short form. ``try_to_timestamp`` turns unparseable text into null
 instead of failing the job.
+
+Helpers take a column name (or SQL expression text); ``*_sql`` variants
+return the expression text.
 """
 
 from __future__ import annotations
@@ -19,59 +22,100 @@ DATEKEY_FORMAT = "yyyyMMdd"
 MINUTE_KEY_FORMAT = "yyyyMMddHHmm"
 
 
-def _c(x) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+def parse_time_sql(text: str) -> str:
+    return f"try_to_timestamp({text}, '{ACTION_TIME_PARSE}')"
+
 
+def format_time_sql(ts: str) -> str:
+    return f"date_format({ts}, '{TIME_FORMAT}')"
 
-def parse_time(text) -> Column:
-    """Action-time text -> timestamp; null on bad text."""
-    return F.try_to_timestamp(_c(text), F.lit(ACTION_TIME_PARSE))
 
+def format_date_sql(ts: str) -> str:
+    return f"date_format({ts}, '{DATE_FORMAT}')"
 
-def format_time(ts) -> Column:
-    return F.date_format(_c(ts), TIME_FORMAT)
 
+def date_key_sql(ts: str) -> str:
+    return f"date_format({ts}, '{DATEKEY_FORMAT}')"
 
-def format_date(ts) -> Column:
-    return F.date_format(_c(ts), DATE_FORMAT)
 
+def parse_date_key_sql(text: str) -> str:
+    return f"to_date(try_to_timestamp({text}, '{DATEKEY_FORMAT}'))"
 
-def date_key(ts) -> Column:
-    return F.date_format(_c(ts), DATEKEY_FORMAT)
 
+def minute_key_sql(ts: str) -> str:
+    return f"date_format({ts}, '{MINUTE_KEY_FORMAT}')"
 
-def parse_date_key(text) -> Column:
-    return F.to_date(F.try_to_timestamp(_c(text), F.lit(DATEKEY_FORMAT)))
 
+def date_hour_sql(text: str) -> str:
+    """``date_hour`` key cut from the text, so the hour keeps its width."""
+    return (f"concat_ws('_', try_element_at(split({text}, ' '), 1),"
+            f" try_element_at(split(try_element_at(split({text}, ' '), 2), ':'), 1))")
 
-def minute_key(ts) -> Column:
-    return F.date_format(_c(ts), MINUTE_KEY_FORMAT)
 
+def is_before_sql(t1: str, t2: str) -> str:
+    return f"({t1} < {t2})"
 
-def date_hour(text) -> Column:
-    """``date_hour`` key taken from the text, so the hour keeps its width."""
-    parts = F.split(_c(text), " ")
-    clock = F.try_element_at(parts, F.lit(2))
-    return F.concat_ws("_", F.try_element_at(parts, F.lit(1)),
-                       F.try_element_at(F.split(clock, ":"), F.lit(1)))
 
+def is_after_sql(t1: str, t2: str) -> str:
+    return f"({t1} > {t2})"
 
-def is_before(t1, t2) -> Column:
-    return _c(t1) < _c(t2)
 
+def seconds_between_sql(t1: str, t2: str) -> str:
+    """Whole seconds t1 - t2."""
+    return f"(unix_timestamp({t1}) - unix_timestamp({t2}))"
 
-def is_after(t1, t2) -> Column:
-    return _c(t1) > _c(t2)
 
+def today_sql(as_of: str | None = None) -> str:
+    return f"DATE'{as_of}'" if as_of else "current_date()"
 
-def seconds_between(t1, t2) -> Column:
-    """Whole seconds t1 - t2."""
-    return F.unix_timestamp(_c(t1)) - F.unix_timestamp(_c(t2))
+
+def yesterday_sql(as_of: str | None = None) -> str:
+    return f"date_sub({today_sql(as_of)}, 1)"
+
+
+def parse_time(text: str) -> Column:
+    return F.expr(parse_time_sql(text))
+
+
+def format_time(ts: str) -> Column:
+    return F.expr(format_time_sql(ts))
+
+
+def format_date(ts: str) -> Column:
+    return F.expr(format_date_sql(ts))
+
+
+def date_key(ts: str) -> Column:
+    return F.expr(date_key_sql(ts))
+
+
+def parse_date_key(text: str) -> Column:
+    return F.expr(parse_date_key_sql(text))
+
+
+def minute_key(ts: str) -> Column:
+    return F.expr(minute_key_sql(ts))
+
+
+def date_hour(text: str) -> Column:
+    return F.expr(date_hour_sql(text))
+
+
+def is_before(t1: str, t2: str) -> Column:
+    return F.expr(is_before_sql(t1, t2))
+
+
+def is_after(t1: str, t2: str) -> Column:
+    return F.expr(is_after_sql(t1, t2))
+
+
+def seconds_between(t1: str, t2: str) -> Column:
+    return F.expr(seconds_between_sql(t1, t2))
 
 
 def today(as_of: str | None = None) -> Column:
-    return F.to_date(F.lit(as_of)) if as_of else F.current_date()
+    return F.expr(today_sql(as_of))
 
 
 def yesterday(as_of: str | None = None) -> Column:
-    return F.date_sub(today(as_of), 1)
+    return F.expr(yesterday_sql(as_of))

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlab.functions.text import ratio_half_up
+from visitlab.functions.text import ratio_half_up_sql, sql_str
 
 
 @dataclass(frozen=True)
@@ -22,12 +22,12 @@ class Bucket:
     hi: int | None        # inclusive; None: open ended
     open_ended: bool = False
 
-    def condition(self, x: Column) -> Column:
+    def condition_sql(self, x: str) -> str | None:
         if self.open_ended:
-            return x > self.lo
+            return f"{x} > {self.lo}"
         if self.lo is None:
-            return F.lit(False)
-        return (x >= self.lo) & (x <= self.hi)
+            return None
+        return f"{x} BETWEEN {self.lo} AND {self.hi}"
 
 
 # Fixed bucket edges of the original analysis (first matching bucket wins,
@@ -52,20 +52,19 @@ VISIT_BUCKETS_CONTIGUOUS = [
 ]
 
 
-def bucket_label(x: Column, buckets: list[Bucket]) -> Column:
+def bucket_label_sql(x: str, buckets: list[Bucket]) -> str:
     """Label of the first bucket containing x; null when none does."""
-    expr = None
-    for b in buckets:
-        expr = F.when(b.condition(x), b.label) if expr is None else expr.when(b.condition(x), b.label)
-    return expr
+    whens = [f"WHEN {b.condition_sql(x)} THEN '{b.label}'" for b in buckets
+             if b.condition_sql(x) is not None]
+    return "CASE " + " ".join(whens) + " END"
 
 
 def session_buckets(sessions: DataFrame, visit_buckets: list[Bucket] = VISIT_BUCKETS,
                     step_buckets: list[Bucket] = STEP_BUCKETS) -> DataFrame:
-    return sessions.select(
+    return sessions.selectExpr(
         "session_id", "visit_length", "step_length",
-        bucket_label(F.col("visit_length"), visit_buckets).alias("visit_bucket"),
-        bucket_label(F.col("step_length"), step_buckets).alias("step_bucket"))
+        bucket_label_sql("visit_length", visit_buckets) + " AS visit_bucket",
+        bucket_label_sql("step_length", step_buckets) + " AS step_bucket")
 
 
 def length_stats(sessions: DataFrame, task_id: str,
@@ -73,21 +72,18 @@ def length_stats(sessions: DataFrame, task_id: str,
                  step_buckets: list[Bucket] = STEP_BUCKETS) -> DataFrame:
     """One row: session count and the share of sessions per bucket, rounded
     half-up to two places. No sessions gives count 0 and ratios 0.0."""
-    visit = F.col("visit_length")
-    step = F.col("step_length")
-    counts = [F.count(F.lit(1)).alias("session_count")]
-    # Each session is counted in its first matching bucket only.
-    visit_label = bucket_label(visit, visit_buckets)
-    step_label = bucket_label(step, step_buckets)
-    for b in visit_buckets:
-        counts.append(F.count_if(visit_label == b.label).alias(f"v_{b.label}"))
-    for b in step_buckets:
-        counts.append(F.count_if(step_label == b.label).alias(f"s_{b.label}"))
-    agg = sessions.agg(*counts)
-    n = F.col("session_count")
-    cols = [F.lit(task_id).alias("task_id"), n]
-    cols += [ratio_half_up(F.col(f"v_{b.label}"), n).alias(f"visit_length_{b.label}_ratio")
-             for b in visit_buckets]
-    cols += [ratio_half_up(F.col(f"s_{b.label}"), n).alias(f"step_length_{b.label}_ratio")
-             for b in step_buckets]
-    return agg.select(*cols)
+    # Each session is counted in its first matching bucket only; the labels
+    # are computed once per session and the counts compare them.
+    labelled = sessions.selectExpr(
+        bucket_label_sql("visit_length", visit_buckets) + " AS vb",
+        bucket_label_sql("step_length", step_buckets) + " AS sb")
+    counts = ["count(1) AS session_count"]
+    counts += [f"count_if(vb = '{b.label}') AS v_{b.label}" for b in visit_buckets]
+    counts += [f"count_if(sb = '{b.label}') AS s_{b.label}" for b in step_buckets]
+    agg = labelled.agg(*[F.expr(c) for c in counts])
+    cols = [f"{sql_str(task_id)} AS task_id", "session_count"]
+    cols += [ratio_half_up_sql(f"v_{b.label}", "session_count")
+             + f" AS visit_length_{b.label}_ratio" for b in visit_buckets]
+    cols += [ratio_half_up_sql(f"s_{b.label}", "session_count")
+             + f" AS step_length_{b.label}_ratio" for b in step_buckets]
+    return agg.selectExpr(*cols)

@@ -9,22 +9,10 @@ kinds; categories seen in any kind appear, missing kinds count 0.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from visitlab.functions.text import split_ids
-
-_PAIR = T.ArrayType(T.StructType([
-    T.StructField("kind", T.StringType()),
-    T.StructField("category_id", T.LongType()),
-]))
-
-
-def _tagged(kind: str, ids: Column) -> Column:
-    return F.transform(ids, lambda i: F.struct(F.lit(kind).alias("kind"),
-                                               i.alias("category_id")))
 
+from visitlab.functions.text import split_ids_sql, sql_str
 
 def category_events(actions: DataFrame) -> DataFrame:
     """One row per (action, category touched): ``session_id, kind, category_id``.
@@ -32,31 +20,30 @@ def category_events(actions: DataFrame) -> DataFrame:
     Clicks carry one id (``-1`` = no click); order and pay lists are split,
     repeated ids count each time, unparseable parts are dropped.
     """
-    click = F.when(F.col("click_category_id") != -1,
-                   F.array(F.col("click_category_id"))).otherwise(F.array().cast("array<bigint>"))
-    order = F.coalesce(split_ids("order_category_ids"), F.array().cast("array<bigint>"))
-    pay = F.coalesce(split_ids("pay_category_ids"), F.array().cast("array<bigint>"))
-    tagged = F.concat(_tagged("click", click), _tagged("order", order), _tagged("pay", pay))
-    return (actions.select("session_id", F.explode(tagged).alias("t"))
-            .select("session_id", F.col("t.kind").alias("kind"),
-                    F.col("t.category_id").alias("category_id")))
+    def tagged(kind: str, ids: str) -> str:
+        return (f"transform(coalesce({ids}, CAST(array() AS ARRAY<BIGINT>)),"
+                f" i -> named_struct('kind', '{kind}', 'category_id', i))")
+    click = ("CASE WHEN click_category_id <> -1 THEN array(click_category_id)"
+             " ELSE CAST(array() AS ARRAY<BIGINT>) END")
+    pairs = (f"concat({tagged('click', click)}, {tagged('order', split_ids_sql('order_category_ids'))},"
+             f" {tagged('pay', split_ids_sql('pay_category_ids'))})")
+    return (actions.selectExpr("session_id", f"explode({pairs}) AS t")
+            .selectExpr("session_id", "t.kind AS kind", "t.category_id AS category_id"))
 
 
 def category_full_count(actions: DataFrame) -> DataFrame:
     """(category_id, click_count, order_count, pay_count) for every category
     seen in a click, order or payment."""
-    ev = category_events(actions)
-    kind = F.col("kind")
-    return ev.groupBy("category_id").agg(
-        F.count_if(kind == "click").alias("click_count"),
-        F.count_if(kind == "order").alias("order_count"),
-        F.count_if(kind == "pay").alias("pay_count"))
+    return category_events(actions).groupBy("category_id").agg(
+        F.expr("count_if(kind = 'click') AS click_count"),
+        F.expr("count_if(kind = 'order') AS order_count"),
+        F.expr("count_if(kind = 'pay') AS pay_count"))
 
 
 def category_kind_count(actions: DataFrame, kind: str) -> DataFrame:
     """(category_id, <kind>_count) for categories with at least one ``kind``."""
-    ev = category_events(actions).where(F.col("kind") == kind)
-    return ev.groupBy("category_id").agg(F.count(F.lit(1)).alias(f"{kind}_count"))
+    ev = category_events(actions).where(f"kind = '{kind}'")
+    return ev.groupBy("category_id").agg(F.expr(f"count(1) AS {kind}_count"))
 
 
 def category_ids(actions: DataFrame) -> DataFrame:
@@ -71,21 +58,21 @@ def top10_category(full_count: DataFrame, task_id: str = "", n: int = 10) -> Dat
             .orderBy(F.desc("click_count"), F.desc("order_count"), F.desc("pay_count"),
                      F.asc("category_id"))
             .limit(n)
-            .select(F.lit(task_id).alias("task_id"), "category_id", "click_count",
-                    "order_count", "pay_count"))
+            .selectExpr(f"{sql_str(task_id)} AS task_id", "category_id", "click_count", "order_count",
+                        "pay_count"))
 
 
 def category_session_clicks(actions: DataFrame, categories: DataFrame) -> DataFrame:
     """Clicks per (category, session) for the given categories.
 
-    ``categories`` is the top-n table (at most n rows), so it is broadcast.
+    ``categories`` is a top-n table (at most n rows), so it is broadcast.
     """
-    clicks = actions.where(F.col("click_category_id") != -1) \
-        .select(F.col("click_category_id").alias("category_id"), "session_id")
+    clicks = actions.where("click_category_id <> -1") \
+        .selectExpr("click_category_id AS category_id", "session_id")
     top = F.broadcast(categories.select("category_id"))
     return (clicks.join(top, "category_id", "left_semi")
             .groupBy("category_id", "session_id")
-            .agg(F.count(F.lit(1)).alias("click_count")))
+            .agg(F.expr("count(1) AS click_count")))
 
 
 def top_sessions(session_clicks: DataFrame, task_id: str = "", n: int = 10) -> DataFrame:
@@ -97,6 +84,5 @@ def top_sessions(session_clicks: DataFrame, task_id: str = "", n: int = 10) -> D
     """
     w = Window.partitionBy("category_id").orderBy(F.desc("click_count"), F.asc("session_id"))
     return (session_clicks.withColumn("rn", F.row_number().over(w))
-            .where(F.col("rn") <= int(n))
-            .select(F.lit(task_id).alias("task_id"), "category_id", "session_id",
-                    "click_count"))
+            .where(f"rn <= {int(n)}")
+            .selectExpr(f"{sql_str(task_id)} AS task_id", "category_id", "session_id", "click_count"))

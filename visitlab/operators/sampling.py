@@ -17,49 +17,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitlab.functions.time import format_date, format_time
+from visitlab.functions.text import sql_str
+from visitlab.functions.time import format_date_sql, format_time_sql
 
 DEFAULT_SEED = "visitlab"
 
 
 def with_cell(sessions: DataFrame) -> DataFrame:
-    return sessions.withColumn("date", format_date("start_time")) \
-                   .withColumn("hour", F.hour("start_time"))
+    """Add the (date, hour) cell of the session start."""
+    return sessions.withColumns({"date": F.expr(format_date_sql("start_time")),
+                                 "hour": F.expr("hour(start_time)")})
 
 
 def sessions_per_hour(sessions: DataFrame) -> DataFrame:
     """(date, hour, session_count) over the sessions' start times."""
-    return with_cell(sessions).where(F.col("start_time").isNotNull()) \
-        .groupBy("date", "hour").agg(F.count(F.lit(1)).alias("session_count"))
+    return (with_cell(sessions.where("start_time IS NOT NULL"))
+            .groupBy("date", "hour").agg(F.expr("count(1) AS session_count")))
 
 
 def extract_quota(per_hour: DataFrame, k: int) -> DataFrame:
-    """Quota per cell. The total comes from a global aggregate (exactly one
-    row), attached by a broadcast equi-join on a constant key."""
-    total = per_hour.agg(F.sum("session_count").alias("total")).withColumn("one", F.lit(1))
-    q = (per_hour.withColumn("one", F.lit(1))
-         .join(F.broadcast(total), "one").drop("one"))
-    n = F.col("session_count")
-    t = F.col("total")
-    quota = F.expr(f"(session_count * least({int(k)}, total)) div total") + 1
-    return q.select("date", "hour", n, quota.cast("bigint").alias("quota"))
+    """Quota per cell, ``n * min(K, total) div total + 1``.
+
+    The total comes from a global aggregate (exactly one row), attached by a
+    broadcast equi-join on a constant key; the cell table itself is bounded
+    by 24 rows per day.
+    """
+    total = per_hour.agg(F.expr("sum(session_count) AS total"), F.expr("1 AS one"))
+    return (per_hour.withColumn("one", F.lit(1))
+            .join(F.broadcast(total), "one")
+            .selectExpr("date", "hour", "session_count",
+                        f"(session_count * least({int(k)}L, total)) div total + 1 AS quota"))
 
 
 def random_extract(sessions: DataFrame, k: int, seed: str = DEFAULT_SEED,
                    task_id: str = "") -> DataFrame:
     """The sampled sessions with start time, keywords and categories."""
-    cells = with_cell(sessions).where(F.col("start_time").isNotNull())
+    cells = with_cell(sessions.where("start_time IS NOT NULL"))
     quota = extract_quota(sessions_per_hour(sessions), k).select("date", "hour", "quota")
-    order = F.md5(F.concat(F.lit(f"{seed}:"), F.col("session_id")))
-    w = Window.partitionBy("date", "hour").orderBy(order, F.col("session_id"))
+    w = Window.partitionBy("date", "hour").orderBy(
+        F.expr(f"md5(concat({sql_str(seed + ':')}, session_id))"), F.col("session_id"))
     ranked = (cells.join(F.broadcast(quota), ["date", "hour"])
               .withColumn("rn", F.row_number().over(w)))
-    picked = ranked.where((F.col("rn") <= int(k) + 1) & (F.col("rn") <= F.col("quota")))
-    return picked.select(
-        F.lit(task_id).alias("task_id"), "session_id",
-        format_time("start_time").alias("start_time"),
-        F.nullif(F.col("search_keywords"), F.lit("")).alias("search_keywords"),
-        F.nullif(F.col("click_category_ids"), F.lit("")).alias("click_category_ids"))
+    # rn <= K + 1 is implied by rn <= quota; as a literal bound it enables the
+    # partial per-cell limit before the shuffle.
+    picked = ranked.where(f"rn <= {int(k) + 1} AND rn <= quota")
+    return picked.selectExpr(
+        f"{sql_str(task_id)} AS task_id", "session_id",
+        format_time_sql("start_time") + " AS start_time",
+        "nullif(search_keywords, '') AS search_keywords",
+        "nullif(click_category_ids, '') AS click_category_ids")
 
 
 def extract_detail(actions: DataFrame, extracted: DataFrame, task_id: str = "") -> DataFrame:
@@ -69,7 +75,7 @@ def extract_detail(actions: DataFrame, extracted: DataFrame, task_id: str = "")
     not grow with the data, so its ids are broadcast.
     """
     ids = F.broadcast(extracted.select("session_id"))
-    return actions.join(ids, "session_id", "left_semi").select(
-        F.lit(task_id).alias("task_id"), "user_id", "session_id", "page_id", "action_time",
+    return actions.join(ids, "session_id", "left_semi").selectExpr(
+        f"{sql_str(task_id)} AS task_id", "user_id", "session_id", "page_id", "action_time",
         "search_keyword", "click_category_id", "click_product_id", "order_category_ids",
         "order_product_ids", "pay_category_ids", "pay_product_ids")

@@ -10,23 +10,27 @@ Catalyst (the keyword and category lists are only built when used).
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitlab.functions.time import parse_time
+from visitlab.functions.text import sql_str
+from visitlab.functions.time import parse_time_sql
 from visitlab.params import TaskParams
 
 USER_COLUMNS = ["user_id", "age", "professional", "sex", "city"]
 
 
-def _sorted_text_set(values: Column, numeric: bool = False) -> Column:
-    """Distinct values, sorted, joined with ``,``; null when there are none."""
-    s = F.array_sort(F.collect_set(values))
+def _sorted_text_set_sql(value: str, numeric: bool = False) -> str:
+    """Distinct values, sorted, joined with ``,``; null when there are none.
+    Numeric ids sort as numbers, then are written as text."""
+    arr = f"array_sort(collect_set({value}))"
     if numeric:
-        s = F.transform(s, lambda v: v.cast("string"))
-    return F.nullif(F.array_join(s, ","), F.lit(""))
+        arr = f"transform({arr}, v -> CAST(v AS STRING))"
+    return f"nullif(array_join({arr}, ','), '')"
+
+
+def _sql_list(values) -> str:
+    return ", ".join(sql_str(v) if isinstance(v, str) else str(int(v)) for v in values)
 
 
 def session_aggregate(actions: DataFrame, params: TaskParams | None = None) -> DataFrame:
@@ -37,26 +41,26 @@ def session_aggregate(actions: DataFrame, params: TaskParams | None = None) -> D
     (whole seconds) and, when the parameters ask for them, the flags
     ``keyword_hit`` / ``category_hit`` used by :func:`session_predicate`.
     """
-    ts = parse_time(F.col("action_time"))
-    kw = F.col("search_keyword")
-    cat = F.col("click_category_id")
+    ts = parse_time_sql("action_time")
     aggs = [
-        F.min(F.when(F.col("user_id") != -1, F.col("user_id"))).alias("user_id"),
-        _sorted_text_set(F.when(kw != "", kw)).alias("search_keywords"),
-        _sorted_text_set(F.when(cat != -1, cat), numeric=True).alias("click_category_ids"),
-        F.count(F.lit(1)).alias("step_length"),
-        F.min(ts).alias("start_time"),
-        F.max(ts).alias("end_time"),
+        "min(CASE WHEN user_id <> -1 THEN user_id END) AS user_id",
+        _sorted_text_set_sql("CASE WHEN search_keyword <> '' THEN search_keyword END")
+        + " AS search_keywords",
+        _sorted_text_set_sql("CASE WHEN click_category_id <> -1 THEN click_category_id END",
+                             numeric=True) + " AS click_category_ids",
+        "count(1) AS step_length",
+        f"min({ts}) AS start_time",
+        f"max({ts}) AS end_time",
     ]
     if params is not None and params.keywords:
-        aggs.append(F.coalesce(F.bool_or(kw.isin(list(params.keywords))), F.lit(False))
-                    .alias("keyword_hit"))
+        aggs.append(f"coalesce(bool_or(search_keyword IN ({_sql_list(params.keywords)})), false)"
+                    " AS keyword_hit")
     if params is not None and params.category_ids:
-        aggs.append(F.coalesce(F.bool_or(cat.isin(list(params.category_ids))), F.lit(False))
-                    .alias("category_hit"))
-    out = actions.groupBy("session_id").agg(*aggs)
+        aggs.append("coalesce(bool_or(click_category_id IN "
+                    f"({_sql_list(params.category_ids)})), false) AS category_hit")
+    out = actions.groupBy("session_id").agg(*[F.expr(a) for a in aggs])
     return out.withColumn(
-        "visit_length", F.unix_timestamp("end_time") - F.unix_timestamp("start_time"))
+        "visit_length", F.expr("unix_timestamp(end_time) - unix_timestamp(start_time)"))
 
 
 def session_profile(actions: DataFrame, users: DataFrame,
@@ -80,22 +84,22 @@ def session_predicate(params: TaskParams) -> Column | None:
     * keywords: the session searched any listed keyword.
     * category ids: the session clicked any listed category.
     """
-    preds: list[Column] = []
+    preds: list[str] = []
     if params.age_restricted:
-        preds.append(F.col("age").between(params.start_age, params.end_age))
+        preds.append(f"age BETWEEN {int(params.start_age)} AND {int(params.end_age)}")
     if params.professionals:
-        preds.append(F.col("professional").isin(list(params.professionals)))
+        preds.append(f"professional IN ({_sql_list(params.professionals)})")
     if params.cities:
-        preds.append(F.col("city").isin(list(params.cities)))
+        preds.append(f"city IN ({_sql_list(params.cities)})")
     if params.sex:
-        preds.append(F.col("sex") == F.lit(params.sex))
+        preds.append(f"sex = {_sql_list([params.sex])}")
     if params.keywords:
-        preds.append(F.col("keyword_hit"))
+        preds.append("keyword_hit")
     if params.category_ids:
-        preds.append(F.col("category_hit"))
+        preds.append("category_hit")
     if not preds:
         return None
-    return reduce(lambda a, b: a & b, [F.coalesce(p, F.lit(False)) for p in preds])
+    return F.expr(" AND ".join(f"coalesce({p}, false)" for p in preds))
 
 
 def apply_filters(profile: DataFrame, params: TaskParams) -> DataFrame:

@@ -156,6 +156,73 @@ labelled AS (
 SELECT {', '.join(cols)} FROM labelled"""
 
 
+def ranking_ctes(p: TaskParams) -> str:
+    """Adds filtered_actions, cat_events, full_count, top10, top10_clicks."""
+    def split(kind, col):
+        return (f"SELECT session_id, '{kind}' AS kind, TRY_CAST(trim(x) AS BIGINT) AS category_id"
+                f" FROM filtered_actions, unnest(string_split({col}, ',')) AS t(x)"
+                f" WHERE {col} IS NOT NULL")
+    return f"""{profile_ctes(p)},
+filtered_actions AS (
+  SELECT * FROM visit_actions WHERE session_id IN (SELECT session_id FROM filtered)
+),
+cat_events AS (
+  SELECT * FROM (
+    SELECT session_id, 'click' AS kind, click_category_id AS category_id
+    FROM filtered_actions WHERE click_category_id <> -1
+    UNION ALL {split('order', 'order_category_ids')}
+    UNION ALL {split('pay', 'pay_category_ids')}
+  ) WHERE category_id IS NOT NULL
+),
+full_count AS (
+  SELECT category_id,
+         count(*) FILTER (WHERE kind = 'click') AS click_count,
+         count(*) FILTER (WHERE kind = 'order') AS order_count,
+         count(*) FILTER (WHERE kind = 'pay') AS pay_count
+  FROM cat_events GROUP BY category_id
+),
+top10 AS (
+  SELECT {_q(TASK_ID)} AS task_id, category_id, click_count, order_count, pay_count
+  FROM full_count
+  ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id LIMIT 10
+),
+top10_clicks AS (
+  SELECT click_category_id AS category_id, session_id, count(*) AS click_count
+  FROM filtered_actions WHERE click_category_id IN (SELECT category_id FROM top10)
+  GROUP BY click_category_id, session_id
+)"""
+
+
+def sampling_ctes(p: TaskParams, k: int) -> str:
+    """Adds cells, per_hour, quota, picked (the sampled sessions)."""
+    return f"""{profile_ctes(p)},
+cells AS (
+  SELECT *, strftime(start_time, '%Y-%m-%d') AS date, CAST(hour(start_time) AS INTEGER) AS hour
+  FROM session_profile WHERE start_time IS NOT NULL
+),
+per_hour AS (
+  SELECT date, hour, count(*) AS session_count FROM cells GROUP BY date, hour
+),
+quota AS (
+  SELECT date, hour, session_count,
+         CAST((session_count * least({int(k)}, total)) // total + 1 AS BIGINT) AS quota
+  FROM per_hour, (SELECT CAST(sum(session_count) AS BIGINT) AS total FROM per_hour)
+),
+ranked AS (
+  SELECT c.*, q.quota,
+         row_number() OVER (PARTITION BY c.date, c.hour
+                            ORDER BY md5({_q(SEED + ':')} || c.session_id), c.session_id) AS rn
+  FROM cells c JOIN quota q ON c.date = q.date AND c.hour = q.hour
+),
+picked AS (
+  SELECT {_q(TASK_ID)} AS task_id, session_id,
+         strftime(start_time, '%Y-%m-%d %H:%M:%S') AS start_time,
+         nullif(search_keywords, '') AS search_keywords,
+         nullif(click_category_ids, '') AS click_category_ids
+  FROM ranked WHERE rn <= quota
+)"""
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     q["visit_actions_in_range"] = f"WITH {actions_cte(IN_RANGE)}\nSELECT * FROM visit_actions"
@@ -170,4 +237,29 @@ SELECT session_id, visit_length, step_length,
 FROM filtered"""
     q["session_length_stats"] = _length_stats(DEFAULT, VISIT_BUCKETS)
     q["session_length_stats_contiguous"] = _length_stats(DEFAULT, VISIT_BUCKETS_CONTIGUOUS)
+    rk = ranking_ctes(DEFAULT)
+    q["filtered_actions"] = f"{rk}\nSELECT * FROM filtered_actions"
+    q["category_ids"] = f"{rk}\nSELECT DISTINCT category_id FROM cat_events"
+    for kind in ("click", "order", "pay"):
+        q[f"category_{kind}_count"] = (f"{rk}\nSELECT category_id, count(*) AS {kind}_count"
+                                       f" FROM cat_events WHERE kind = '{kind}' GROUP BY category_id")
+    q["category_full_count"] = f"{rk}\nSELECT * FROM full_count"
+    q["top10_category"] = f"{rk}\nSELECT * FROM top10"
+    q["category_session_clicks"] = f"{rk}\nSELECT * FROM top10_clicks"
+    q["top10_session"] = f"""{rk}
+SELECT {_q(TASK_ID)} AS task_id, category_id, session_id, click_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY category_id
+                               ORDER BY click_count DESC, session_id) AS rn
+  FROM top10_clicks) WHERE rn <= 10"""
+    sp = sampling_ctes(DEFAULT, K_EXTRACT)
+    q["sessions_per_hour"] = f"{sp}\nSELECT * FROM per_hour"
+    q["session_extract_quota"] = f"{sp}\nSELECT * FROM quota"
+    q["session_random_extract"] = f"{sp}\nSELECT * FROM picked"
+    q["session_random_extract_large"] = (f"{sampling_ctes(DEFAULT, K_EXTRACT_LARGE)}\n"
+                                         "SELECT * FROM picked")
+    q["session_extract_detail"] = f"""{sp}
+SELECT {_q(TASK_ID)} AS task_id, user_id, session_id, page_id, action_time, search_keyword,
+       click_category_id, click_product_id, order_category_ids, order_product_ids,
+       pay_category_ids, pay_product_ids
+FROM visit_actions WHERE session_id IN (SELECT session_id FROM picked)"""
     return q

@@ -85,6 +85,78 @@ def session_length_stats_contiguous(spark, sf_dir):
                                 visit_buckets=metrics.VISIT_BUCKETS_CONTIGUOUS)
 
 
+# ---------------------------------------------------------------------------
+# categories and top-10s
+# ---------------------------------------------------------------------------
+
+def filtered_actions(spark, sf_dir):
+    return _filtered_actions(spark, sf_dir)
+
+
+def category_ids(spark, sf_dir):
+    return ranking.category_ids(_filtered_actions(spark, sf_dir))
+
+
+def category_click_count(spark, sf_dir):
+    return ranking.category_kind_count(_filtered_actions(spark, sf_dir), "click")
+
+
+def category_order_count(spark, sf_dir):
+    return ranking.category_kind_count(_filtered_actions(spark, sf_dir), "order")
+
+
+def category_pay_count(spark, sf_dir):
+    return ranking.category_kind_count(_filtered_actions(spark, sf_dir), "pay")
+
+
+def category_full_count(spark, sf_dir):
+    return ranking.category_full_count(_filtered_actions(spark, sf_dir))
+
+
+def top10_category(spark, sf_dir):
+    return ranking.top10_category(ranking.category_full_count(_filtered_actions(spark, sf_dir)),
+                                  TASK_ID)
+
+
+def _top10_clicks(spark, sf_dir):
+    fa = _filtered_actions(spark, sf_dir)
+    top = ranking.top10_category(ranking.category_full_count(fa), TASK_ID)
+    return ranking.category_session_clicks(fa, top)
+
+
+def category_session_clicks(spark, sf_dir):
+    return _top10_clicks(spark, sf_dir)
+
+
+def top10_session(spark, sf_dir):
+    return ranking.top_sessions(_top10_clicks(spark, sf_dir), TASK_ID)
+
+
+# ---------------------------------------------------------------------------
+# hourly sampling (population: sessions of the date range with a known user)
+# ---------------------------------------------------------------------------
+
+def sessions_per_hour(spark, sf_dir):
+    return sampling.sessions_per_hour(_profile(spark, sf_dir))
+
+
+def session_extract_quota(spark, sf_dir):
+    return sampling.extract_quota(sampling.sessions_per_hour(_profile(spark, sf_dir)), K_EXTRACT)
+
+
+def session_random_extract(spark, sf_dir):
+    return sampling.random_extract(_profile(spark, sf_dir), K_EXTRACT, SEED, TASK_ID)
+
+
+def session_random_extract_large(spark, sf_dir):
+    return sampling.random_extract(_profile(spark, sf_dir), K_EXTRACT_LARGE, SEED, TASK_ID)
+
+
+def session_extract_detail(spark, sf_dir):
+    picked = sampling.random_extract(_profile(spark, sf_dir), K_EXTRACT, SEED, TASK_ID)
+    return sampling.extract_detail(_actions(spark, sf_dir), picked, TASK_ID)
+
+
 REGISTRY: dict[str, Query] = {
     "visit_actions_in_range": visit_actions_in_range,
     "session_profile": session_profile,
@@ -93,4 +165,18 @@ REGISTRY: dict[str, Query] = {
     "session_buckets": session_buckets,
     "session_length_stats": session_length_stats,
     "session_length_stats_contiguous": session_length_stats_contiguous,
+    "filtered_actions": filtered_actions,
+    "category_ids": category_ids,
+    "category_click_count": category_click_count,
+    "category_order_count": category_order_count,
+    "category_pay_count": category_pay_count,
+    "category_full_count": category_full_count,
+    "top10_category": top10_category,
+    "category_session_clicks": category_session_clicks,
+    "top10_session": top10_session,
+    "sessions_per_hour": sessions_per_hour,
+    "session_extract_quota": session_extract_quota,
+    "session_random_extract": session_random_extract,
+    "session_random_extract_large": session_random_extract_large,
+    "session_extract_detail": session_extract_detail,
 }

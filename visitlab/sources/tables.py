@@ -15,7 +15,7 @@ from __future__ import annotations
 import datetime as _dt
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,8 +24,22 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+# Footer schemas already read in this process, keyed by (path, mtime): reading
+# with a known schema skips the inference job Spark otherwise runs per scan.
+_SCHEMAS: dict[tuple[str, float], T.StructType] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    path = table_path(sf_dir, name)
+    try:
+        key = (path, os.path.getmtime(path))
+    except OSError:  # not a local path (object store, HDFS): let Spark infer
+        return spark.read.parquet(path)
+    schema = _SCHEMAS.get(key)
+    if schema is None:
+        schema = spark.read.parquet(path).schema
+        _SCHEMAS[key] = schema
+    return spark.read.schema(schema).parquet(path)
 
 
 def _ts_bounds(ts_type: T.DataType, start_date: str | None, end_date: str | None):
@@ -43,58 +57,53 @@ def _ts_bounds(ts_type: T.DataType, start_date: str | None, end_date: str | None
 # ---------------------------------------------------------------------------
 # events -> visit actions
 # ---------------------------------------------------------------------------
+# Helper values per event: u = user_id div 15, k = props.k, d = date(ts),
+# sod = (seconds of day) div 24, slot from event_id % 32. A session is
+# (u, d, slot); all its actions share the hour h.
+
+_ID_LIST = ("CASE WHEN event_id % 3 = 0 THEN concat(CAST(k AS STRING), ',', "
+            "CAST((k * 7 + 3) % 100 AS STRING)) ELSE CAST(k AS STRING) END")
+
+_EVENT_HELPERS = [
+    "event_id",
+    "event_type",
+    "CAST(user_id AS BIGINT) div 15 AS u",
+    "try_cast(get_json_object(props, '$.k') AS BIGINT) AS k",
+    "to_date(ts) AS d",
+    "(hour(ts) * 3600 + minute(ts) * 60 + second(ts)) div 24 AS sod",
+    "CASE WHEN event_id % 32 < 24 THEN 0 WHEN event_id % 32 < 28 THEN 1 "
+    "WHEN event_id % 32 < 30 THEN 2 WHEN event_id % 32 = 30 THEN 3 ELSE 4 END AS slot",
+]
 
-def _slot(event_id: Column) -> Column:
-    r = event_id % 32
-    return (F.when(r < 24, 0).when(r < 28, 1).when(r < 30, 2)
-            .when(r == 30, 3).otherwise(4))
-
-
-def _id_list(k: Column, event_id: Column) -> Column:
-    """One category id, or two when event_id % 3 == 0 (``k,(k*7+3)%100``)."""
-    return F.when(event_id % 3 == 0,
-                  F.concat_ws(",", k.cast("string"), ((k * 7 + 3) % 100).cast("string"))
-                  ).otherwise(k.cast("string"))
+_VISIT_ACTION_EXPRS = [
+    "event_id",
+    "CAST(d AS STRING) AS date",
+    "u AS user_id",
+    "concat_ws('-', CAST(u AS STRING), date_format(d, 'yyyyMMdd'), CAST(slot AS STRING))"
+    " AS session_id",
+    "event_id % 10 AS page_id",
+    "concat(CAST(d AS STRING), ' ', CAST((u * 7 + dayofmonth(d) * 3 + slot * 5) % 23 AS STRING),"
+    " ':', lpad(CAST(sod div 60 AS STRING), 2, '0'), ':', lpad(CAST(sod % 60 AS STRING), 2, '0'))"
+    " AS action_time",
+    "CASE WHEN event_type = 'view' THEN concat('kw', CAST(k % 10 AS STRING)) END AS search_keyword",
+    "CASE WHEN event_type = 'click' THEN k ELSE CAST(-1 AS BIGINT) END AS click_category_id",
+    "CASE WHEN event_type = 'click' THEN event_id % 100 ELSE CAST(-1 AS BIGINT) END"
+    " AS click_product_id",
+    f"CASE WHEN event_type = 'signup' THEN {_ID_LIST} END AS order_category_ids",
+    "CASE WHEN event_type = 'signup' THEN CAST(event_id % 100 AS STRING) END AS order_product_ids",
+    f"CASE WHEN event_type = 'purchase' THEN {_ID_LIST} END AS pay_category_ids",
+    "CASE WHEN event_type = 'purchase' THEN CAST(event_id % 100 AS STRING) END AS pay_product_ids",
+    "u % 10 AS city_id",
+]
 
 
 def visit_actions_from_events(events: DataFrame) -> DataFrame:
-    """Map ``events`` rows onto the visit-log model (FIXTURES.md section 2)."""
-    ev = events.select(
-        "event_id", "ts", "event_type",
-        F.col("user_id").cast("bigint").alias("raw_user"),
-        F.get_json_object("props", "$.k").try_cast("bigint").alias("k"),
-    )
-    e = F.col("event_id")
-    u = F.expr("raw_user div 15")
-    k = F.col("k")
-    d = F.to_date("ts")
-    sod = F.expr("(hour(ts) * 3600 + minute(ts) * 60 + second(ts)) div 24")
-    slot = _slot(e)
-    ev = ev.select("event_id", "event_type", "k",
-                   u.alias("u"), d.alias("d"), sod.alias("sod"), slot.alias("slot"))
-    date_s = F.date_format("d", "yyyy-MM-dd")
-    hour = (F.col("u") * 7 + F.dayofmonth("d") * 3 + F.col("slot") * 5) % 23
-    etype = F.col("event_type")
-    return ev.select(
-        e.alias("event_id"),
-        date_s.alias("date"),
-        F.col("u").alias("user_id"),
-        F.concat_ws("-", F.col("u").cast("string"), F.date_format("d", "yyyyMMdd"),
-                    F.col("slot").cast("string")).alias("session_id"),
-        (e % 10).alias("page_id"),
-        F.concat(date_s, F.lit(" "), hour.cast("string"), F.lit(":"),
-                 F.lpad(F.expr("sod div 60").cast("string"), 2, "0"), F.lit(":"),
-                 F.lpad((F.col("sod") % 60).cast("string"), 2, "0")).alias("action_time"),
-        F.when(etype == "view", F.concat(F.lit("kw"), (k % 10).cast("string"))
-               ).alias("search_keyword"),
-        F.when(etype == "click", k).otherwise(F.lit(-1).cast("bigint")).alias("click_category_id"),
-        F.when(etype == "click", e % 100).otherwise(F.lit(-1).cast("bigint")).alias("click_product_id"),
-        F.when(etype == "signup", _id_list(k, e)).alias("order_category_ids"),
-        F.when(etype == "signup", (e % 100).cast("string")).alias("order_product_ids"),
-        F.when(etype == "purchase", _id_list(k, e)).alias("pay_category_ids"),
-        F.when(etype == "purchase", (e % 100).cast("string")).alias("pay_product_ids"),
-        (F.col("u") % 10).alias("city_id"),
-    )
+    """Map ``events`` rows onto the visit-log model (FIXTURES.md section 2).
+
+    Pure projections (SQL expressions, one analysis pass each); Catalyst
+    prunes the ones a query does not use, down to the parquet ReadSchema.
+    """
+    return events.selectExpr(*_EVENT_HELPERS).selectExpr(*_VISIT_ACTION_EXPRS)
 
 
 def visit_actions(spark: SparkSession, sf_dir: str, start_date: str | None = None,
@@ -135,37 +144,33 @@ def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users from ``customer``; keys ending in 9 are left out so that some
     sessions find no user (they drop out of the inner join)."""
     c = read_table(spark, sf_dir, "customer")
-    key = F.col("c_custkey").cast("bigint")
-    return (c.where(key % 10 != 9)
-            .select(key.alias("user_id"),
-                    F.concat(F.lit("user"), key.cast("string")).alias("username"),
-                    F.col("c_name").alias("name"),
-                    ((key * 7 + 25) % 60).cast("int").alias("age"),
-                    F.col("c_mktsegment").alias("professional"),
-                    F.concat(F.lit("city"), F.col("c_nationkey").cast("string")).alias("city"),
-                    F.when(key % 2 == 0, "male").otherwise("female").alias("sex")))
+    return c.where("c_custkey % 10 <> 9").selectExpr(
+        "CAST(c_custkey AS BIGINT) AS user_id",
+        "concat('user', CAST(c_custkey AS STRING)) AS username",
+        "c_name AS name",
+        "CAST((c_custkey * 7 + 25) % 60 AS INT) AS age",
+        "c_mktsegment AS professional",
+        "concat('city', CAST(c_nationkey AS STRING)) AS city",
+        "CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex")
 
 
 def product_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products from ``part``; ``extend_info`` is JSON text with a 0/1 status."""
     p = read_table(spark, sf_dir, "part")
-    return p.select(
-        F.col("p_partkey").cast("bigint").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.concat(F.lit('{"product_status": '), (F.col("p_size") % 2).cast("string"),
-                 F.lit("}")).alias("extend_info"))
+    return p.selectExpr(
+        "CAST(p_partkey AS BIGINT) AS product_id",
+        "p_name AS product_name",
+        "concat('{\"product_status\": ', CAST(p_size % 2 AS STRING), '}') AS extend_info")
 
 
 def ad_click_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ad-click text records ``epoch_ms province city userid adid`` made from
     ``events``; one column ``value`` like a text source yields."""
     ev = read_table(spark, sf_dir, "events")
-    uid = F.col("user_id").cast("bigint")
-    return ev.select(F.concat_ws(
-        " ",
-        F.unix_millis(F.col("ts").cast("timestamp")).cast("string"),
-        (uid % 10).cast("string"), (uid % 10).cast("string"),
-        (uid % 100).cast("string"), (F.col("event_id") % 20).cast("string"),
-    ).alias("value"))
+    return ev.selectExpr(
+        "concat_ws(' ', CAST(unix_millis(CAST(ts AS TIMESTAMP)) AS STRING),"
+        " CAST(user_id % 10 AS STRING), CAST(user_id % 10 AS STRING),"
+        " CAST(user_id % 100 AS STRING), CAST(event_id % 20 AS STRING)) AS value")
 
 
 __all__ = [
