@@ -223,6 +223,51 @@ picked AS (
 )"""
 
 
+REFERENCE_TIME = "2024-01-15 12:00:00"
+RUN_DATE = "2024-02-01"
+PROFILE_PACK_FIELDS = [("sessionid", "session_id"), ("searchKeywords", "search_keywords"),
+                       ("clickCategoryIds", "click_category_ids"), ("visitLength", "visit_length"),
+                       ("stepLength", "step_length"), ("startTime", "start_time"), ("age", "age"),
+                       ("professional", "professional"), ("sex", "sex"), ("city", "city")]
+
+
+def _packed_field(text: str, key: str) -> str:
+    return (f"list_filter(list_transform(string_split({text}, '|'), lambda p: string_split(p, '=')),"
+            f" lambda p: len(p) = 2 AND p[1] = '{key}' AND p[2] <> '')[1][2]")
+
+
+def _packed_cte() -> str:
+    parts = []
+    for name, col in PROFILE_PACK_FIELDS:
+        v = "strftime(start_time, '%Y-%m-%d %H:%M:%S')" if col == "start_time" else col
+        parts.append(f"'{name}=' || coalesce(CAST({v} AS VARCHAR), '')")
+    return f"""{profile_ctes(DEFAULT)},
+packed AS (
+  SELECT session_id, {" || '|' || ".join(parts)} AS packed FROM session_profile
+)"""
+
+
+def _page_flow(flow) -> str:
+    cols = [f"count(*) FILTER (WHERE page_id = {flow[0]}) AS visits"]
+    for i in range(len(flow) - 1):
+        cols.append(f"count(*) FILTER (WHERE page_id = {flow[i]} AND next_page = {flow[i + 1]}) AS c{i}")
+    sel = []
+    for i in range(len(flow) - 1):
+        den = "visits" if i == 0 else f"c{i - 1}"
+        rate = f"CASE WHEN {den} = 0 THEN NULL ELSE {_ratio(f'c{i}', den)} END"
+        sel.append(f"SELECT {i + 1} AS step, '{flow[i]}_{flow[i + 1]}' AS page_pair,"
+                   f" c{i} AS pair_count, {rate} AS convert_rate FROM counts")
+    union = "\nUNION ALL ".join(sel)
+    return f"""WITH {actions_cte(DEFAULT)},
+seq AS (
+  SELECT page_id, lead(page_id) OVER (PARTITION BY session_id
+      ORDER BY try_strptime(action_time, '%Y-%m-%d %H:%M:%S'), event_id) AS next_page
+  FROM visit_actions
+),
+counts AS (SELECT {", ".join(cols)} FROM seq)
+{union}"""
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     q["visit_actions_in_range"] = f"WITH {actions_cte(IN_RANGE)}\nSELECT * FROM visit_actions"
@@ -262,4 +307,87 @@ SELECT {_q(TASK_ID)} AS task_id, user_id, session_id, page_id, action_time, sear
        click_category_id, click_product_id, order_category_ids, order_product_ids,
        pay_category_ids, pay_product_ids
 FROM visit_actions WHERE session_id IN (SELECT session_id FROM picked)"""
+    ts = "try_strptime(action_time, '%Y-%m-%d %H:%M:%S')"
+    ref = f"TIMESTAMP '{REFERENCE_TIME}'"
+    q["time_keys"] = f"""WITH {actions_cte(DEFAULT)},
+t AS (SELECT event_id, action_time, date, {ts} AS ts FROM visit_actions)
+SELECT event_id, action_time,
+       strftime(ts, '%Y-%m-%d %H:%M:%S') AS action_time_padded,
+       strftime(ts, '%Y-%m-%d') AS action_date,
+       strftime(ts, '%Y%m%d') AS date_key,
+       CAST(CAST(strptime(strftime(ts, '%Y%m%d'), '%Y%m%d') AS DATE) AS VARCHAR) AS date_from_key,
+       strftime(ts, '%Y%m%d%H%M') AS minute_key,
+       split_part(action_time, ' ', 1) || '_' || split_part(split_part(action_time, ' ', 2), ':', 1)
+         AS date_hour,
+       ts < {ref} AS before_reference,
+       ts > {ref} AS after_reference,
+       CAST(epoch(ts) AS BIGINT) - CAST(epoch({ref}) AS BIGINT) AS seconds_from_reference,
+       CAST(date_diff('day', CAST(date AS DATE), DATE '{RUN_DATE}') AS INTEGER) AS days_before_run,
+       CAST(date AS DATE) = DATE '{RUN_DATE}' - INTERVAL 1 DAY AS is_day_before_run
+FROM t"""
+    hour = "split_part(split_part(action_time, ' ', 2), ':', 1)"
+    ids = ("list_filter(list_transform(string_split(order_category_ids, ','),"
+           " lambda p: TRY_CAST(trim(p) AS BIGINT)), lambda v: v IS NOT NULL)")
+    q["text_hygiene"] = f"""WITH {actions_cte(DEFAULT)}
+SELECT event_id,
+       (search_keyword IS NULL OR search_keyword = '') AS keyword_is_empty,
+       (order_category_ids IS NOT NULL AND order_category_ids <> '') AS order_ids_present,
+       regexp_replace(coalesce(order_category_ids, '') || ',' || coalesce(pay_category_ids, ''),
+                      '^,|,$', '', 'g') AS category_id_text,
+       {hour} AS hour_text,
+       CASE WHEN length({hour}) = 2 THEN {hour} ELSE '0' || {hour} END AS hour_two_digits,
+       {ids}[1] AS first_order_category,
+       CAST(coalesce(len({ids}), 0) AS INTEGER) AS order_category_count
+FROM visit_actions"""
+    pk = _packed_cte()
+    q["packed_profile"] = f"{pk}\nSELECT session_id, packed FROM packed"
+    f = _packed_field
+    q["packed_profile_fields"] = f"""{pk}
+SELECT {f('packed', 'sessionid')} AS session_id,
+       {f('packed', 'searchKeywords')} AS search_keywords,
+       {f('packed', 'clickCategoryIds')} AS click_category_ids,
+       TRY_CAST({f('packed', 'visitLength')} AS BIGINT) AS visit_length,
+       TRY_CAST({f('packed', 'stepLength')} AS BIGINT) AS step_length,
+       {f('packed', 'startTime')} AS start_time,
+       TRY_CAST({f('packed', 'age')} AS INTEGER) AS age,
+       {f('packed', 'professional')} AS professional,
+       {f('packed', 'sex')} AS sex,
+       {f('packed', 'city')} AS city
+FROM packed"""
+    label = _bucket_case(f"TRY_CAST({f('packed', 'visitLength')} AS BIGINT)", VISIT_BUCKETS)
+    q["packed_profile_rewrite"] = f"""{pk}
+SELECT session_id,
+       array_to_string(list_transform(string_split(packed, '|'),
+         lambda p: CASE WHEN split_part(p, '=', 1) = 'visitLength'
+                        THEN 'visitLength=' || coalesce({label}, '') ELSE p END), '|') AS packed
+FROM packed"""
+    q["product_status"] = """WITH product_info AS (
+  SELECT p_partkey AS product_id, p_name AS product_name,
+         '{"product_status": ' || CAST(p_size % 2 AS VARCHAR) || '}' AS extend_info
+  FROM part
+)
+SELECT product_id, product_name,
+       TRY_CAST(json_extract_string(extend_info, '$.product_status') AS INTEGER) AS product_status
+FROM product_info"""
+    q["page_convert_rate"] = _page_flow(list(DEFAULT.target_page_flow))
+    q["ad_click_parse"] = """WITH lines AS (
+  SELECT CAST(epoch_us(ts) // 1000 AS VARCHAR) || ' ' || CAST(user_id % 10 AS VARCHAR) || ' '
+         || CAST(user_id % 10 AS VARCHAR) || ' ' || CAST(user_id % 100 AS VARCHAR) || ' '
+         || CAST(event_id % 20 AS VARCHAR) AS value
+  FROM events
+), parts AS (
+  SELECT string_split(value, ' ') AS p FROM lines
+)
+SELECT TRY_CAST(p[1] AS BIGINT) AS click_ms,
+       strftime(epoch_ms(TRY_CAST(p[1] AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS click_time,
+       TRY_CAST(p[2] AS BIGINT) AS province, TRY_CAST(p[3] AS BIGINT) AS city,
+       TRY_CAST(p[4] AS BIGINT) AS user_id, TRY_CAST(p[5] AS BIGINT) AS ad_id
+FROM parts
+WHERE len(p) = 5 AND TRY_CAST(p[1] AS BIGINT) IS NOT NULL AND TRY_CAST(p[2] AS BIGINT) IS NOT NULL
+  AND TRY_CAST(p[3] AS BIGINT) IS NOT NULL AND TRY_CAST(p[4] AS BIGINT) IS NOT NULL
+  AND TRY_CAST(p[5] AS BIGINT) IS NOT NULL"""
+    q["ad_click_format"] = """SELECT CAST(epoch_us(ts) // 1000 AS VARCHAR) || ' ' || CAST(user_id % 10 AS VARCHAR) || ' '
+       || CAST(user_id % 10 AS VARCHAR) || ' ' || CAST(user_id % 100 AS VARCHAR) || ' '
+       || CAST(event_id % 20 AS VARCHAR) AS value
+FROM events"""
     return q

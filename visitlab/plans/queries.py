@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlab.functions.time import format_time
-from visitlab.operators import metrics, ranking, sampling, sessions
+from visitlab.operators import metrics, pageflow, ranking, records, sampling, sessions
 from visitlab.params import TaskParams
 from visitlab.plans.defaults import (ALL_PARAMS, DEFAULT, IN_RANGE, K_EXTRACT,
                                      K_EXTRACT_LARGE, SEED, TASK_ID)
 from visitlab.sources import tables
+from visitlab.streaming import adclick
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -157,6 +158,51 @@ def session_extract_detail(spark, sf_dir):
     return sampling.extract_detail(_actions(spark, sf_dir), picked, TASK_ID)
 
 
+# ---------------------------------------------------------------------------
+# column jobs and extensions
+# ---------------------------------------------------------------------------
+
+REFERENCE_TIME = "2024-01-15 12:00:00"
+RUN_DATE = "2024-02-01"
+
+
+def time_keys(spark, sf_dir):
+    return records.time_keys(_actions(spark, sf_dir), REFERENCE_TIME, RUN_DATE)
+
+
+def text_hygiene(spark, sf_dir):
+    return records.text_hygiene(_actions(spark, sf_dir))
+
+
+def packed_profile(spark, sf_dir):
+    return records.packed_profile(_profile(spark, sf_dir))
+
+
+def packed_profile_fields(spark, sf_dir):
+    return records.packed_profile_fields(records.packed_profile(_profile(spark, sf_dir)))
+
+
+def packed_profile_rewrite(spark, sf_dir):
+    return records.packed_profile_rewrite(records.packed_profile(_profile(spark, sf_dir)))
+
+
+def product_status(spark, sf_dir):
+    return records.product_status(tables.product_info(spark, sf_dir))
+
+
+def page_convert_rate(spark, sf_dir):
+    return pageflow.page_convert_rate(_actions(spark, sf_dir), DEFAULT.target_page_flow)
+
+
+def ad_click_parse(spark, sf_dir):
+    return adclick.parse_ad_clicks(tables.ad_click_lines(spark, sf_dir))
+
+
+def ad_click_format(spark, sf_dir):
+    return adclick.format_ad_clicks(
+        adclick.ad_clicks_from_events(tables.read_table(spark, sf_dir, "events")))
+
+
 REGISTRY: dict[str, Query] = {
     "visit_actions_in_range": visit_actions_in_range,
     "session_profile": session_profile,
@@ -179,4 +225,13 @@ REGISTRY: dict[str, Query] = {
     "session_random_extract": session_random_extract,
     "session_random_extract_large": session_random_extract_large,
     "session_extract_detail": session_extract_detail,
+    "time_keys": time_keys,
+    "text_hygiene": text_hygiene,
+    "packed_profile": packed_profile,
+    "packed_profile_fields": packed_profile_fields,
+    "packed_profile_rewrite": packed_profile_rewrite,
+    "product_status": product_status,
+    "page_convert_rate": page_convert_rate,
+    "ad_click_parse": ad_click_parse,
+    "ad_click_format": ad_click_format,
 }
