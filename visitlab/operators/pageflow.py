@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlab.functions.text import ratio_half_up_sql
-from visitlab.functions.time import parse_time_sql
 
 
 def page_pairs(actions: DataFrame, pieces: int | None = None) -> DataFrame:
@@ -32,7 +31,7 @@ def page_pairs(actions: DataFrame, pieces: int | None = None) -> DataFrame:
     spark = actions.sparkSession
     n = int(pieces or spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = actions.selectExpr("session_id", "event_id", "page_id",
-                                 parse_time_sql("action_time") + " AS ts")
+                                 "action_ts AS ts")
     ranged = (ordered.repartitionByRange(n, "session_id", "ts", "event_id")
               .withColumn("piece", F.spark_partition_id()))
     in_piece = Window.partitionBy("session_id", "piece").orderBy("ts", "event_id")
@@ -54,7 +53,7 @@ def page_pairs_by_window(actions: DataFrame) -> DataFrame:
     check :func:`page_pairs` on small inputs."""
     w = Window.partitionBy("session_id").orderBy("ts", "event_id")
     return (actions.selectExpr("session_id", "event_id", "page_id",
-                               parse_time_sql("action_time") + " AS ts")
+                               "action_ts AS ts")
             .withColumn("next_page", F.lead("page_id").over(w))
             .selectExpr("page_id", "next_page", "true AS is_action"))
 

@@ -28,7 +28,38 @@ def category_events(actions: DataFrame) -> DataFrame:
     pairs = (f"concat({tagged('click', click)}, {tagged('order', split_ids_sql('order_category_ids'))},"
              f" {tagged('pay', split_ids_sql('pay_category_ids'))})")
     return (actions.selectExpr("session_id", f"explode({pairs}) AS t")
-            .selectExpr("session_id", "t.kind AS kind", "t.category_id AS category_id"))
+            .selectExpr("session_id", "t.kind AS kind", "t.category_id AS category_id")
+            .where("category_id IS NOT NULL AND session_id IS NOT NULL"))
+
+
+def category_session_counts(actions: DataFrame) -> DataFrame:
+    """(category_id, session_id, click_count, order_count, pay_count).
+
+    One aggregate that serves both rankings: summed by category it gives the
+    category counts, filtered to the top categories it gives the sessions'
+    clicks. Building both from this one frame lets Spark reuse its shuffle.
+    """
+    return category_events(actions).groupBy("category_id", "session_id").agg(
+        F.expr("count_if(kind = 'click') AS click_count"),
+        F.expr("count_if(kind = 'order') AS order_count"),
+        F.expr("count_if(kind = 'pay') AS pay_count"))
+
+
+def full_count_from_sessions(cs: DataFrame) -> DataFrame:
+    return cs.groupBy("category_id").agg(
+        F.expr("sum(click_count) AS click_count"),
+        F.expr("sum(order_count) AS order_count"),
+        F.expr("sum(pay_count) AS pay_count"))
+
+
+def top_category_sessions(cs: DataFrame, task_id: str = "", n: int = 10) -> tuple[DataFrame, DataFrame]:
+    """(top-n categories, clicks per (category, session) for those categories)
+    from :func:`category_session_counts`."""
+    top = top10_category(full_count_from_sessions(cs), task_id, n)
+    clicks = (cs.where("click_count > 0")
+              .join(F.broadcast(top.select("category_id")), "category_id", "left_semi")
+              .select("category_id", "session_id", "click_count"))
+    return top, clicks
 
 
 def category_full_count(actions: DataFrame) -> DataFrame:

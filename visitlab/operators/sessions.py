@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitlab.functions.text import sql_str
-from visitlab.functions.time import parse_time_sql
 from visitlab.params import TaskParams
 
 USER_COLUMNS = ["user_id", "age", "professional", "sex", "city"]
@@ -36,12 +35,12 @@ def _sql_list(values) -> str:
 def session_aggregate(actions: DataFrame, params: TaskParams | None = None) -> DataFrame:
     """Per-session aggregates of the visit log (before the user join).
 
+    Expects the typed ``action_ts`` of the scan (null for unparseable text).
     Columns: session_id, user_id (smallest id other than -1), search_keywords,
     click_category_ids, step_length, start_time, end_time, visit_length
     (whole seconds) and, when the parameters ask for them, the flags
     ``keyword_hit`` / ``category_hit`` used by :func:`session_predicate`.
     """
-    ts = parse_time_sql("action_time")
     aggs = [
         "min(CASE WHEN user_id <> -1 THEN user_id END) AS user_id",
         _sorted_text_set_sql("CASE WHEN search_keyword <> '' THEN search_keyword END")
@@ -49,8 +48,8 @@ def session_aggregate(actions: DataFrame, params: TaskParams | None = None) -> D
         _sorted_text_set_sql("CASE WHEN click_category_id <> -1 THEN click_category_id END",
                              numeric=True) + " AS click_category_ids",
         "count(1) AS step_length",
-        f"min({ts}) AS start_time",
-        f"max({ts}) AS end_time",
+        "min(action_ts) AS start_time",
+        "max(action_ts) AS end_time",
     ]
     if params is not None and params.keywords:
         aggs.append(f"coalesce(bool_or(search_keyword IN ({_sql_list(params.keywords)})), false)"

@@ -58,7 +58,7 @@ def _filtered_actions(spark: SparkSession, sf_dir: str, p: TaskParams = DEFAULT)
 # ---------------------------------------------------------------------------
 
 def visit_actions_in_range(spark, sf_dir):
-    return _actions(spark, sf_dir, IN_RANGE)
+    return _actions(spark, sf_dir, IN_RANGE).select(*tables.VISIT_COLUMNS)
 
 
 def session_profile(spark, sf_dir):
@@ -91,7 +91,7 @@ def session_length_stats_contiguous(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 def filtered_actions(spark, sf_dir):
-    return _filtered_actions(spark, sf_dir)
+    return _filtered_actions(spark, sf_dir).select(*tables.VISIT_COLUMNS)
 
 
 def category_ids(spark, sf_dir):
@@ -120,9 +120,8 @@ def top10_category(spark, sf_dir):
 
 
 def _top10_clicks(spark, sf_dir):
-    fa = _filtered_actions(spark, sf_dir)
-    top = ranking.top10_category(ranking.category_full_count(fa), TASK_ID)
-    return ranking.category_session_clicks(fa, top)
+    cs = ranking.category_session_counts(_filtered_actions(spark, sf_dir))
+    return ranking.top_category_sessions(cs, TASK_ID)[1]
 
 
 def category_session_clicks(spark, sf_dir):

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from visitlab.functions.time import parse_time_sql
+
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
@@ -79,7 +81,8 @@ _VISIT_ACTION_EXPRS = [
     "event_id",
     "CAST(d AS STRING) AS date",
     "u AS user_id",
-    "concat_ws('-', CAST(u AS STRING), date_format(d, 'yyyyMMdd'), CAST(slot AS STRING))"
+    "concat_ws('-', CAST(u AS STRING),"
+    " CAST(year(d) * 10000 + month(d) * 100 + dayofmonth(d) AS STRING), CAST(slot AS STRING))"
     " AS session_id",
     "event_id % 10 AS page_id",
     "concat(CAST(d AS STRING), ' ', CAST((u * 7 + dayofmonth(d) * 3 + slot * 5) % 23 AS STRING),"
@@ -94,11 +97,22 @@ _VISIT_ACTION_EXPRS = [
     f"CASE WHEN event_type = 'purchase' THEN {_ID_LIST} END AS pay_category_ids",
     "CASE WHEN event_type = 'purchase' THEN CAST(event_id % 100 AS STRING) END AS pay_product_ids",
     "u % 10 AS city_id",
+    # typed time of the action (the text above, without re-parsing it)
+    "timestamp_seconds(CAST(unix_date(d) AS BIGINT) * 86400"
+    " + CAST((u * 7 + dayofmonth(d) * 3 + slot * 5) % 23 AS BIGINT) * 3600 + sod) AS action_ts",
+]
+
+# Columns of the visit log as stored (``action_ts`` is derived at scan time).
+VISIT_COLUMNS = [
+    "event_id", "date", "user_id", "session_id", "page_id", "action_time", "search_keyword",
+    "click_category_id", "click_product_id", "order_category_ids", "order_product_ids",
+    "pay_category_ids", "pay_product_ids", "city_id",
 ]
 
 
 def visit_actions_from_events(events: DataFrame) -> DataFrame:
-    """Map ``events`` rows onto the visit-log model (FIXTURES.md section 2).
+    """Map ``events`` rows onto the visit-log model (FIXTURES.md section 2),
+    plus the typed ``action_ts``.
 
     Pure projections (SQL expressions, one analysis pass each); Catalyst
     prunes the ones a query does not use, down to the parquet ReadSchema.
@@ -127,13 +141,14 @@ def read_visit_log(spark: SparkSession, path: str, start_date: str | None = None
                    end_date: str | None = None) -> DataFrame:
     """A stored ``user_visit_action`` table; ``date`` is ``yyyy-MM-dd`` text, so
     the inclusive range is a string range (partition pruning when the table
-    is partitioned by ``date``)."""
+    is partitioned by ``date``). The action-time text is parsed once here
+    into ``action_ts`` (null when unparseable)."""
     df = spark.read.parquet(path)
     if start_date:
         df = df.where(F.col("date") >= F.lit(start_date))
     if end_date:
         df = df.where(F.col("date") <= F.lit(end_date))
-    return df
+    return df.withColumn("action_ts", F.expr(parse_time_sql("action_time")))
 
 
 # ---------------------------------------------------------------------------
@@ -174,7 +189,7 @@ def ad_click_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 __all__ = [
-    "table_path", "read_table",
+    "VISIT_COLUMNS", "table_path", "read_table",
     "visit_actions", "visit_actions_from_events", "read_visit_log", "user_info",
     "product_info", "ad_click_lines",
 ]
