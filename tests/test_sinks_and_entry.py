@@ -50,3 +50,26 @@ def test_every_query_runs_on_smallest_tables(spark):
     for name, fn in entry.queries().items():
         df = fn(spark, SF_SMALL)
         df.write.format("noop").mode("overwrite").save()
+
+
+def test_report_jobs_write_every_output(spark):
+    import __spark_entry__ as entry
+    from visitlab.plans import reports
+    from visitlab.plans.defaults import DEFAULT
+    out = tempfile.mkdtemp(prefix="reports-")
+    acts = tables.visit_actions(spark, SF_SMALL, DEFAULT.start_date, DEFAULT.end_date)
+    reports.run_all(spark, acts, tables.user_info(spark, SF_SMALL), DEFAULT, reports.Sink(path=out))
+    q = entry.queries()
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.collect())
+
+    for table, query in [("session_aggr_stat", "session_length_stats"),
+                         ("session_random_extract", "session_random_extract"),
+                         ("session_detail", "session_extract_detail"),
+                         ("top10_category", "top10_category"),
+                         ("top10_session", "top10_session")]:
+        written = spark.read.parquet(os.path.join(out, table))
+        assert rows(written.select(*q[query](spark, SF_SMALL).columns)) == \
+            rows(q[query](spark, SF_SMALL)), table
+    assert spark.read.parquet(os.path.join(out, "page_convert_rate")).count() == 6
