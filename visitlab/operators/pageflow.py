@@ -35,14 +35,21 @@ def page_pairs(actions: DataFrame, pieces: int | None = None) -> DataFrame:
     ranged = (ordered.repartitionByRange(n, "session_id", "ts", "event_id")
               .withColumn("piece", F.spark_partition_id()))
     in_piece = Window.partitionBy("session_id", "piece").orderBy("ts", "event_id")
-    inner = (ranged.withColumn("next_page", F.lead("page_id").over(in_piece))
-             .selectExpr("page_id", "next_page", "true AS is_action"))
-    ends = ranged.groupBy("session_id", "piece").agg(
-        F.expr("min_by(page_id, struct(ts, event_id)) AS first_page"),
-        F.expr("max_by(page_id, struct(ts, event_id)) AS last_page"))
+    walked = ranged.select(
+        "session_id", "piece", "page_id",
+        F.lead("page_id").over(in_piece).alias("next_page"),
+        F.lag("event_id").over(in_piece).isNull().alias("is_first"),
+        F.lead("event_id").over(in_piece).isNull().alias("is_last"))
+    inner = walked.selectExpr("page_id", "next_page", "true AS is_action")
+    # first and last page of every (session, piece); the frame is already
+    # partitioned by (session, piece), so this aggregate adds no shuffle
+    ends = (walked.where("is_first OR is_last").groupBy("session_id", "piece")
+            .agg(F.expr("max(CASE WHEN is_first THEN page_id END) AS first_page"),
+                 F.expr("max(CASE WHEN is_last THEN page_id END) AS last_page")))
     across = Window.partitionBy("session_id").orderBy("piece")
     boundary = (ends.withColumn("next_first", F.lead("first_page").over(across))
-                .where("next_first IS NOT NULL")
+                .withColumn("has_next", F.lead("piece").over(across).isNotNull())
+                .where("has_next")
                 .selectExpr("last_page AS page_id", "next_first AS next_page",
                             "false AS is_action"))
     return inner.unionByName(boundary)
