@@ -31,6 +31,31 @@ def table_path(sf_dir: str, name: str) -> str:
 _SCHEMAS: dict[tuple[str, float], T.StructType] = {}
 
 
+# Lazy scan plans already built in this process. A DataFrame is an immutable
+# plan, so handing the same one to several queries only saves rebuilding it
+# (each execution still reads the files); keyed by session, path, file mtime
+# and arguments.
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def _memo(spark: SparkSession, path: str, *args):
+    try:
+        mtime = os.path.getmtime(path)
+    except OSError:
+        return None
+    return (spark.sparkContext.applicationId, id(spark), path, mtime) + args
+
+
+def _cached_plan(key, build) -> DataFrame:
+    if key is None:
+        return build()
+    df = _PLANS.get(key)
+    if df is None:
+        df = build()
+        _PLANS[key] = df
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = table_path(sf_dir, name)
     try:
@@ -127,14 +152,16 @@ def visit_actions(spark: SparkSession, sf_dir: str, start_date: str | None = Non
     The range is applied to ``events.ts`` before the mapping, so parquet
     row-group statistics skip data outside it (``PushedFilters`` on ``ts``).
     """
-    events = read_table(spark, sf_dir, "events")
-    ts_type = events.schema["ts"].dataType
-    lo, hi = _ts_bounds(ts_type, start_date, end_date)
-    if lo is not None:
-        events = events.where(F.col("ts") >= lo)
-    if hi is not None:
-        events = events.where(F.col("ts") < hi)
-    return visit_actions_from_events(events)
+    def build() -> DataFrame:
+        events = read_table(spark, sf_dir, "events")
+        lo, hi = _ts_bounds(events.schema["ts"].dataType, start_date, end_date)
+        if lo is not None:
+            events = events.where(F.col("ts") >= lo)
+        if hi is not None:
+            events = events.where(F.col("ts") < hi)
+        return visit_actions_from_events(events)
+    key = _memo(spark, table_path(sf_dir, "events"), "visit_actions", start_date, end_date)
+    return _cached_plan(key, build)
 
 
 def read_visit_log(spark: SparkSession, path: str, start_date: str | None = None,
@@ -158,6 +185,11 @@ def read_visit_log(spark: SparkSession, path: str, start_date: str | None = None
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users from ``customer``; keys ending in 9 are left out so that some
     sessions find no user (they drop out of the inner join)."""
+    return _cached_plan(_memo(spark, table_path(sf_dir, "customer"), "user_info"),
+                        lambda: _user_info(spark, sf_dir))
+
+
+def _user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     return c.where("c_custkey % 10 <> 9").selectExpr(
         "CAST(c_custkey AS BIGINT) AS user_id",
