@@ -126,3 +126,13 @@ def test_visit_actions_scan_pushes_date_range(spark):
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan
     assert "props" not in plan.split("ReadSchema:")[1].split("\n")[0]
     assert plan_text(df)
+
+
+def test_props_k_fast_path_equals_json_parser(spark):
+    from visitlab.sources import tables
+    docs = ['{"k": 69}', '{"k":-3}', '{"a": {"k": 1}, "k": 2}', '{"k": "7"}', "junk",
+            ' {"k" : 5 } ', '{"k": 1.5}', None]
+    df = spark.createDataFrame(list(enumerate(docs)), "event_id bigint, props string")
+    k = [e for e in tables._EVENT_HELPERS if e.endswith(" AS k")][0]
+    got = df.selectExpr("event_id", k, "try_cast(get_json_object(props, '$.k') AS BIGINT) AS j")
+    assert all(r["k"] == r["j"] for r in got.collect())

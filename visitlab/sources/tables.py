@@ -95,7 +95,10 @@ _EVENT_HELPERS = [
     "event_id",
     "event_type",
     "CAST(user_id AS BIGINT) div 15 AS u",
-    "try_cast(get_json_object(props, '$.k') AS BIGINT) AS k",
+    # props.k: documents of exactly the form {"k": <int>} are read by an
+    # anchored pattern (cheap); any other JSON goes through the JSON parser
+    "coalesce(try_cast(regexp_extract(props, '^\\\\{\\\\s*\"k\"\\\\s*:\\\\s*(-?[0-9]+)\\\\s*\\\\}$', 1)"
+    " AS BIGINT), try_cast(get_json_object(props, '$.k') AS BIGINT)) AS k",
     "to_date(ts) AS d",
     "(hour(ts) * 3600 + minute(ts) * 60 + second(ts)) div 24 AS sod",
     "CASE WHEN event_id % 32 < 24 THEN 0 WHEN event_id % 32 < 28 THEN 1 "
