@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Settings every analysis relies on. AQE re-plans joins from runtime sizes
 # (broadcast only when the measured side is under the threshold), coalesces
-# small shuffle partitions and splits skewed join partitions.
+# small shuffle partitions and splits skewed join partitions; with
+# forceOptimizeSkewedJoin the split is made even where it costs an extra
+# shuffle further up, instead of leaving a hot key in one task.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
 }
