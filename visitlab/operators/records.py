@@ -63,19 +63,20 @@ def packed_profile(profile: DataFrame) -> DataFrame:
 
 
 def packed_profile_fields(packed: DataFrame) -> DataFrame:
-    """Read typed fields back out of the packed record."""
-    f = P.packed_field_sql
-    return packed.selectExpr(
-        f("packed", P.F_SESSION_ID) + " AS session_id",
-        f("packed", P.F_SEARCH_KEYWORDS) + " AS search_keywords",
-        f("packed", P.F_CLICK_CATEGORY_IDS) + " AS click_category_ids",
-        f"try_cast({f('packed', P.F_VISIT_LENGTH)} AS BIGINT) AS visit_length",
-        f"try_cast({f('packed', P.F_STEP_LENGTH)} AS BIGINT) AS step_length",
-        f("packed", P.F_START_TIME) + " AS start_time",
-        f"try_cast({f('packed', P.F_AGE)} AS INT) AS age",
-        f("packed", P.F_PROFESSIONAL) + " AS professional",
-        f("packed", P.F_SEX) + " AS sex",
-        f("packed", P.F_CITY) + " AS city",
+    """Read typed fields back out of the packed record (split once per row)."""
+    f = P.parts_field_sql
+    parts = packed.selectExpr(P.packed_parts_sql("packed") + " AS kv")
+    return parts.selectExpr(
+        f("kv", P.F_SESSION_ID) + " AS session_id",
+        f("kv", P.F_SEARCH_KEYWORDS) + " AS search_keywords",
+        f("kv", P.F_CLICK_CATEGORY_IDS) + " AS click_category_ids",
+        f"try_cast({f('kv', P.F_VISIT_LENGTH)} AS BIGINT) AS visit_length",
+        f"try_cast({f('kv', P.F_STEP_LENGTH)} AS BIGINT) AS step_length",
+        f("kv", P.F_START_TIME) + " AS start_time",
+        f"try_cast({f('kv', P.F_AGE)} AS INT) AS age",
+        f("kv", P.F_PROFESSIONAL) + " AS professional",
+        f("kv", P.F_SEX) + " AS sex",
+        f("kv", P.F_CITY) + " AS city",
     )
 
 
@@ -83,8 +84,9 @@ def packed_profile_rewrite(packed: DataFrame) -> DataFrame:
     """Replace the ``visitLength`` value with its bucket label (empty when
     the length falls in no bucket)."""
     length = f"try_cast({P.packed_field_sql('packed', P.F_VISIT_LENGTH)} AS BIGINT)"
-    label = bucket_label_sql(length, VISIT_BUCKETS)
-    return packed.selectExpr(
+    with_len = packed.selectExpr("session_id", "packed", f"{length} AS visit_length")
+    label = bucket_label_sql("visit_length", VISIT_BUCKETS)
+    return with_len.selectExpr(
         "session_id", P.set_packed_field_sql("packed", P.F_VISIT_LENGTH, label) + " AS packed")
 
 

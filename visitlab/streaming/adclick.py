@@ -25,10 +25,10 @@ def _parts_sql(value: str = "value") -> str:
 def with_parsed(lines: DataFrame) -> DataFrame:
     """Adds typed columns and ``valid``: exactly five space-separated parts,
     all whole numbers."""
-    parts = _parts_sql()
-    cols = [f"try_cast(try_element_at({parts}, {i + 1}) AS BIGINT) AS {name}"
+    split = lines.selectExpr("value", f"{_parts_sql()} AS parts")
+    cols = [f"try_cast(try_element_at(parts, {i + 1}) AS BIGINT) AS {name}"
             for i, name in enumerate(FIELDS)]
-    parsed = lines.selectExpr("value", f"size({parts}) AS n_parts", *cols)
+    parsed = split.selectExpr("value", "size(parts) AS n_parts", *cols)
     all_numbers = " AND ".join(f"{c} IS NOT NULL" for c in FIELDS)
     return parsed.withColumn("valid", F.expr(f"coalesce(n_parts = 5 AND {all_numbers}, false)"))
 
