@@ -54,5 +54,5 @@ def test_range_split_equals_one_window_per_session(spark):
     acts = make_actions(spark, rows)
     flow = [0, 1, 2, 3, 4, 0]
     expected = _rates(pageflow.convert_rate(pageflow.page_pairs_by_window(acts), flow))
-    for pieces in (1, 2, 5, 16):
+    for pieces in (None, 1, 2, 5, 16):
         assert _rates(pageflow.page_convert_rate(acts, flow, pieces=pieces)) == expected

@@ -28,12 +28,13 @@ def page_pairs(actions: DataFrame, pieces: int | None = None) -> DataFrame:
     """(page_id, next_page, is_action): one row per action (``next_page`` null
     for a session's last action, or a piece's last action) plus one row per
     piece boundary inside a session (``is_action`` false)."""
-    spark = actions.sparkSession
-    n = int(pieces or spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = actions.selectExpr("session_id", "event_id", "page_id",
-                                 "action_ts AS ts")
-    ranged = (ordered.repartitionByRange(n, "session_id", "ts", "event_id")
-              .withColumn("piece", F.spark_partition_id()))
+    ordered = actions.selectExpr("session_id", "event_id", "page_id", "action_ts AS ts")
+    keys = ["session_id", "ts", "event_id"]
+    # Without an explicit count AQE may merge adjacent ranges to fit the data;
+    # merged ranges stay contiguous, so pieces remain ordered key intervals.
+    ranged = (ordered.repartitionByRange(int(pieces), *keys) if pieces
+              else ordered.repartitionByRange(*keys))
+    ranged = ranged.withColumn("piece", F.spark_partition_id())
     in_piece = Window.partitionBy("session_id", "piece").orderBy("ts", "event_id")
     walked = ranged.select(
         "session_id", "piece", "page_id",
