@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,15 +53,17 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (tests, local
-    runs) a scratch folder is created and registered.
+    Read from ``spark.checkpoint.dir``. Only a local master (tests, local
+    runs) may fall back to a scratch folder; on a cluster an unset value is an
+    error, because a machine-local folder would not survive a lost executor.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store)")
         path = tempfile.mkdtemp(prefix="visitlab-ckpt-")
-        spark.sparkContext.setCheckpointDir(path)
         spark.conf.set("spark.checkpoint.dir", path)
-    elif not spark.sparkContext.getCheckpointDir():
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(path)
     return path
 
@@ -69,12 +71,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet under the checkpoint folder and read it back.
 
-    Used where one intermediate result feeds several reports: the lineage is
-    cut at a reliable, shared location, so a lost executor re-reads the
-    written table instead of recomputing the upstream shuffle.
+    Used where one intermediate result feeds several reports: it is computed
+    once, and the lineage is cut at a reliable, shared location, so a lost
+    executor re-reads the written table instead of recomputing the upstream
+    shuffles.
     """
     spark = df.sparkSession
-    base = checkpoint_dir(spark)
-    path = os.path.join(base, f"{name}-{os.getpid()}-{id(df):x}")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
