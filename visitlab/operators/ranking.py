@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from visitlab.functions.text import split_ids_sql, sql_str
 
+
 def category_events(actions: DataFrame) -> DataFrame:
     """One row per (action, category touched): ``session_id, kind, category_id``.
 
@@ -52,7 +53,8 @@ def full_count_from_sessions(cs: DataFrame) -> DataFrame:
         F.expr("sum(pay_count) AS pay_count"))
 
 
-def top_category_sessions(cs: DataFrame, task_id: str = "", n: int = 10) -> tuple[DataFrame, DataFrame]:
+def top_category_sessions(cs: DataFrame, task_id: str = "",
+                          n: int = 10) -> tuple[DataFrame, DataFrame]:
     """(top-n categories, clicks per (category, session) for those categories)
     from :func:`category_session_counts`."""
     top = top10_category(full_count_from_sessions(cs), task_id, n)
@@ -93,19 +95,6 @@ def top10_category(full_count: DataFrame, task_id: str = "", n: int = 10) -> Dat
                         "pay_count"))
 
 
-def category_session_clicks(actions: DataFrame, categories: DataFrame) -> DataFrame:
-    """Clicks per (category, session) for the given categories.
-
-    ``categories`` is a top-n table (at most n rows), so it is broadcast.
-    """
-    clicks = actions.where("click_category_id <> -1") \
-        .selectExpr("click_category_id AS category_id", "session_id")
-    top = F.broadcast(categories.select("category_id"))
-    return (clicks.join(top, "category_id", "left_semi")
-            .groupBy("category_id", "session_id")
-            .agg(F.expr("count(1) AS click_count")))
-
-
 def top_sessions(session_clicks: DataFrame, task_id: str = "", n: int = 10) -> DataFrame:
     """Top n sessions per category by clicks, ties by session id.
 
