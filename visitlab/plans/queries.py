@@ -32,16 +32,32 @@ PROFILE_COLUMNS = ["session_id", "user_id", "search_keywords", "click_category_i
 # shared building blocks
 # ---------------------------------------------------------------------------
 
+# Lazy plans shared by several queries, keyed by the (memoized) input plans
+# and the parameters: building a plan is the only thing saved, every
+# execution still runs the whole plan.
+_SHARED: dict[tuple, DataFrame] = {}
+
+
+def _shared(key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
+    df = _SHARED.get(key)
+    if df is None:
+        df = _SHARED[key] = build()
+    return df
+
+
 def _actions(spark: SparkSession, sf_dir: str, p: TaskParams = DEFAULT) -> DataFrame:
     return tables.visit_actions(spark, sf_dir, p.start_date, p.end_date)
 
 
 def _profile(spark: SparkSession, sf_dir: str, p: TaskParams = DEFAULT) -> DataFrame:
-    return sessions.session_profile(_actions(spark, sf_dir, p), tables.user_info(spark, sf_dir), p)
+    acts, users = _actions(spark, sf_dir, p), tables.user_info(spark, sf_dir)
+    return _shared(("profile", id(acts), id(users), p),
+                   lambda: sessions.session_profile(acts, users, p))
 
 
 def _filtered(spark: SparkSession, sf_dir: str, p: TaskParams = DEFAULT) -> DataFrame:
-    return sessions.apply_filters(_profile(spark, sf_dir, p), p)
+    prof = _profile(spark, sf_dir, p)
+    return _shared(("filtered", id(prof), p), lambda: sessions.apply_filters(prof, p))
 
 
 def _formatted(df: DataFrame) -> DataFrame:
@@ -50,7 +66,9 @@ def _formatted(df: DataFrame) -> DataFrame:
 
 
 def _filtered_actions(spark: SparkSession, sf_dir: str, p: TaskParams = DEFAULT) -> DataFrame:
-    return sessions.filtered_actions(_actions(spark, sf_dir, p), _filtered(spark, sf_dir, p))
+    acts, kept = _actions(spark, sf_dir, p), _filtered(spark, sf_dir, p)
+    return _shared(("filtered_actions", id(acts), id(kept)),
+                   lambda: sessions.filtered_actions(acts, kept))
 
 
 # ---------------------------------------------------------------------------
@@ -120,8 +138,9 @@ def top10_category(spark, sf_dir):
 
 
 def _top10_clicks(spark, sf_dir):
-    cs = ranking.category_session_counts(_filtered_actions(spark, sf_dir))
-    return ranking.top_category_sessions(cs, TASK_ID)[1]
+    fa = _filtered_actions(spark, sf_dir)
+    return _shared(("top10_clicks", id(fa)), lambda: ranking.top_category_sessions(
+        ranking.category_session_counts(fa), TASK_ID)[1])
 
 
 def category_session_clicks(spark, sf_dir):
