@@ -73,3 +73,22 @@ def test_report_jobs_write_every_output(spark):
         assert rows(written.select(*q[query](spark, SF_SMALL).columns)) == \
             rows(q[query](spark, SF_SMALL)), table
     assert spark.read.parquet(os.path.join(out, "page_convert_rate")).count() == 6
+
+
+def test_stored_log_path_equals_events_path(spark):
+    """Write the mapped visit log as a date-partitioned table, read it back
+    with the stored-log scan (text time parsed at scan) and compare profiles."""
+    from visitlab.operators import sessions
+    from visitlab.plans.defaults import DEFAULT
+    out = os.path.join(tempfile.mkdtemp(prefix="visitlog-"), "user_visit_action")
+    direct = tables.visit_actions(spark, SF_SMALL, DEFAULT.start_date, DEFAULT.end_date)
+    sinks.overwrite_table(direct.select(*tables.VISIT_COLUMNS), out, partition_by=["date"])
+    stored = tables.read_visit_log(spark, out, DEFAULT.start_date, DEFAULT.end_date)
+    users = tables.user_info(spark, SF_SMALL)
+
+    def rows(acts):
+        prof = sessions.session_profile(acts, users, DEFAULT)
+        return sorted((tuple(r) for r in prof.select(sorted(prof.columns)).collect()),
+                      key=lambda t: [(v is None, str(v)) for v in t])
+
+    assert rows(stored) == rows(direct)
