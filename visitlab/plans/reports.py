@@ -111,7 +111,7 @@ def main(argv: list[str] | None = None) -> None:
     import argparse
     import json
 
-    from visitlab.session import get_spark
+    from visitlab.session import get_spark, size_shuffle_partitions
     from visitlab.sources import tables
 
     ap = argparse.ArgumentParser(prog="visitlab-reports")
@@ -123,6 +123,7 @@ def main(argv: list[str] | None = None) -> None:
     params = TaskParams.from_dict({"startDate": "2024-01-01", "endDate": "2024-01-31",
                                    **json.loads(a.params)})
     spark = get_spark(master=a.master, app_name="visitlab-reports")
+    size_shuffle_partitions(spark, [tables.table_path(a.tables, "events")])
     acts = tables.visit_actions(spark, a.tables, params.start_date, params.end_date)
     run_all(spark, acts, tables.user_info(spark, a.tables), params, Sink(path=a.out))
 
