@@ -56,3 +56,18 @@ def test_range_split_equals_one_window_per_session(spark):
     expected = _rates(pageflow.convert_rate(pageflow.page_pairs_by_window(acts), flow))
     for pieces in (None, 1, 2, 5, 16):
         assert _rates(pageflow.page_convert_rate(acts, flow, pieces=pieces)) == expected
+
+
+def test_strategy_follows_estimated_size(spark):
+    from conftest import plan_text
+    acts = make_actions(spark, _session("s", [1, 2, 3]))
+    small = plan_text(pageflow.page_convert_rate(acts, [1, 2, 3]))
+    assert "rangepartitioning" not in small
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1b")
+        big = pageflow.page_convert_rate(acts, [1, 2, 3])
+        assert "rangepartitioning" in plan_text(big)
+        assert _rates(big) == [(1, "1_2", 1, 1.0), (2, "2_3", 1, 1.0)]
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)

@@ -57,8 +57,8 @@ def page_pairs(actions: DataFrame, pieces: int | None = None) -> DataFrame:
 
 
 def page_pairs_by_window(actions: DataFrame) -> DataFrame:
-    """Same pairs from one ``lead`` per session; the direct form, used to
-    check :func:`page_pairs` on small inputs."""
+    """Same pairs from one ``lead`` per session: the direct form, for inputs
+    smaller than one shuffle partition (and to check :func:`page_pairs`)."""
     w = Window.partitionBy("session_id").orderBy("ts", "event_id")
     return (actions.selectExpr("session_id", "event_id", "page_id",
                                "action_ts AS ts")
@@ -85,5 +85,22 @@ def convert_rate(pairs: DataFrame, flow: list[int] | tuple[int, ...]) -> DataFra
     return counts.selectExpr(stack)
 
 
+def _estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (from file sizes and column widths)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def page_convert_rate(actions: DataFrame, flow, pieces: int | None = None) -> DataFrame:
+    """Conversion rates; the range split is used unless the estimated input
+    is below one advisory shuffle partition, where it would produce a single
+    piece anyway (then one ``lead`` per session is the same work, minus the
+    sampling job and a shuffle)."""
+    if pieces is None:
+        spark = actions.sparkSession
+        advisory = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
+        limit = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils
+                    .byteStringAsBytes(advisory))
+        probe = actions.selectExpr("session_id", "event_id", "page_id", "action_ts")
+        if _estimated_bytes(probe) < limit:
+            return convert_rate(page_pairs_by_window(actions), flow)
     return convert_rate(page_pairs(actions, pieces), flow)
