@@ -94,7 +94,8 @@ def page_convert_rate(actions: DataFrame, flow, pieces: int | None = None) -> Da
     """Conversion rates; the range split is used unless the estimated input
     is below one advisory shuffle partition, where it would produce a single
     piece anyway (then one ``lead`` per session is the same work, minus the
-    sampling job and a shuffle)."""
+    sampling job and a shuffle). An input without a size estimate counts as
+    large."""
     if pieces is None:
         spark = actions.sparkSession
         advisory = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
