@@ -105,3 +105,12 @@ def test_shuffle_partitions_sized_from_input(spark):
         assert size_shuffle_partitions(spark, [path]) >= int(before)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_stored_log_keeps_text_date(spark):
+    out = os.path.join(tempfile.mkdtemp(prefix="visitlog-"), "user_visit_action")
+    acts = make_actions(spark, [action(1, "a", "2024-01-01 1:00:00")]).drop("action_ts")
+    sinks.overwrite_table(acts, out, partition_by=["date"])
+    df = tables.read_visit_log(spark, out)
+    assert dict(df.dtypes)["date"] == "string"
+    assert df.collect()[0]["date"] == "2024-01-01"

@@ -6,11 +6,10 @@ sessions, chosen by the order of ``md5(seed || ':' || session_id)``.
 
 Scale notes: the cell table has at most 24 rows per day of the date range,
 whatever the data volume, so broadcasting it (and totalling it in one task)
-is safe. The draw is a
-``row_number`` per cell; the redundant literal bound ``rn <= K + 1`` (a quota
-never exceeds K + 1) lets Spark insert a partial ``WindowGroupLimit`` before
-the shuffle, so a busy hour sends at most K + 1 rows per map task instead of
-all of its sessions.
+is safe. The draw is a ``row_number`` per cell; the redundant literal bound
+``rn <= K + 1`` (a quota never exceeds K + 1, as n <= total) lets Spark
+insert a partial ``WindowGroupLimit`` before the shuffle, so a busy hour
+sends at most K + 1 rows per map task instead of all of its sessions.
 """
 
 from __future__ import annotations

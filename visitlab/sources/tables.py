@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from visitlab.functions.time import parse_time_sql
+from visitlab.schema import VISIT_ACTION
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -173,7 +174,9 @@ def read_visit_log(spark: SparkSession, path: str, start_date: str | None = None
     the inclusive range is a string range (partition pruning when the table
     is partitioned by ``date``). The action-time text is parsed once here
     into ``action_ts`` (null when unparseable)."""
-    df = spark.read.parquet(path)
+    # the declared schema keeps ``date`` as text (partition values would
+    # otherwise be inferred as dates)
+    df = spark.read.schema(VISIT_ACTION).parquet(path)
     if start_date:
         df = df.where(F.col("date") >= F.lit(start_date))
     if end_date:
