@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlab.functions.text import ratio_half_up_sql
+from visitlab.session import conf_bytes, estimated_bytes
 
 
 def page_pairs(actions: DataFrame, pieces: int | None = None) -> DataFrame:
@@ -85,11 +86,6 @@ def convert_rate(pairs: DataFrame, flow: list[int] | tuple[int, ...]) -> DataFra
     return counts.selectExpr(stack)
 
 
-def _estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (from file sizes and column widths)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def page_convert_rate(actions: DataFrame, flow, pieces: int | None = None) -> DataFrame:
     """Conversion rates; the range split is used unless the estimated input
     is below one advisory shuffle partition, where it would produce a single
@@ -97,11 +93,9 @@ def page_convert_rate(actions: DataFrame, flow, pieces: int | None = None) -> Da
     sampling job and a shuffle). An input without a size estimate counts as
     large."""
     if pieces is None:
-        spark = actions.sparkSession
-        advisory = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
-        limit = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils
-                    .byteStringAsBytes(advisory))
+        limit = conf_bytes(actions.sparkSession,
+                           "spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
         probe = actions.selectExpr("session_id", "event_id", "page_id", "action_ts")
-        if _estimated_bytes(probe) < limit:
+        if estimated_bytes(probe) < limit:
             return convert_rate(page_pairs_by_window(actions), flow)
     return convert_rate(page_pairs(actions, pieces), flow)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from visitlab.functions.text import sql_str
 from visitlab.params import TaskParams
+from visitlab.session import conf_bytes, estimated_bytes
 
 USER_COLUMNS = ["user_id", "age", "professional", "sex", "city"]
 
@@ -116,8 +117,16 @@ def filtered_actions(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     """Actions of the given sessions (left semi join on session_id).
 
     Session ids are unique on the right, so this equals the inner join of
-    the original without carrying the right side. A session holding a large
-    share of the actions sits on the left side, which AQE's skew-join
-    handling splits.
+    the original without carrying the right side. The kept sessions are a
+    subset of the actions' session ids, so the estimated size of the actions'
+    ``session_id`` column bounds them: when that bound is under
+    ``spark.sql.autoBroadcastJoinThreshold`` the ids are broadcast and the
+    actions are not shuffled; beyond it both sides shuffle on session_id, and
+    a session holding a large share of the actions sits on the left side,
+    which AQE's skew-join handling splits.
     """
-    return actions.join(sessions.select("session_id"), "session_id", "left_semi")
+    ids = sessions.select("session_id")
+    limit = conf_bytes(actions.sparkSession, "spark.sql.autoBroadcastJoinThreshold", "10MB")
+    if 0 <= estimated_bytes(actions.select("session_id")) <= limit:
+        ids = F.broadcast(ids)
+    return actions.join(ids, "session_id", "left_semi")

@@ -105,3 +105,16 @@ def size_shuffle_partitions(spark: SparkSession, paths: list[str],
     n = max(configured, wanted)
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     return n
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (file sizes scaled by the columns
+    read); frames without statistics report a huge value."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def conf_bytes(spark: SparkSession, key: str, default: str) -> int:
+    """A byte-size setting (``10MB``, ``10485760b``, ``-1``) as an int."""
+    value = spark.conf.get(key, default)
+    return int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils
+               .byteStringAsBytes(value)) if not value.strip().startswith("-") else -1
