@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from visitlab.functions.text import sql_str
 from visitlab.functions.time import format_date_sql, format_time_sql
+from visitlab.operators.sessions import session_lists
 
 DEFAULT_SEED = "visitlab"
 
@@ -50,18 +51,30 @@ def extract_quota(per_hour: DataFrame, k: int) -> DataFrame:
 
 
 def random_extract(sessions: DataFrame, k: int, seed: str = DEFAULT_SEED,
-                   task_id: str = "") -> DataFrame:
-    """The sampled sessions with start time, keywords and categories."""
-    cells = with_cell(sessions.where("start_time IS NOT NULL"))
-    quota = extract_quota(sessions_per_hour(sessions), k).select("date", "hour", "quota")
+                   task_id: str = "", actions: DataFrame | None = None) -> DataFrame:
+    """The sampled sessions with start time, keywords and categories.
+
+    Counting and drawing read only (session_id, start_time), so both use the
+    same session aggregation (its shuffle is reused). The keyword and
+    category lists are then fetched for the sampled sessions only: from
+    ``actions`` when given (aggregating just those sessions' actions), else
+    from the list columns of ``sessions`` (e.g. a written profile table).
+    """
+    base = sessions.select("session_id", "start_time")
+    cells = with_cell(base.where("start_time IS NOT NULL"))
+    quota = extract_quota(sessions_per_hour(base), k).select("date", "hour", "quota")
     w = Window.partitionBy("date", "hour").orderBy(
         F.expr(f"md5(concat({sql_str(seed + ':')}, session_id))"), F.col("session_id"))
     ranked = (cells.join(F.broadcast(quota), ["date", "hour"])
               .withColumn("rn", F.row_number().over(w)))
     # rn <= K + 1 is implied by rn <= quota; as a literal bound it enables the
     # partial per-cell limit before the shuffle.
-    picked = ranked.where(f"rn <= {int(k) + 1} AND rn <= quota")
-    return picked.selectExpr(
+    picked = ranked.where(f"rn <= {int(k) + 1} AND rn <= quota").select("session_id", "start_time")
+    if actions is not None:
+        lists = session_lists(actions, picked)
+    else:
+        lists = sessions.select("session_id", "search_keywords", "click_category_ids")
+    return picked.join(lists, "session_id", "left").selectExpr(
         f"{sql_str(task_id)} AS task_id", "session_id",
         format_time_sql("start_time") + " AS start_time",
         "nullif(search_keywords, '') AS search_keywords",

@@ -33,6 +33,15 @@ def _sql_list(values) -> str:
     return ", ".join(sql_str(v) if isinstance(v, str) else str(int(v)) for v in values)
 
 
+# distinct searched keywords and clicked categories of a session
+LIST_AGGS = [
+    _sorted_text_set_sql("CASE WHEN search_keyword <> '' THEN search_keyword END")
+    + " AS search_keywords",
+    _sorted_text_set_sql("CASE WHEN click_category_id <> -1 THEN click_category_id END",
+                         numeric=True) + " AS click_category_ids",
+]
+
+
 def session_aggregate(actions: DataFrame, params: TaskParams | None = None) -> DataFrame:
     """Per-session aggregates of the visit log (before the user join).
 
@@ -44,10 +53,7 @@ def session_aggregate(actions: DataFrame, params: TaskParams | None = None) -> D
     """
     aggs = [
         "min(CASE WHEN user_id <> -1 THEN user_id END) AS user_id",
-        _sorted_text_set_sql("CASE WHEN search_keyword <> '' THEN search_keyword END")
-        + " AS search_keywords",
-        _sorted_text_set_sql("CASE WHEN click_category_id <> -1 THEN click_category_id END",
-                             numeric=True) + " AS click_category_ids",
+        *LIST_AGGS,
         "count(1) AS step_length",
         "min(action_ts) AS start_time",
         "max(action_ts) AS end_time",
@@ -63,6 +69,13 @@ def session_aggregate(actions: DataFrame, params: TaskParams | None = None) -> D
         "visit_length", F.expr("unix_timestamp(end_time) - unix_timestamp(start_time)"))
 
 
+def session_lists(actions: DataFrame, session_ids: DataFrame) -> DataFrame:
+    """Keyword and category lists of a bounded set of sessions (broadcast),
+    aggregated from their actions only."""
+    acts = actions.join(F.broadcast(session_ids.select("session_id")), "session_id", "left_semi")
+    return acts.groupBy("session_id").agg(*[F.expr(a) for a in LIST_AGGS])
+
+
 def session_profile(actions: DataFrame, users: DataFrame,
                     params: TaskParams | None = None) -> DataFrame:
     """Session aggregates joined (inner) with the user attributes.

@@ -163,17 +163,22 @@ def session_extract_quota(spark, sf_dir):
     return sampling.extract_quota(sampling.sessions_per_hour(_profile(spark, sf_dir)), K_EXTRACT)
 
 
+def _extract(spark, sf_dir, k):
+    return sampling.random_extract(_profile(spark, sf_dir), k, SEED, TASK_ID,
+                                   actions=_actions(spark, sf_dir))
+
+
 def session_random_extract(spark, sf_dir):
-    return sampling.random_extract(_profile(spark, sf_dir), K_EXTRACT, SEED, TASK_ID)
+    return _extract(spark, sf_dir, K_EXTRACT)
 
 
 def session_random_extract_large(spark, sf_dir):
-    return sampling.random_extract(_profile(spark, sf_dir), K_EXTRACT_LARGE, SEED, TASK_ID)
+    return _extract(spark, sf_dir, K_EXTRACT_LARGE)
 
 
 def session_extract_detail(spark, sf_dir):
-    picked = sampling.random_extract(_profile(spark, sf_dir), K_EXTRACT, SEED, TASK_ID)
-    return sampling.extract_detail(_actions(spark, sf_dir), picked, TASK_ID)
+    return sampling.extract_detail(_actions(spark, sf_dir), _extract(spark, sf_dir, K_EXTRACT),
+                                   TASK_ID)
 
 
 # ---------------------------------------------------------------------------
