@@ -40,9 +40,10 @@ def append_parquet(df: DataFrame, path: str) -> None:
 def jdbc_writer(df: DataFrame, url: str, table: str, properties: dict | None = None,
                 num_partitions: int | None = None):
     """Configured JDBC writer (append). ``num_partitions`` caps concurrent
-    connections: the frame is coalesced before writing."""
-    out = df.coalesce(num_partitions) if num_partitions else df
-    w = out.write.format("jdbc").mode("append").option("url", url).option("dbtable", table)
+    connections through the writer's own ``numPartitions`` option."""
+    w = df.write.format("jdbc").mode("append").option("url", url).option("dbtable", table)
+    if num_partitions:
+        w = w.option("numPartitions", str(int(num_partitions)))
     for k, v in (properties or {}).items():
         w = w.option(k, v)
     return w
