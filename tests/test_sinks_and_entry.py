@@ -114,3 +114,24 @@ def test_stored_log_keeps_text_date(spark):
     df = tables.read_visit_log(spark, out)
     assert dict(df.dtypes)["date"] == "string"
     assert df.collect()[0]["date"] == "2024-01-01"
+
+
+def test_extract_population_switch(spark):
+    """Q9: the sample is drawn from date-filtered sessions by default, from the
+    fully filtered sessions with apply_filters."""
+    from visitlab.operators import sessions
+    from visitlab.plans import reports
+    from visitlab.plans.defaults import DEFAULT
+    acts = tables.visit_actions(spark, SF_SMALL, DEFAULT.start_date, DEFAULT.end_date)
+    users = tables.user_info(spark, SF_SMALL)
+    p = DEFAULT.replace(keywords="kw1")
+    profile = sessions.session_profile(acts, users, p)
+    out = tempfile.mkdtemp(prefix="extract-")
+    everyone = reports.random_extract_report(acts, profile, p, reports.Sink(path=out + "/a"), k=1000)
+    kept = reports.random_extract_report(acts, profile, p, reports.Sink(path=out + "/b"), k=1000,
+                                         apply_filters=True)
+    all_ids = {r["session_id"] for r in everyone.collect()}
+    kept_ids = {r["session_id"] for r in kept.collect()}
+    searched = {r["session_id"] for r in sessions.apply_filters(profile, p).collect()}
+    assert all_ids == {r["session_id"] for r in profile.collect()}   # K above total: all
+    assert kept_ids == searched and kept_ids < all_ids
