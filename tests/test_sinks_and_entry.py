@@ -135,3 +135,17 @@ def test_extract_population_switch(spark):
     searched = {r["session_id"] for r in sessions.apply_filters(profile, p).collect()}
     assert all_ids == {r["session_id"] for r in profile.collect()}   # K above total: all
     assert kept_ids == searched and kept_ids < all_ids
+
+
+def test_reports_cli_on_stored_tables(spark):
+    from visitlab.plans import reports
+    from visitlab.plans.defaults import DEFAULT
+    base = tempfile.mkdtemp(prefix="cli-")
+    log, users = os.path.join(base, "user_visit_action"), os.path.join(base, "user_info")
+    acts = tables.visit_actions(spark, SF_SMALL, DEFAULT.start_date, DEFAULT.end_date)
+    sinks.overwrite_table(acts.select(*tables.VISIT_COLUMNS), log, partition_by=["date"])
+    sinks.overwrite_table(tables.user_info(spark, SF_SMALL), users)
+    reports.main(["--visit-log", log, "--users", users, "--out", os.path.join(base, "out"),
+                  "--params", '{"startAge": 20, "endAge": 50, "targetPageFlow": "1,2,3"}'])
+    stat = spark.read.parquet(os.path.join(base, "out", "session_aggr_stat")).collect()[0]
+    assert stat["session_count"] == 147

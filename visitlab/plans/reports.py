@@ -102,11 +102,13 @@ def run_all(spark: SparkSession, actions: DataFrame, users: DataFrame, params: T
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``python -m visitlab.plans.reports --tables DIR --out DIR [--params JSON]``
+    """Run every report of one task.
 
-    Reads the driver-style tables (events, customer) of ``--tables`` and
-    appends every report under ``--out``. ``--params`` holds task
-    parameters with the original names (startDate, endDate, startAge, ...).
+    ``--tables DIR`` reads the driver-style tables (events, customer) of DIR;
+    ``--visit-log PATH --users PATH`` reads a stored ``user_visit_action``
+    table (ideally partitioned by date) and a ``user_info`` table instead.
+    Reports are appended under ``--out``. ``--params`` holds task parameters
+    with the original names (startDate, endDate, startAge, ...).
     """
     import argparse
     import json
@@ -115,17 +117,28 @@ def main(argv: list[str] | None = None) -> None:
     from visitlab.sources import tables
 
     ap = argparse.ArgumentParser(prog="visitlab-reports")
-    ap.add_argument("--tables", required=True)
+    src = ap.add_mutually_exclusive_group(required=True)
+    src.add_argument("--tables")
+    src.add_argument("--visit-log")
+    ap.add_argument("--users")
     ap.add_argument("--out", required=True)
     ap.add_argument("--params", default="{}")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
+    if a.visit_log and not a.users:
+        ap.error("--visit-log needs --users")
     params = TaskParams.from_dict({"startDate": "2024-01-01", "endDate": "2024-01-31",
                                    **json.loads(a.params)})
     spark = get_spark(master=a.master, app_name="visitlab-reports")
-    size_shuffle_partitions(spark, [tables.table_path(a.tables, "events")])
-    acts = tables.visit_actions(spark, a.tables, params.start_date, params.end_date)
-    run_all(spark, acts, tables.user_info(spark, a.tables), params, Sink(path=a.out))
+    if a.tables:
+        size_shuffle_partitions(spark, [tables.table_path(a.tables, "events")])
+        acts = tables.visit_actions(spark, a.tables, params.start_date, params.end_date)
+        users = tables.user_info(spark, a.tables)
+    else:
+        size_shuffle_partitions(spark, [a.visit_log])
+        acts = tables.read_visit_log(spark, a.visit_log, params.start_date, params.end_date)
+        users = spark.read.parquet(a.users)
+    run_all(spark, acts, users, params, Sink(path=a.out))
 
 
 if __name__ == "__main__":
