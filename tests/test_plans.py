@@ -28,4 +28,4 @@ def test_plan_guards(spark, name):
     for cols, path, pushed, schema in scans:
         if path.endswith("events.parquet") and name not in WHOLE_EVENTS:
             assert "GreaterThanOrEqual(ts" in pushed and "LessThan(ts" in pushed, (name, pushed)
-        assert "value:" not in schema or name == "ad_click_parse", (name, schema)
+        assert "value:" not in schema, (name, schema)      # events.value is never used
