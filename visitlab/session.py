@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -46,7 +47,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
                 spark.conf.set(k, v)
             except Exception:  # static conf already fixed by the running session
                 pass
-    spark.sparkContext.setLogLevel("WARN")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("WARN")
     return spark
 
 
@@ -57,17 +60,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     runs) may fall back to a scratch folder; on a cluster an unset value is an
     error, because a machine-local folder would not survive a lost executor.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    path = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        master = sc.master if sc else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store)")
         path = tempfile.mkdtemp(prefix="visitlab-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(path)
+    if sc and not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet under the checkpoint folder and read it back.
 
@@ -83,9 +96,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
-    """Total size on storage of ``paths`` (file system metadata only)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    """Total size on storage of ``paths`` (file system metadata only); 0
+    when the session does not expose the file system (Spark Connect)."""
+    sc = _context(spark)
+    if sc is None:
+        return 0
+    jvm = sc._jvm
+    conf = sc._jsc.hadoopConfiguration()
     total = 0
     for p in paths:
         path = jvm.org.apache.hadoop.fs.Path(p)
@@ -107,14 +124,32 @@ def size_shuffle_partitions(spark: SparkSession, paths: list[str],
     return n
 
 
+UNKNOWN_SIZE = 2 ** 63 - 1
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df`` (file sizes scaled by the columns
-    read); frames without statistics report a huge value."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    read). Frames without statistics, or sessions that do not expose the
+    plan (Spark Connect), report an unknown, i.e. huge, size."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return UNKNOWN_SIZE
+
+
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def parse_bytes(value: str) -> int:
+    """``10485760b``, ``10MB``, ``64m``, ``-1`` -> bytes (negative = off)."""
+    m = re.fullmatch(r"\s*(-?\d+)\s*([a-zA-Z]*)\s*", value)
+    if not m or m.group(2).lower() not in _UNITS:
+        raise ValueError(f"not a byte size: {value!r}")
+    n = int(m.group(1))
+    return -1 if n < 0 else n * _UNITS[m.group(2).lower()]
 
 
 def conf_bytes(spark: SparkSession, key: str, default: str) -> int:
-    """A byte-size setting (``10MB``, ``10485760b``, ``-1``) as an int."""
-    value = spark.conf.get(key, default)
-    return int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils
-               .byteStringAsBytes(value)) if not value.strip().startswith("-") else -1
+    """A byte-size setting as an int (-1 when disabled)."""
+    return parse_bytes(spark.conf.get(key, default))

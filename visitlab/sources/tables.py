@@ -44,7 +44,11 @@ def _memo(spark: SparkSession, path: str, *args):
         mtime = os.path.getmtime(path)
     except OSError:
         return None
-    return (spark.sparkContext.applicationId, id(spark), path, mtime) + args
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:        # Spark Connect: no context; the session object is the key
+        app = None
+    return (app, id(spark), path, mtime) + args
 
 
 def _cached_plan(key, build) -> DataFrame:
