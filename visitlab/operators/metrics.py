@@ -61,6 +61,7 @@ def bucket_label_sql(x: str, buckets: list[Bucket]) -> str:
 
 def session_buckets(sessions: DataFrame, visit_buckets: list[Bucket] = VISIT_BUCKETS,
                     step_buckets: list[Bucket] = STEP_BUCKETS) -> DataFrame:
+    """Per session: lengths and the label of the bucket each falls in."""
     return sessions.selectExpr(
         "session_id", "visit_length", "step_length",
         bucket_label_sql("visit_length", visit_buckets) + " AS visit_bucket",

@@ -47,6 +47,7 @@ def category_session_counts(actions: DataFrame) -> DataFrame:
 
 
 def full_count_from_sessions(cs: DataFrame) -> DataFrame:
+    """Category totals from :func:`category_session_counts` (partial sums)."""
     return cs.groupBy("category_id").agg(
         F.expr("sum(click_count) AS click_count"),
         F.expr("sum(order_count) AS order_count"),
@@ -80,6 +81,7 @@ def category_kind_count(actions: DataFrame, kind: str) -> DataFrame:
 
 
 def category_ids(actions: DataFrame) -> DataFrame:
+    """Distinct categories clicked, ordered or paid."""
     return category_events(actions).select("category_id").distinct()
 
 

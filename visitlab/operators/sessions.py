@@ -116,6 +116,7 @@ def session_predicate(params: TaskParams) -> Column | None:
 
 
 def apply_filters(profile: DataFrame, params: TaskParams) -> DataFrame:
+    """Profiles passing :func:`session_predicate`, without the helper flags."""
     pred = session_predicate(params)
     out = profile if pred is None else profile.where(pred)
     return out.drop("keyword_hit", "category_hit")

@@ -25,6 +25,7 @@ def _in_list(values) -> str:
 
 
 def actions_cte(p: TaskParams) -> str:
+    """CTEs ``ev`` and ``visit_actions``: the events mapping of FIXTURES.md section 2."""
     end = (_dt.date.fromisoformat(p.end_date) + _dt.timedelta(days=1)).isoformat()
     id_list = ("CASE WHEN event_id % 3 = 0 THEN CAST(k AS VARCHAR) || ',' || "
                "CAST((k * 7 + 3) % 100 AS VARCHAR) ELSE CAST(k AS VARCHAR) END")
@@ -269,6 +270,7 @@ counts AS (SELECT {", ".join(cols)} FROM seq)
 
 
 def build() -> dict[str, str]:
+    """The SQL text of every registered query, by query name."""
     q: dict[str, str] = {}
     q["visit_actions_in_range"] = f"WITH {actions_cte(IN_RANGE)}\nSELECT * FROM visit_actions"
     q["session_profile"] = f"{profile_ctes(DEFAULT)}\nSELECT {PROFILE_SELECT} FROM session_profile"

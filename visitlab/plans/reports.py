@@ -47,6 +47,7 @@ class Sink:
 
 
 def session_stat_report(profile: DataFrame, params: TaskParams, sink: Sink) -> DataFrame:
+    """Session count and length ratios of the filtered sessions -> session_aggr_stat."""
     stats = metrics.length_stats(sessions.apply_filters(profile, params), params.task_id)
     sink.write(stats, "session_aggr_stat")
     return stats
@@ -67,6 +68,8 @@ def random_extract_report(actions: DataFrame, profile: DataFrame, params: TaskPa
 
 def top10_report(actions: DataFrame, profile: DataFrame, params: TaskParams,
                  sink: Sink) -> tuple[DataFrame, DataFrame]:
+    """Top-10 categories and their top-10 sessions -> top10_category, top10_session.
+    The per-(category, session) counts are written once and feed both."""
     kept = sessions.apply_filters(profile, params)
     cs = materialize(ranking.category_session_counts(sessions.filtered_actions(actions, kept)),
                      "category-session-counts")
@@ -81,6 +84,7 @@ def top10_report(actions: DataFrame, profile: DataFrame, params: TaskParams,
 
 
 def page_flow_report(actions: DataFrame, params: TaskParams, sink: Sink) -> DataFrame:
+    """One-step conversion rates of the task's page flow -> page_convert_rate."""
     if not params.target_page_flow:
         raise ValueError("target_page_flow is not set")
     rates = pageflow.page_convert_rate(actions, params.target_page_flow)

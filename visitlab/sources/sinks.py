@@ -27,6 +27,7 @@ def with_task_id(df: DataFrame, task_id: str) -> DataFrame:
 
 
 def overwrite_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+    """Replace the table at ``path`` (parquet), optionally partitioned."""
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -34,6 +35,7 @@ def overwrite_table(df: DataFrame, path: str, partition_by: list[str] | None = N
 
 
 def append_parquet(df: DataFrame, path: str) -> None:
+    """Append a report to the parquet table at ``path``."""
     df.write.mode("append").parquet(path)
 
 
@@ -51,4 +53,5 @@ def jdbc_writer(df: DataFrame, url: str, table: str, properties: dict | None = N
 
 def append_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
                 num_partitions: int | None = None) -> None:
+    """Append a report to a relational table through Spark's JDBC writer."""
     jdbc_writer(df, url, table, properties, num_partitions).save()

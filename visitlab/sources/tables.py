@@ -62,6 +62,7 @@ def _cached_plan(key, build) -> DataFrame:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """``<sf_dir>/<name>.parquet``, read with its (cached) footer schema."""
     path = table_path(sf_dir, name)
     try:
         key = (path, os.path.getmtime(path))
