@@ -42,3 +42,18 @@ def test_stream_equals_batch(spark):
     lines = spark.createDataFrame([(v,) for v in LINES], "value string")
     batch = sorted(tuple(r) for r in adclick.parse_ad_clicks(lines).collect())
     assert streamed == batch
+
+
+def test_stream_counts_rejects_per_batch(spark):
+    src = tempfile.mkdtemp(prefix="adclick-src-")
+    sink = tempfile.mkdtemp(prefix="adclick-out-")
+    rejects = tempfile.mkdtemp(prefix="adclick-rej-")
+    with open(os.path.join(src, "part-0.txt"), "w") as f:
+        f.write("\n".join(LINES) + "\n")
+    q = adclick.start_parse_stream(spark, src, sink, rejects_dir=rejects,
+                                   checkpoint=tempfile.mkdtemp(prefix="adclick-ckpt-"))
+    q.awaitTermination(120)
+    good = spark.read.parquet(sink)
+    assert good.count() == 2 and "batch_id" in good.columns
+    assert sorted(r["value"] for r in spark.read.parquet(rejects).collect()) == sorted(
+        v for v in LINES if v not in (LINES[0], LINES[5]))

@@ -33,12 +33,14 @@ def with_parsed(lines: DataFrame) -> DataFrame:
     return parsed.withColumn("valid", F.expr(f"coalesce(n_parts = 5 AND {all_numbers}, false)"))
 
 
+_PARSED_COLUMNS = ["click_ms",
+                   "date_format(timestamp_millis(click_ms), 'yyyy-MM-dd HH:mm:ss') AS click_time",
+                   "province", "city", "user_id", "ad_id"]
+
+
 def parse_ad_clicks(lines: DataFrame) -> DataFrame:
     """Valid records as typed rows; ``click_time`` is the UTC text time."""
-    return (with_parsed(lines).where("valid")
-            .selectExpr("click_ms",
-                        "date_format(timestamp_millis(click_ms), 'yyyy-MM-dd HH:mm:ss') AS click_time",
-                        "province", "city", "user_id", "ad_id"))
+    return with_parsed(lines).where("valid").selectExpr(*_PARSED_COLUMNS)
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
@@ -62,16 +64,31 @@ def ad_clicks_from_events(events: DataFrame) -> DataFrame:
 
 
 def start_parse_stream(spark: SparkSession, source_dir: str, sink_dir: str,
-                       checkpoint: str | None = None, available_now: bool = True):
+                       checkpoint: str | None = None, available_now: bool = True,
+                       rejects_dir: str | None = None):
     """Stream text files from ``source_dir``, parse them, append the valid
     records as parquet to ``sink_dir``. Progress is kept under the shared
     checkpoint folder, so a restarted query resumes where it stopped.
-    Returns the running ``StreamingQuery``."""
+
+    With ``rejects_dir`` each micro-batch is split into valid records and
+    rejected lines; both are written under ``batch_id=<n>`` folders with
+    overwrite, so a retried batch replaces its own output instead of adding
+    to it. Returns the running ``StreamingQuery``.
+    """
     lines = spark.readStream.schema(LINE_SCHEMA).text(source_dir)
-    out = parse_ad_clicks(lines)
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/adclick-parse"
-    writer = (out.writeStream.format("parquet").outputMode("append")
-              .option("path", sink_dir).option("checkpointLocation", ckpt))
+    if rejects_dir is None:
+        writer = (parse_ad_clicks(lines).writeStream.format("parquet").outputMode("append")
+                  .option("path", sink_dir))
+    else:
+        def write_batch(batch: DataFrame, batch_id: int) -> None:
+            tagged = with_parsed(batch)
+            (tagged.where("valid").selectExpr(*_PARSED_COLUMNS)
+             .write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/batch_id={batch_id}"))
+            (tagged.where("NOT valid").select("value")
+             .write.mode("overwrite").parquet(f"{rejects_dir.rstrip('/')}/batch_id={batch_id}"))
+        writer = lines.writeStream.foreachBatch(write_batch)
+    writer = writer.option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 second")
     return writer.start()
