@@ -5,8 +5,7 @@ quota ``n * min(K, total) div total + 1`` and contributes ``min(quota, n)``
 sessions, chosen by the order of ``md5(seed || ':' || session_id)``.
 
 Scale notes: the cell table has at most 24 rows per day of the date range,
-whatever the data volume, so broadcasting it (and totalling it in one task)
-is safe. The draw is a ``row_number`` per cell; the redundant literal bound
+whatever the data volume, so broadcasting it is safe. The draw is a ``row_number`` per cell; the redundant literal bound
 ``rn <= K + 1`` (a quota never exceeds K + 1, as n <= total) lets Spark
 insert a partial ``WindowGroupLimit`` before the shuffle, so a busy hour
 sends at most K + 1 rows per map task instead of all of its sessions.
@@ -39,13 +38,12 @@ def sessions_per_hour(sessions: DataFrame) -> DataFrame:
 def extract_quota(per_hour: DataFrame, k: int) -> DataFrame:
     """Quota per cell, ``n * min(K, total) div total + 1``.
 
-    The total is a sum over the cell table itself (a window over the whole
-    table): that table has at most 24 rows per day of the date range, a bound
-    set by the calendar, not by the data volume, so it fits one task. Each
-    cell table is computed once.
+    The total is a scalar subquery over the cell table (partial sums per
+    task, one merged value); the cell table itself is computed once and its
+    shuffle is shared with the subquery.
     """
-    whole = Window.partitionBy()
-    return (per_hour.withColumn("total", F.sum("session_count").over(whole))
+    total = per_hour.select(F.sum("session_count")).scalar()
+    return (per_hour.withColumn("total", total)
             .selectExpr("date", "hour", "session_count",
                         f"(session_count * least({int(k)}L, total)) div total + 1 AS quota"))
 
