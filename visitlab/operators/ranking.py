@@ -38,7 +38,8 @@ def category_session_counts(actions: DataFrame) -> DataFrame:
 
     One aggregate that serves both rankings: summed by category it gives the
     category counts, filtered to the top categories it gives the sessions'
-    clicks. Building both from this one frame lets Spark reuse its shuffle.
+    clicks. After a shuffled semi join on session_id it needs no exchange of
+    its own. The report jobs write it once and read it for both rankings.
     """
     return category_events(actions).groupBy("category_id", "session_id").agg(
         F.expr("count_if(kind = 'click') AS click_count"),
