@@ -75,3 +75,13 @@ def test_strategy_follows_estimated_size(spark):
         assert _rates(big) == _rates(small)
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+
+
+def test_piece_ends_do_not_depend_on_event_ids(spark):
+    from pyspark.sql import functions as F
+    rows = _session("s", [1, 2, 3, 1, 2, 3], eid0=0) + _session("t", [1, 2, 3], start=30, eid0=10)
+    acts = make_actions(spark, rows)
+    no_ids = acts.withColumn("event_id", F.lit(None).cast("bigint"))
+    expected = _rates(pageflow.convert_rate(pageflow.page_pairs_by_window(acts), [1, 2, 3]))
+    for pieces in (2, 4):
+        assert _rates(pageflow.page_convert_rate(no_ids, [1, 2, 3], pieces=pieces)) == expected

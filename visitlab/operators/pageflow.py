@@ -40,8 +40,9 @@ def page_pairs(actions: DataFrame, pieces: int | None = None) -> DataFrame:
     walked = ranged.select(
         "session_id", "piece", "page_id",
         F.lead("page_id").over(in_piece).alias("next_page"),
-        F.lag("event_id").over(in_piece).isNull().alias("is_first"),
-        F.lead("event_id").over(in_piece).isNull().alias("is_last"))
+        # lag/lead of a constant is null exactly at the first/last row
+        F.lag(F.lit(1)).over(in_piece).isNull().alias("is_first"),
+        F.lead(F.lit(1)).over(in_piece).isNull().alias("is_last"))
     inner = walked.selectExpr("page_id", "next_page", "true AS is_action")
     # first and last page of every (session, piece); the frame is already
     # partitioned by (session, piece), so this aggregate adds no shuffle
