@@ -29,3 +29,19 @@ def test_plan_guards(spark, name):
         if path.endswith("events.parquet") and name not in WHOLE_EVENTS:
             assert "GreaterThanOrEqual(ts" in pushed and "LessThan(ts" in pushed, (name, pushed)
         assert "value:" not in schema, (name, schema)      # events.value is never used
+
+
+def test_top10_session_reuses_shuffles_on_the_shuffled_path(spark):
+    """With broadcasts off (the large-input path) the two uses of the
+    per-(category, session) counts read the same shuffle outputs."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = QUERIES["top10_session"](spark, SF_SMALL)
+        df.collect()
+        text = df._jdf.queryExecution().executedPlan().toString()
+        final = text.split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
+        assert re.search(r"SortMergeJoin \[session_id#\d+\], \[session_id#\d+\], LeftSemi", final)
+        assert final.count("ReusedExchange") >= 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -67,7 +67,9 @@ def _formatted(df: DataFrame) -> DataFrame:
 
 def _filtered_actions(spark: SparkSession, sf_dir: str, p: TaskParams = DEFAULT) -> DataFrame:
     acts, kept = _actions(spark, sf_dir, p), _filtered(spark, sf_dir, p)
-    return _shared(("filtered_actions", id(acts), id(kept)),
+    # the join strategy is chosen when the plan is built, from this setting
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    return _shared(("filtered_actions", id(acts), id(kept), threshold),
                    lambda: sessions.filtered_actions(acts, kept))
 
 
