@@ -122,12 +122,13 @@ def main(argv: list[str] | None = None) -> None:
 
     ap = argparse.ArgumentParser(prog="visitlab-reports")
     src = ap.add_mutually_exclusive_group(required=True)
-    src.add_argument("--tables")
-    src.add_argument("--visit-log")
-    ap.add_argument("--users")
-    ap.add_argument("--out", required=True)
-    ap.add_argument("--params", default="{}")
-    ap.add_argument("--master", default=None)
+    src.add_argument("--tables", help="folder with events.parquet and customer.parquet")
+    src.add_argument("--visit-log", help="stored user_visit_action table (parquet)")
+    ap.add_argument("--users", help="user_info table (parquet), with --visit-log")
+    ap.add_argument("--out", required=True, help="folder the reports are appended under")
+    ap.add_argument("--params", default="{}",
+                    help='task parameters as JSON, e.g. {"startDate": "2024-01-01", "startAge": 20}')
+    ap.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
     a = ap.parse_args(argv)
     if a.visit_log and not a.users:
         ap.error("--visit-log needs --users")
