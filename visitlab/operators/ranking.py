@@ -12,24 +12,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitlab.functions.text import split_ids_sql, sql_str
+from visitlab.functions.text import sql_str
 
 
 def category_events(actions: DataFrame) -> DataFrame:
     """One row per (action, category touched): ``session_id, kind, category_id``.
 
     Clicks carry one id (``-1`` = no click); order and pay lists are split,
-    repeated ids count each time, unparseable parts are dropped.
+    repeated ids count each time, empty or unparseable parts are dropped.
+    Built from generators only (``stack``, ``explode``), so the whole step
+    stays in generated code.
     """
-    def tagged(kind: str, ids: str) -> str:
-        return (f"transform(coalesce({ids}, CAST(array() AS ARRAY<BIGINT>)),"
-                f" i -> named_struct('kind', '{kind}', 'category_id', i))")
-    click = ("CASE WHEN click_category_id <> -1 THEN array(click_category_id)"
-             " ELSE CAST(array() AS ARRAY<BIGINT>) END")
-    pairs = (f"concat({tagged('click', click)}, {tagged('order', split_ids_sql('order_category_ids'))},"
-             f" {tagged('pay', split_ids_sql('pay_category_ids'))})")
-    return (actions.selectExpr("session_id", f"explode({pairs}) AS t")
-            .selectExpr("session_id", "t.kind AS kind", "t.category_id AS category_id")
+    return (actions.selectExpr(
+                "session_id",
+                "stack(3, 'click', CASE WHEN click_category_id <> -1"
+                " THEN CAST(click_category_id AS STRING) END,"
+                " 'order', order_category_ids, 'pay', pay_category_ids) AS (kind, ids)")
+            .selectExpr("session_id", "kind", "explode(split(ids, ',')) AS id_text")
+            .selectExpr("session_id", "kind", "try_cast(trim(id_text) AS BIGINT) AS category_id")
             .where("category_id IS NOT NULL AND session_id IS NOT NULL"))
 
 
