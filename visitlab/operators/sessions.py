@@ -25,7 +25,7 @@ def _sorted_text_set_sql(value: str, numeric: bool = False) -> str:
     Numeric ids sort as numbers, then are written as text."""
     arr = f"array_sort(collect_set({value}))"
     if numeric:
-        arr = f"transform({arr}, v -> CAST(v AS STRING))"
+        arr = f"CAST({arr} AS ARRAY<STRING>)"
     return f"nullif(array_join({arr}, ','), '')"
 
 
