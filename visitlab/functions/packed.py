@@ -56,24 +56,14 @@ def pack_sql(pairs: list[tuple[str, str]], delimiter: str = DELIMITER) -> str:
     return f"concat_ws({_lit(delimiter)}, {', '.join(items)})"
 
 
-def packed_parts_sql(text: str, delimiter: str = DELIMITER) -> str:
-    """The record split into ``[key, value]`` pieces, once; read fields from
-    it with :func:`parts_field_sql` when several fields are needed."""
-    return f"transform(split({text}, {_lit(re.escape(delimiter))}), p -> split(p, '='))"
-
-
-def parts_field_sql(parts: str, key: str) -> str:
-    """Value of ``key`` in split pieces; the first well-formed match wins. A
-    piece counts only when it has exactly one ``=`` and a non-empty value, so
-    an empty value reads as null."""
-    hits = (f"filter({parts}, p -> size(p) = 2 AND try_element_at(p, 1) = {_lit(key)}"
-            f" AND try_element_at(p, 2) <> '')")
-    return f"try_element_at(try_element_at({hits}, 1), 2)"
-
-
 def packed_field_sql(text: str, key: str, delimiter: str = DELIMITER) -> str:
-    """Value of ``key`` in packed text (see :func:`parts_field_sql`)."""
-    return parts_field_sql(packed_parts_sql(text, delimiter), key)
+    """Value of ``key`` in packed text: the first piece that is exactly
+    ``key=value`` with a non-empty value and no further ``=``; null when
+    there is none (so an empty value reads as null). One anchored pattern,
+    no lambda, so it stays in generated code."""
+    d = re.escape(delimiter)
+    pattern = f"(?:^|{d})" + re.escape(key) + f"=([^{d}=]+)(?={d}|$)"
+    return f"nullif(regexp_extract({text}, {_lit(pattern)}, 1), '')"
 
 
 def set_packed_field_sql(text: str, key: str, value: str, delimiter: str = DELIMITER) -> str:
