@@ -136,3 +136,15 @@ def test_props_k_fast_path_equals_json_parser(spark):
     k = [e for e in tables._EVENT_HELPERS if e.endswith(" AS k")][0]
     got = df.selectExpr("event_id", k, "try_cast(get_json_object(props, '$.k') AS BIGINT) AS j")
     assert all(r["k"] == r["j"] for r in got.collect())
+
+
+def test_params_validation_and_replace():
+    import pytest
+    with pytest.raises(KeyError):
+        TaskParams.from_dict({"startDate": "2024-01-01", "endDate": "2024-01-02", "colour": "red"})
+    with pytest.raises(ValueError):
+        TaskParams(start_date="", end_date="2024-01-02")
+    p = TaskParams(keywords="a, b,,", task_id="t")
+    q = p.replace(sex=" female ", category_ids=[3, "4"])
+    assert (q.keywords, q.sex, q.category_ids, q.task_id) == (("a", "b"), "female", (3, 4), "t")
+    assert hash(q) == hash(p.replace(sex="female", category_ids="3,4"))
