@@ -35,14 +35,19 @@ PROFILE_COLUMNS = ["session_id", "user_id", "search_keywords", "click_category_i
 # Lazy plans shared by several queries, keyed by the (memoized) input plans
 # and the parameters: building a plan is the only thing saved, every
 # execution still runs the whole plan.
-_SHARED: dict[tuple, DataFrame] = {}
+_SHARED: dict[tuple, tuple[DataFrame, tuple]] = {}
+_MAX_SHARED = 128
 
 
-def _shared(key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
-    df = _SHARED.get(key)
-    if df is None:
-        df = _SHARED[key] = build()
-    return df
+def _shared(key: tuple, build: Callable[[], DataFrame], *inputs: DataFrame) -> DataFrame:
+    """Plan for ``key``; ``inputs`` (whose ids are in the key) are kept alive
+    with the entry so an id cannot be reused by a different frame."""
+    hit = _SHARED.get(key)
+    if hit is None:
+        while len(_SHARED) >= _MAX_SHARED:          # bounded: drop the oldest
+            _SHARED.pop(next(iter(_SHARED)))
+        hit = _SHARED[key] = (build(), inputs)
+    return hit[0]
 
 
 def _actions(spark: SparkSession, sf_dir: str, p: TaskParams = DEFAULT) -> DataFrame:
@@ -52,12 +57,12 @@ def _actions(spark: SparkSession, sf_dir: str, p: TaskParams = DEFAULT) -> DataF
 def _profile(spark: SparkSession, sf_dir: str, p: TaskParams = DEFAULT) -> DataFrame:
     acts, users = _actions(spark, sf_dir, p), tables.user_info(spark, sf_dir)
     return _shared(("profile", id(acts), id(users), p),
-                   lambda: sessions.session_profile(acts, users, p))
+                   lambda: sessions.session_profile(acts, users, p), acts, users)
 
 
 def _filtered(spark: SparkSession, sf_dir: str, p: TaskParams = DEFAULT) -> DataFrame:
     prof = _profile(spark, sf_dir, p)
-    return _shared(("filtered", id(prof), p), lambda: sessions.apply_filters(prof, p))
+    return _shared(("filtered", id(prof), p), lambda: sessions.apply_filters(prof, p), prof)
 
 
 def _formatted(df: DataFrame) -> DataFrame:
@@ -70,7 +75,7 @@ def _filtered_actions(spark: SparkSession, sf_dir: str, p: TaskParams = DEFAULT)
     # the join strategy is chosen when the plan is built, from this setting
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")
     return _shared(("filtered_actions", id(acts), id(kept), threshold),
-                   lambda: sessions.filtered_actions(acts, kept))
+                   lambda: sessions.filtered_actions(acts, kept), acts, kept)
 
 
 # ---------------------------------------------------------------------------
@@ -142,7 +147,7 @@ def top10_category(spark, sf_dir):
 def _top10_clicks(spark, sf_dir):
     fa = _filtered_actions(spark, sf_dir)
     return _shared(("top10_clicks", id(fa)), lambda: ranking.top_category_sessions(
-        ranking.category_session_counts(fa), TASK_ID)[1])
+        ranking.category_session_counts(fa), TASK_ID)[1], fa)
 
 
 def category_session_clicks(spark, sf_dir):

@@ -37,6 +37,7 @@ _SCHEMAS: dict[tuple[str, float], T.StructType] = {}
 # (each execution still reads the files); keyed by session, path, file mtime
 # and arguments.
 _PLANS: dict[tuple, DataFrame] = {}
+_MAX_PLANS = 64
 
 
 def _memo(spark: SparkSession, path: str, *args):
@@ -56,6 +57,8 @@ def _cached_plan(key, build) -> DataFrame:
         return build()
     df = _PLANS.get(key)
     if df is None:
+        while len(_PLANS) >= _MAX_PLANS:            # bounded: drop the oldest
+            _PLANS.pop(next(iter(_PLANS)))
         df = build()
         _PLANS[key] = df
     return df
