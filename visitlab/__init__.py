@@ -15,4 +15,6 @@ Layout
 from visitlab.params import TaskParams
 from visitlab.session import get_spark
 
-__all__ = ["TaskParams", "get_spark"]
+__version__ = "0.1.0"
+
+__all__ = ["TaskParams", "get_spark", "__version__"]
