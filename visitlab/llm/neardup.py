@@ -11,8 +11,10 @@
    through the star follow; those inside a component need no comparison, and a
    group of near copies is one component by then. They are compared in blocks:
    blocks of the members outside the leader's component meet blocks of all
-   members, and only pairs that stay likely become rows. A bucket of unlike
-   documents that share a passage is so spread over many small tasks.
+   members, a pair in the first band it shares. First on signatures, and only
+   members with a likely partner go on; then, with their full sets beside them,
+   exactly. Only links become rows, so a bucket of unlike documents that share a
+   passage is spread over many small tasks and costs no row for each pair.
 5. A pair is compared batch by batch of signature places and dropped as soon as
    the posterior probability of a similarity of at least ``PERCENT`` falls under
    ``MISS``. What survives is decided on the full shingle sets.
@@ -41,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import materialize
+from .common import lean, materialize
 from .components import components
 from .idfilter import with_ids, without_ids
 
@@ -101,6 +103,7 @@ def least_matches() -> dict[int, int]:
     return out
 
 
+@lean()
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = shingle_sets(tokens.texts_of(batch["text"]))
@@ -110,6 +113,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "sig": pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary())})
 
 
+@lean()
 def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = np.arange(BANDS, dtype=np.uint64)
     for batch in batches:
@@ -120,7 +124,8 @@ def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = np.broadcast_to(number, (len(ids), BANDS)).copy()
         for r in range(ROWS):
             key = tokens.mix64(key * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, r])
-        yield pa.RecordBatch.from_pydict({"band": pa.array(key.ravel().view(np.int64)), "id": pa.array(np.repeat(ids, BANDS))})
+        yield pa.RecordBatch.from_pydict({"k": pa.array(np.tile(np.arange(BANDS, dtype=np.int32), len(ids))),
+                                          "band": pa.array(key.ravel().view(np.int64)), "id": pa.array(np.repeat(ids, BANDS))})
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -139,6 +144,7 @@ def _likely(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, na: np.n
     return alive
 
 
+@lean()
 def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sequential verification of given pairs: rows (a, b, na, nb, sig_a, sig_b)."""
     for batch in batches:
@@ -147,48 +153,83 @@ def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).take(pa.array(_likely(_matrix(batch["sig_a"]), _matrix(batch["sig_b"]), each, each, na, nb)))
 
 
-def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sequential verification inside groups (band, o, m): rows of role 1 against
-    rows of role 0 of other components. Rows come sorted by group and role."""
-    names = ["band", "o", "m", "role", "id", "c", "out", "n"]
-    carry: pa.RecordBatch | None = None
+_GROUP = ["band", "o", "m"]
 
-    def pairs(batch: pa.RecordBatch) -> pa.RecordBatch:
-        band, o, m, role, ids, c, out, n = (batch[x].to_numpy(zero_copy_only=False) for x in names)
-        sig = _matrix(batch["sig"])
-        left, right = [], []
-        for d in range(1, batch.num_rows):
-            same = (band[:-d] == band[d:]) & (o[:-d] == o[d:]) & (m[:-d] == m[d:])
-            if not same.any():
-                break
-            i = np.flatnonzero(same & (role[:-d] < role[d:]) & (c[:-d] != c[d:]) & (~out[:-d] | (ids[d:] < ids[:-d])))
-            i = i[_likely(sig, sig, i, i + d, n, n)]
-            left.append(ids[i])
-            right.append(ids[i + d])
-        a, b = (np.concatenate([np.empty(0, np.int64), *x]) for x in (left, right))
-        return pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
 
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of rows sorted by group, cut so that every group is in one batch."""
+    carry: pa.RecordBatch | None = None
     for batch in batches:
         if carry is not None:
             batch = pa.Table.from_batches([carry, batch]).combine_chunks().to_batches()[0]
         if not batch.num_rows:
             continue
-        key = [batch[x].to_numpy(zero_copy_only=False) for x in names[:3]]
-        # the last group may go on in the next batch
-        first = int(np.argmax(np.logical_and.reduce([k == k[-1] for k in key])))
+        last = np.logical_and.reduce([k == k[-1] for k in (batch[x].to_numpy() for x in _GROUP)])
+        first = int(np.argmax(last))
         carry = batch.slice(first)
         if first:
-            yield pairs(batch.slice(0, first))
+            yield batch.slice(0, first)
     if carry is not None:
-        yield pairs(carry)
-
-
+        yield carry
+
+
+def _likely_in_groups(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Row pairs (i, j) of one group, i of role 0 and j of role 1, of different
+    components, that are likely links and share no earlier band."""
+    band, o, m, role, ids, c, out, n, k = (batch[x].to_numpy(zero_copy_only=False) for x in (*_GROUP, "role", "id", "c", "out", "n", "k"))
+    sig = _matrix(batch["sig"])
+    left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for d in range(1, batch.num_rows):
+        same = (band[:-d] == band[d:]) & (o[:-d] == o[d:]) & (m[:-d] == m[d:])
+        if not same.any():
+            break
+        i = np.flatnonzero(same & (role[:-d] < role[d:]) & (c[:-d] != c[d:]) & (~out[:-d] | (ids[d:] < ids[:-d])))
+        i = i[_likely(sig, sig, i, i + d, n, n)]
+        agree = (sig[i] == sig[i + d]).reshape(len(i), BANDS, ROWS).all(axis=2)
+        i = i[agree.argmax(axis=1) == k[i]]
+        left.append(i)
+        right.append(i + d)
+    return np.concatenate(left), np.concatenate(right)
+
+
+@lean()
+def _likely_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _whole_groups(batches):
+        yield batch.take(pa.array(np.unique(np.concatenate(_likely_in_groups(batch)))))
+
+
+@lean()
+def _links_in_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _whole_groups(batches):
+        i, j = _likely_in_groups(batch)
+        order = np.argsort(i, kind="stable")
+        i, j = i[order], j[order]
+        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in batch["shingles"]]
+        size = np.array([len(v) for v in sets])
+        linked = np.zeros(len(i), bool)
+        lo = 0
+        while lo < len(i):
+            x = sets[i[lo]]
+            hi = int(np.searchsorted(i, i[lo], side="right"))
+            others = j[lo:hi]
+            y = np.concatenate([sets[q] for q in others])
+            hit = x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y
+            both = np.add.reduceat(hit.astype(np.int64), np.cumsum(size[others]) - size[others])
+            linked[lo:hi] = 100 * both >= PERCENT * (len(x) + size[others] - both)
+            lo = hi
+        ids = batch["id"].to_numpy()
+        a, b = ids[i[linked]], ids[j[linked]]
+        yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+
+
+@lean()
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = shingle_sets(tokens.texts_of(batch["text"]))
         yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "shingles": pa.array([s.tobytes() for s in sets], pa.binary())})
 
 
+@lean()
 def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
@@ -212,15 +253,18 @@ def one_row_per_id(docs: DataFrame) -> DataFrame:
     return without_ids(rows, repeated).unionByName(smallest)
 
 
+def _sets(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, shingles) of the documents in ``ids``."""
+    ids = materialize(ids.distinct(), "likely-ids")
+    return materialize(with_ids(rows, ids).mapInArrow(_set_rows, "doc_id long, shingles binary"), "shingle-sets")
+
+
 def verified_links(likely: DataFrame, rows: DataFrame) -> DataFrame:
     """Those of the likely pairs (a, b) that are links on the full sets."""
-    likely = materialize(likely.distinct(), "likely-pairs")
-    if likely.isEmpty():
-        return likely
-    ids = materialize(likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct(), "likely-ids")
-    sets = materialize(with_ids(rows, ids).mapInArrow(_set_rows, "doc_id long, shingles binary"), "shingle-sets")
+    likely = materialize(likely, "likely-pairs")
+    sets = _sets(rows, likely.select(F.col("a").alias("doc_id")).union(likely.select("b")))
     full = lambda x: sets.select(F.col("doc_id").alias(x), F.col("shingles").alias(f"shingles_{x}"))
-    return materialize(likely.join(full("a"), "a").join(full("b"), "b").mapInArrow(_exact, "a long, b long"), "links")
+    return likely.join(full("a"), "a").join(full("b"), "b").mapInArrow(_exact, "a long, b long")
 
 
 def _star_pairs(members: DataFrame, signatures: DataFrame) -> DataFrame:
@@ -230,24 +274,27 @@ def _star_pairs(members: DataFrame, signatures: DataFrame) -> DataFrame:
     return star.join(side("a"), "a").join(side("b"), "b").mapInArrow(_prune, "a long, b long")
 
 
-def _open_pairs(members: DataFrame, found: DataFrame, signatures: DataFrame) -> DataFrame:
-    """Likely links between bucket members of different components, none of them
-    the leader. One of the two is outside the leader's component, so a large
-    component is never compared with itself."""
+def _open_links(members: DataFrame, found: DataFrame, signatures: DataFrame, rows: DataFrame) -> DataFrame:
+    """Links between bucket members of different components, none of them the
+    leader. One of the two is outside the leader's component, so a large component
+    is never compared with itself."""
     lead = found.select(F.col("id").alias("leader"), F.col("component").alias("lc"))
     placed = (members.where("id <> leader").join(found.withColumnRenamed("component", "c"), "id", "left").join(lead, "leader", "left")
-              .select("band", "id", F.coalesce("c", "id").alias("c"), F.expr("coalesce(c, id) <> coalesce(lc, leader)").alias("out")))
+              .select("k", "band", "id", F.coalesce("c", "id").alias("c"), F.expr("coalesce(c, id) <> coalesce(lc, leader)").alias("out")))
     placed = materialize(placed, "placed-members")
     blocks = (placed.groupBy("band").agg(F.count("*").alias("n"), F.count_if("out").alias("n_out")).where("n > 1 and n_out > 0")
               .select("band", F.ceil(F.col("n_out") / BLOCK).alias("no"), F.ceil(F.col("n") / BLOCK).alias("nm")))
     placed = placed.join(blocks, "band")
     block = lambda n: F.pmod(F.xxhash64("id", F.lit(3)), n)
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    all_rows = placed.select("band", every("no").alias("o"), block(F.col("nm")).alias("m"), F.lit(0).alias("role"), "id", "c", "out")
-    out_rows = placed.where("out").select("band", block(F.col("no")).alias("o"), every("nm").alias("m"), F.lit(1).alias("role"), "id", "c", "out")
-    rows = all_rows.unionByName(out_rows).join(signatures.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sig"), "id")
-    return (rows.repartition("band", "o", "m").sortWithinPartitions("band", "o", "m", "role", "id")
-            .mapInArrow(_compare_blocks, "a long, b long"))
+    all_rows = placed.select("k", "band", every("no").alias("o"), block(F.col("nm")).alias("m"), F.lit(0).alias("role"), "id", "c", "out")
+    out_rows = placed.where("out").select("k", "band", block(F.col("no")).alias("o"), every("nm").alias("m"), F.lit(1).alias("role"), "id", "c", "out")
+    grouped = lambda df: df.repartition(*_GROUP).sortWithinPartitions(*_GROUP, "role", "id")
+    signed = all_rows.unionByName(out_rows).join(signatures.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sig"), "id")
+    likely = materialize(grouped(signed).mapInArrow(_likely_members, signed.schema), "likely-members")
+    sets = _sets(rows, likely.select(F.col("id").alias("doc_id")))
+    full = likely.join(sets.withColumnRenamed("doc_id", "id"), "id")
+    return grouped(full).mapInArrow(_links_in_groups, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -258,11 +305,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = materialize(classes, "classes")
     copies = classes.where("n > 1").select("set_key", "rep")
     reps = signatures.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "sig")
-    bands = materialize(reps.mapInArrow(_band_rows, "band long, id long"), "bands")
+    bands = materialize(reps.mapInArrow(_band_rows, "k int, band long, id long"), "bands")
     shared = bands.groupBy("band").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1")
     members = materialize(bands.join(shared.select("band", "leader"), "band"), "bucket-members")
     found = components(verified_links(_star_pairs(members, signatures), rows))
-    more = verified_links(_open_pairs(members, found, signatures), rows)
+    more = materialize(_open_links(members, found, signatures, rows), "links")
     if not more.isEmpty():
         found = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
 
