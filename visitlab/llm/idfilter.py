@@ -13,24 +13,24 @@ from pyspark.sql import functions as F
 BITS = 1 << 24
 
 
-def _marked(rows: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
-    """``rows`` with a column __hit: false only if the id is not in ``ids``."""
+def _bits(ids: DataFrame, id_col: str):
+    """The bit table of ``ids``, and the condition under which a row is marked."""
     place = F.pmod(F.xxhash64(F.lit(77), F.col(id_col)), F.lit(BITS))
-    words = (ids.select(place.alias("p"))
-             .groupBy(F.shiftright("p", 6).alias("__word"))
+    words = (ids.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("__word"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("__bits")))
-    return (rows.withColumn("__p", place).withColumn("__word", F.shiftright("__p", 6))
-            .join(F.broadcast(words), "__word", "left")  # at most BITS / 64 rows of two numbers
-            .withColumn("__hit", F.expr("coalesce(shiftright(__bits, cast(__p & 63 as int)) & 1, 0) = 1")))
+    bit = F.expr(f"shiftright(__bits, cast(pmod(xxhash64(77, `{id_col}`), {BITS}) & 63 as int)) & 1 = 1")
+    # at most BITS / 64 rows of two numbers
+    return F.broadcast(words), (F.shiftright(place, 6) == F.col("__word")) & bit
 
 
 def with_ids(rows: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Rows whose id is in ``ids`` (a table with that one column)."""
-    return _marked(rows, ids, id_col).where("__hit").select(rows.columns).join(ids, id_col, "left_semi")
+    words, marked = _bits(ids, id_col)
+    return rows.join(words, marked, "left_semi").join(ids, id_col, "left_semi").select(rows.columns)
 
 
 def without_ids(rows: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Rows whose id is null or not in ``ids``."""
-    marked = _marked(rows, ids, id_col)
-    doubtful = marked.where("__hit").select(rows.columns).join(ids, id_col, "left_anti")
-    return marked.where("not __hit").select(rows.columns).unionByName(doubtful.select(rows.columns))
+    words, marked = _bits(ids, id_col)
+    doubtful = rows.join(words, marked, "left_semi").join(ids, id_col, "left_anti").select(rows.columns)
+    return rows.join(words, marked, "left_anti").unionByName(doubtful)
