@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of one Arrow batch sent to a Python worker, and its most rows.
-BATCH_BYTES, BATCH_ROWS = 8 << 20, 2000
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 1000
 
 _LOCAL_SCRATCH: dict[str, str] = {}
 
@@ -49,3 +53,39 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: What a worker process keeps between tasks: owner and how to drop it.
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def keeps(owner: str, drop: Callable[[], None]) -> None:
+    """Say that this process keeps something for ``owner``'s next task."""
+    _KEPT[owner] = drop
+
+
+def lean(owner: str = ""):
+    """Decorator of a function over Arrow batches: before it starts, drop what
+    other operators keep in the worker; afterwards, return freed memory to the
+    system. Spark reuses workers, and several share an executor's memory."""
+
+    def wrap(fn):
+        @functools.wraps(fn)
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for other in [k for k in _KEPT if k != owner]:
+                _KEPT.pop(other)()
+            _trim()
+            yield from fn(batches)
+            _trim()
+
+        return run
+
+    return wrap
+
+
+def _trim() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # a C library without it
+        pass

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
+from .common import lean
 
 WINDOW = 8
 #: Words of a window that must be literal for the template to count.
@@ -181,6 +182,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for block in _blocks(benchmark):
         sent = spark.sparkContext.broadcast(block)
 
+        @lean()
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 found = matches(tokens.texts_of(batch["text"]), sent.value)
@@ -200,6 +202,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for block in _blocks(benchmark):
         sent = spark.sparkContext.broadcast(block)
 
+        @lean()
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 clean = np.ones(batch.num_rows, bool)

@@ -2,8 +2,8 @@
 
 A byte-level BPE file splits a text with a fixed pattern and merges inside each
 piece only, so the ids of a text are the ids of its pieces in order. Prose
-repeats its pieces: each distinct piece is encoded by the library once per
-worker and kept in a bounded cache. The cached path is taken only where the
+repeats its pieces: the library encodes a distinct piece once, and a bounded
+cache per worker keeps the ids; pieces that came a second time stay longer. The cached path is taken only where the
 pattern is certain to split as the library does: plain ASCII and Latin
 characters, no special token in the text, and a tokenizer file with exactly that
 split. Everything else goes to the library as a whole text.
@@ -18,8 +18,10 @@ import re
 
 import numpy as np
 
-#: Pieces kept per worker before the cache starts anew.
-CACHE_PIECES = 600_000
+from .common import keeps
+
+#: Pieces kept per worker: seen again, and seen once. A full part starts anew.
+CACHE_HOT, CACHE_NEW = 250_000, 100_000
 #: Letters and numbers among the characters that the cached path accepts.
 _L, _N = "A-Za-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼½¾"
 _PLAIN = re.compile("[\t\n\r\x20-\x7e¡-¬®-ſ]*")
@@ -33,16 +35,17 @@ class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.models import BPE
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        pre = spec.get("pre_tokenizer") or {}
-        self.split = (spec["model"]["type"] == "BPE" and not spec.get("normalizer") and pre.get("type") == "ByteLevel"
-                      and not pre.get("add_prefix_space") and pre.get("use_regex", True))
-        self.special = [t["content"] for t in spec.get("added_tokens", [])]
+        pre = self.tokenizer.pre_tokenizer
+        self.split = (isinstance(self.tokenizer.model, BPE) and self.tokenizer.normalizer is None and isinstance(pre, ByteLevel)
+                      and not pre.add_prefix_space and json.loads(pre.__getstate__()).get("use_regex", True))
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.pieces = _PIECES.findall
-        self.cache: dict[str, bytes] = {}
+        self.hot: dict[str, bytes] = {}
+        self.new: dict[str, bytes] = {}
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -52,19 +55,33 @@ class Encoder:
             return np.empty(0, np.uint32)
         if not self.split or not _PLAIN.fullmatch(text) or any(s in text for s in self.special):
             return self.whole(text)
-        if len(self.cache) > CACHE_PIECES:
-            self.cache.clear()
-        pieces, cache = self.pieces(text), self.cache
-        try:
-            return np.frombuffer(b"".join([cache[p] for p in pieces]), np.uint32)
-        except KeyError:
-            new = [p for p in dict.fromkeys(pieces) if p not in cache]
-            for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                cache[p] = np.array(e.ids, np.uint32).tobytes()
-            return np.frombuffer(b"".join([cache[p] for p in pieces]), np.uint32)
+        pieces = self.pieces(text)
+        found = list(map(self.hot.get, pieces))
+        if None in found:
+            self._complete(pieces, found)
+        return np.frombuffer(b"".join(found), np.uint32)
+
+    def _complete(self, pieces: list[str], found: list[bytes | None]) -> None:
+        """Fill in the pieces that the hot part does not know."""
+        if len(self.hot) > CACHE_HOT:
+            self.hot.clear()
+        if len(self.new) > CACHE_NEW:
+            self.new.clear()
+        at = [i for i, f in enumerate(found) if f is None]
+        unknown = [p for p in dict.fromkeys(pieces[i] for i in at) if p not in self.new]
+        first = dict(zip(unknown, (np.array(e.ids, np.uint32).tobytes() for e in
+                                   self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)), strict=True))
+        for i in at:
+            p = pieces[i]
+            ids = first.get(p)
+            if ids is None:
+                ids = self.hot[p] = self.new[p]
+            found[i] = ids
+        self.new.update(first)
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
     """One encoder per worker process and file."""
+    keeps("encoder", encoder.cache_clear)
     return Encoder(path)

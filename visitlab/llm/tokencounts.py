@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import lean, materialize
 from .encode import encoder
 
 #: Lengths in one block of the suffix sums.
@@ -30,6 +30,7 @@ BLOCK = 1024
 def counts(docs: DataFrame, tokenizer: str) -> DataFrame:
     """(n_tokens, n_docs): documents by encoded length."""
 
+    @lean("encoder")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
         for batch in batches:

@@ -34,6 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import lean
 from .encode import encoder
 from .tokens import mix64
 
@@ -124,6 +125,7 @@ def _find(index: pd.Series, keys: np.ndarray) -> pd.DataFrame:
 # --- writing ---
 
 def _encode_shards(tokenizer: str):
+    @lean("encoder")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
         ids: list[np.ndarray] = []

@@ -15,7 +15,7 @@ import numpy as np
 import xxhash
 
 #: Bytes of texts worked on at a time.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: Longer words are hashed one by one.
 LONG_WORD = 128
 _MASK = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)

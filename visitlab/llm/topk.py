@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import lean, materialize
 
 K = 20
 #: A row asks if its id is divisible by this.
@@ -88,6 +88,7 @@ def _gather(sent, keep: int):
     """Phase one: per block and query, the ``keep`` best totals among the entries
     that lead a local list."""
 
+    @lean()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q_ids, q = sent.value
         for ids, x in _rows(batches):
@@ -114,6 +115,7 @@ def _collect(sent):
     """Phases two and three: entries with a local score of at least t / LISTS,
     resolved to totals of at least t."""
 
+    @lean()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q_ids, q, cutoff = sent.value
         for ids, x in _rows(batches):

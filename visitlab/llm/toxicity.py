@@ -25,12 +25,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from . import tokens
-from .common import materialize
+from .common import keeps, lean, materialize
 
 #: Feature slots. The model has at most so many weights.
 DIM = 1 << 20
 #: Most labelled documents that training reads: those with the smallest hash.
-SAMPLE = 20_000
+SAMPLE = 10_000
 EPOCHS, ALPHA, BETA, L2 = 4, 0.3, 1.0, 0.5
 #: L1 in units of the standard deviation of a pure-noise gradient sum.
 L1_NOISE = 0.5
@@ -81,6 +81,7 @@ def fit(examples: list[np.ndarray], labels: list[int], epochs: int = EPOCHS, alp
     return kept, w[kept], bias
 
 
+@lean()
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     examples, labels = [], []
     for batch in batches:
@@ -90,7 +91,7 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pairs = np.unique(doc * DIM + slot)
             cut = np.searchsorted(pairs, np.arange(hi - lo + 1) * DIM)
             slots = (pairs & (DIM - 1)).astype(np.int32)
-            examples += [slots[cut[i]:cut[i + 1]].copy() for i in range(hi - lo)]
+            examples += [slots[cut[i]:cut[i + 1]] for i in range(hi - lo)]
         labels += y
     slots, weights, bias = fit(examples, labels)
     yield pa.RecordBatch.from_pydict({"slot": pa.array([-1, *slots.tolist()], pa.int64()),
@@ -128,6 +129,7 @@ def score(texts: list[bytes], slots: np.ndarray, values: np.ndarray, bias: float
     key = hash((slots.tobytes(), values.tobytes()))
     if key not in _DENSE:
         _DENSE.clear()
+        keeps("toxicity", _DENSE.clear)
         _DENSE[key] = np.zeros(DIM)
         _DENSE[key][slots] = values
     dense = _DENSE[key]
@@ -146,6 +148,7 @@ def score_table(docs: DataFrame, model: DataFrame, column: str = "score") -> Dat
     base = docs.drop(column)
     schema = StructType([*base.schema.fields, StructField(column, DoubleType())])
 
+    @lean("toxicity")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.append_column(column, pa.array(score(tokens.texts_of(batch["text"]), *of.value), pa.float64()))
