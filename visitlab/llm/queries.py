@@ -85,4 +85,56 @@ def _configured(fn):
 REGISTRY = {fn.__name__: _configured(fn) for fn in (
     op1_decontaminate, op2_token_files, op3_sharding, op4_chat, op5_pii, op6_mixing, op7_token_counts, op8_toxicity,
     op9_near_duplicates, op10_top_k)}
-ORACLE: dict[str, str] = {}
+
+#: DuckDB SQL where it can express the result; the tests hold the other queries
+#: against brute force.
+ORACLE: dict[str, str] = {
+    "op3_sharding": f"""
+WITH d AS (
+  SELECT doc_id, CAST(coalesce(octet_length(encode(text)), 0) AS BIGINT) AS n_bytes,
+         lpad(bin(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15) AS BIGINT)), 60, '0') AS bits
+  FROM documents),
+sums AS (
+  SELECT depth, substr(bits, 1, depth) AS shard FROM d, (SELECT unnest(range(0, 40)) AS depth) WHERE n_bytes <= {sharding.LIMIT}
+  GROUP BY ALL HAVING sum(n_bytes) <= {sharding.LIMIT})
+SELECT doc_id, n_bytes, min_by(shard, s.depth) AS shard, CAST(min(s.depth) AS INTEGER) AS depth, false AS oversize
+FROM d JOIN sums s ON s.shard = substr(d.bits, 1, s.depth) GROUP BY doc_id, n_bytes""",
+    # formatted_chars as long as no text holds an end marker on a line of its own
+    "op4_chat": r"""
+WITH t AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+g AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(coalesce(role, '') || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role NULLS FIRST, text) AS told,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role NULLS FIRST, text) FILTER (role = 'assistant'), '') AS learned,
+         sum(17 + length(coalesce(role, '--')) + length(text)) AS formatted_chars
+  FROM t GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(told) AS turns_sha256, CAST(length(learned) AS BIGINT) AS loss_chars, sha256(learned) AS loss_sha256,
+       CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM g""",
+    "op9_near_duplicates": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x09-\x0D\x20]+'), lambda x: x <> '') AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(words[k:k + 4], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS k FROM w WHERE len(words) > 0)),
+n AS (SELECT w.doc_id, count(s.shingle) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY w.doc_id),
+link AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+reach AS (SELECT doc_id, doc_id AS other FROM n UNION SELECT r.doc_id, l.b FROM reach r JOIN link l ON l.a = r.other)
+SELECT doc_id, n AS n_shingles, c AS component_id, doc_id = c AS kept
+FROM n JOIN (SELECT doc_id, min(other) AS c FROM reach GROUP BY doc_id) USING (doc_id)""",
+    "op10_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+}
