@@ -2,9 +2,18 @@ import random
 
 from conftest import action, make_actions
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from visitlab.operators import pageflow
 
 
+def _by_window(actions):
+    """The same pairs from one ``lead`` per session."""
+    w = Window.partitionBy("session_id").orderBy("action_ts", "event_id")
+    return actions.select("page_id", F.lead("page_id").over(w).alias("next_page"), F.lit(True).alias("is_action"))
+
+
 def _rates(df):
     return [(r["step"], r["page_pair"], r["pair_count"], r["convert_rate"])
             for r in df.orderBy("step").collect()]
@@ -20,7 +29,7 @@ def test_full_broken_repeated_and_absent_flows(spark):
             + _session("broken", [1, 2, 9, 3], eid0=10)
             + _session("repeat", [1, 1, 2, 2, 3], eid0=20)
             + _session("nofirst", [2, 3], eid0=30))
-    out = pageflow.page_convert_rate(make_actions(spark, rows), [1, 2, 3], pieces=3)
+    out = pageflow.page_convert_rate(make_actions(spark, rows), [1, 2, 3], step=2)
     # visits of 1: 1 + 1 + 2 = 4; (1,2): full, broken, repeat = 3; (2,3): full, repeat, nofirst = 3
     assert _rates(out) == [(1, "1_2", 3, 0.75), (2, "2_3", 3, 1.0)]
 
@@ -53,35 +62,28 @@ def test_range_split_equals_one_window_per_session(spark):
             eid += 1
     acts = make_actions(spark, rows)
     flow = [0, 1, 2, 3, 4, 0]
-    expected = _rates(pageflow.convert_rate(pageflow.page_pairs_by_window(acts), flow))
-    for pieces in (None, 1, 2, 5, 16):
-        assert _rates(pageflow.page_convert_rate(acts, flow, pieces=pieces)) == expected
-
-
-def test_strategy_follows_estimated_size(spark):
-    from conftest import SF_SMALL, plan_text
-    from visitlab.sources import tables
-    acts = tables.visit_actions(spark, SF_SMALL, "2024-01-01", "2024-01-31")
-    small = pageflow.page_convert_rate(acts, [1, 2, 3])
-    assert "rangepartitioning" not in plan_text(small)        # 6 KB of parquet
-    # rows without a size estimate (local data) take the scalable path
-    local = make_actions(spark, _session("s", [1, 2, 3]))
-    assert "rangepartitioning" in plan_text(pageflow.page_convert_rate(local, [1, 2, 3]))
-    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    try:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1b")
-        big = pageflow.page_convert_rate(acts, [1, 2, 3])
-        assert "rangepartitioning" in plan_text(big)
-        assert _rates(big) == _rates(small)
-    finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    expected = _rates(pageflow.convert_rate(_by_window(acts), flow))
+    for reuse in ("true", "false"):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        try:
+            for step in (1, 7, 60, 600, 86400):
+                assert _rates(pageflow.page_convert_rate(acts, flow, step=step)) == expected
+        finally:
+            spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
+def test_one_plan_and_rows_without_a_session(spark):
+    from conftest import plan_text
+    rows = _session("s", [1, 2, 3]) + _session(None, [1, 2], eid0=50)
+    out = pageflow.page_convert_rate(make_actions(spark, rows), [1, 2, 3])
+    assert _rates(out) == [(1, "1_2", 1, 1.0), (2, "2_3", 1, 1.0)]
+    assert "rangepartitioning" not in plan_text(out)
 
 
 def test_piece_ends_do_not_depend_on_event_ids(spark):
-    from pyspark.sql import functions as F
     rows = _session("s", [1, 2, 3, 1, 2, 3], eid0=0) + _session("t", [1, 2, 3], start=30, eid0=10)
     acts = make_actions(spark, rows)
     no_ids = acts.withColumn("event_id", F.lit(None).cast("bigint"))
-    expected = _rates(pageflow.convert_rate(pageflow.page_pairs_by_window(acts), [1, 2, 3]))
-    for pieces in (2, 4):
-        assert _rates(pageflow.page_convert_rate(no_ids, [1, 2, 3], pieces=pieces)) == expected
+    expected = _rates(pageflow.convert_rate(_by_window(acts), [1, 2, 3]))
+    for step in (2, 4):
+        assert _rates(pageflow.page_convert_rate(no_ids, [1, 2, 3], step=step)) == expected

@@ -9,11 +9,13 @@ For a target flow p1, p2, ..., pn and the actions of each session ordered by
 
 Finding each action's successor needs the session's actions in order. A
 plain ``lead`` over ``partitionBy(session_id)`` would put a very large
-session into one task, so the actions are range-partitioned on
-(session_id, ts, event_id) instead: a big session is cut into contiguous
-pieces on several tasks. ``lead`` runs inside each (session, piece); the
-successor of a piece's last action is the first action of the session's
-next piece, found from a summary with one row per (session, piece).
+session into one task, so a session is cut into pieces by a fixed time step
+of the action time: pieces are a function of the row alone, so every branch of
+the plan sees the same ones. ``lead`` runs inside each (session, piece); the
+successor of a piece's last action is the first action of the session's next
+piece, found from a summary with one row per (session, piece). The plan is the
+same at every size. Rows without a session id belong to no session and are left
+out; actions without a time come first in their session.
 """
 
 from __future__ import annotations
@@ -22,20 +24,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlab.functions.text import ratio_half_up_sql
-from visitlab.session import conf_bytes, estimated_bytes
 
 
-def page_pairs(actions: DataFrame, pieces: int | None = None) -> DataFrame:
+#: Seconds of action time in one piece of a session.
+STEP = 600
+
+
+def page_pairs(actions: DataFrame, step: int = STEP) -> DataFrame:
     """(page_id, next_page, is_action): one row per action (``next_page`` null
     for a session's last action, or a piece's last action) plus one row per
     piece boundary inside a session (``is_action`` false)."""
-    ordered = actions.selectExpr("session_id", "event_id", "page_id", "action_ts AS ts")
-    keys = ["session_id", "ts", "event_id"]
-    # Without an explicit count AQE may merge adjacent ranges to fit the data;
-    # merged ranges stay contiguous, so pieces remain ordered key intervals.
-    ranged = (ordered.repartitionByRange(int(pieces), *keys) if pieces
-              else ordered.repartitionByRange(*keys))
-    ranged = ranged.withColumn("piece", F.spark_partition_id())
+    ranged = actions.where("session_id IS NOT NULL").selectExpr(
+        "session_id", "event_id", "page_id", "action_ts AS ts",
+        f"coalesce(floor(unix_seconds(action_ts) / {int(step)}), -9223372036854775807L) AS piece")
     in_piece = Window.partitionBy("session_id", "piece").orderBy("ts", "event_id")
     walked = ranged.select(
         "session_id", "piece", "page_id",
@@ -58,16 +59,6 @@ def page_pairs(actions: DataFrame, pieces: int | None = None) -> DataFrame:
     return inner.unionByName(boundary)
 
 
-def page_pairs_by_window(actions: DataFrame) -> DataFrame:
-    """Same pairs from one ``lead`` per session: the direct form, for inputs
-    smaller than one shuffle partition (and to check :func:`page_pairs`)."""
-    w = Window.partitionBy("session_id").orderBy("ts", "event_id")
-    return (actions.selectExpr("session_id", "event_id", "page_id",
-                               "action_ts AS ts")
-            .withColumn("next_page", F.lead("page_id").over(w))
-            .selectExpr("page_id", "next_page", "true AS is_action"))
-
-
 def convert_rate(pairs: DataFrame, flow: list[int] | tuple[int, ...]) -> DataFrame:
     """(step, page_pair, pair_count, convert_rate) for each adjacent pair of
     the flow, from the output of :func:`page_pairs`."""
@@ -87,16 +78,6 @@ def convert_rate(pairs: DataFrame, flow: list[int] | tuple[int, ...]) -> DataFra
     return counts.selectExpr(stack)
 
 
-def page_convert_rate(actions: DataFrame, flow, pieces: int | None = None) -> DataFrame:
-    """Conversion rates; the range split is used unless the estimated input
-    is below one advisory shuffle partition, where it would produce a single
-    piece anyway (then one ``lead`` per session is the same work, minus the
-    sampling job and a shuffle). An input without a size estimate counts as
-    large."""
-    if pieces is None:
-        limit = conf_bytes(actions.sparkSession,
-                           "spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
-        probe = actions.selectExpr("session_id", "event_id", "page_id", "action_ts")
-        if estimated_bytes(probe) < limit:
-            return convert_rate(page_pairs_by_window(actions), flow)
-    return convert_rate(page_pairs(actions, pieces), flow)
+def page_convert_rate(actions: DataFrame, flow, step: int = STEP) -> DataFrame:
+    """Conversion rates of the flow's steps."""
+    return convert_rate(page_pairs(actions, step), flow)
