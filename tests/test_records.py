@@ -91,12 +91,3 @@ def test_product_status(spark):
         [(1, "a", '{"product_status": 1}'), (2, "b", "{}"), (3, "c", '{"product_status": "x"}')],
         "product_id bigint, product_name string, extend_info string")
     assert [r["product_status"] for r in product_status(df).orderBy("product_id").collect()] == [1, None, None]
-
-
-def test_parse_bytes():
-    import pytest
-    from visitlab.session import parse_bytes
-    assert [parse_bytes(v) for v in ["10485760b", "10MB", "64m", "-1", "0"]] == \
-        [10485760, 10485760, 64 << 20, -1, 0]
-    with pytest.raises(ValueError):
-        parse_bytes("ten megabytes")

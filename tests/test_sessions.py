@@ -148,3 +148,29 @@ def test_params_validation_and_replace():
     q = p.replace(sex=" female ", category_ids=[3, "4"])
     assert (q.keywords, q.sex, q.category_ids, q.task_id) == (("a", "b"), "female", (3, 4), "t")
     assert hash(q) == hash(p.replace(sex="female", category_ids="3,4"))
+
+
+def test_the_value_minus_one_fails_membership_and_null_sessions_are_no_session(spark):
+    rows = [action(1, "s", "2024-01-01 1:00:00", user_id=1), action(2, "t", "2024-01-01 1:00:00", user_id=2),
+            action(3, None, "2024-01-01 1:00:00", user_id=2)]
+    users = make_users(spark, [user(1, city="-1", professional="-1"), user(2)])
+    acts = make_actions(spark, rows)
+    for p in (TaskParams(cities=("-1", "city0")), TaskParams(professionals=("-1", "p0"))):
+        assert [r["session_id"] for r in sessions.filtered_sessions(acts, users, p).collect()] == ["t"]
+
+
+def test_a_scan_sees_files_added_below_a_subfolder(spark, tmp_path):
+    from visitlab.sources import tables
+    part = f"{tmp_path}/events.parquet/p=1"
+    one = spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(100)
+    one.write.parquet(part)
+    assert tables.visit_actions(spark, str(tmp_path)).count() == 100
+    one.write.mode("append").parquet(part)
+    assert tables.visit_actions(spark, str(tmp_path)).count() == 200
+
+
+def test_bad_date_text_does_not_fail_the_time_keys(spark):
+    from visitlab.operators import records
+    acts = make_actions(spark, [action(1, "s", "xx yy")])
+    row = records.time_keys(acts, "2024-01-15 12:00:00", "2024-02-01").first()
+    assert row["days_before_run"] is None and row["is_day_before_run"] is None

@@ -34,8 +34,8 @@ def time_keys(actions: DataFrame, reference_time: str, as_of: str) -> DataFrame:
         D.is_before_sql("ts", ref) + " AS before_reference",
         D.is_after_sql("ts", ref) + " AS after_reference",
         D.seconds_between_sql("ts", ref) + " AS seconds_from_reference",
-        f"datediff({D.today_sql(as_of)}, to_date(date)) AS days_before_run",
-        f"to_date(date) = {D.yesterday_sql(as_of)} AS is_day_before_run",
+        f"datediff({D.today_sql(as_of)}, to_date(try_to_timestamp(date))) AS days_before_run",
+        f"to_date(try_to_timestamp(date)) = {D.yesterday_sql(as_of)} AS is_day_before_run",
     )
 
 

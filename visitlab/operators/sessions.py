@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from visitlab.functions.text import sql_str
 from visitlab.params import TaskParams
-from visitlab.session import conf_bytes, estimated_bytes
 
 USER_COLUMNS = ["user_id", "age", "professional", "sex", "city"]
 
@@ -45,6 +44,8 @@ LIST_AGGS = [
 def session_aggregate(actions: DataFrame, params: TaskParams | None = None) -> DataFrame:
     """Per-session aggregates of the visit log (before the user join).
 
+    Rows without a session id belong to no session and are left out.
+
     Expects the typed ``action_ts`` of the scan (null for unparseable text).
     Columns: session_id, user_id (smallest id other than -1), search_keywords,
     click_category_ids, step_length, start_time, end_time, visit_length
@@ -64,7 +65,7 @@ def session_aggregate(actions: DataFrame, params: TaskParams | None = None) -> D
     if params is not None and params.category_ids:
         aggs.append("coalesce(bool_or(click_category_id IN "
                     f"({_sql_list(params.category_ids)})), false) AS category_hit")
-    out = actions.groupBy("session_id").agg(*[F.expr(a) for a in aggs])
+    out = actions.where("session_id IS NOT NULL").groupBy("session_id").agg(*[F.expr(a) for a in aggs])
     return out.withColumn(
         "visit_length", F.expr("unix_timestamp(end_time) - unix_timestamp(start_time)"))
 
@@ -92,7 +93,8 @@ def session_predicate(params: TaskParams) -> Column | None:
     """AND of the parameter checks; None when nothing is restricted.
 
     * age: only when both bounds are given; unknown age fails.
-    * professionals, cities: membership; unknown value fails.
+    * professionals, cities: membership; an unknown value fails, and so does
+      the value ``-1`` (the log's mark for "none"), even if it is listed.
     * sex: equality.
     * keywords: the session searched any listed keyword.
     * category ids: the session clicked any listed category.
@@ -101,9 +103,9 @@ def session_predicate(params: TaskParams) -> Column | None:
     if params.age_restricted:
         preds.append(f"age BETWEEN {int(params.start_age)} AND {int(params.end_age)}")
     if params.professionals:
-        preds.append(f"professional IN ({_sql_list(params.professionals)})")
+        preds.append(f"professional <> '-1' AND professional IN ({_sql_list(params.professionals)})")
     if params.cities:
-        preds.append(f"city IN ({_sql_list(params.cities)})")
+        preds.append(f"city <> '-1' AND city IN ({_sql_list(params.cities)})")
     if params.sex:
         preds.append(f"sex = {_sql_list([params.sex])}")
     if params.keywords:
@@ -131,16 +133,9 @@ def filtered_actions(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     """Actions of the given sessions (left semi join on session_id).
 
     Session ids are unique on the right, so this equals the inner join of
-    the original without carrying the right side. The kept sessions are a
-    subset of the actions' session ids, so the estimated size of the actions'
-    ``session_id`` column bounds them: when that bound is under
-    ``spark.sql.autoBroadcastJoinThreshold`` the ids are broadcast and the
-    actions are not shuffled; beyond it both sides shuffle on session_id, and
-    a session holding a large share of the actions sits on the left side,
-    which AQE's skew-join handling splits.
+    the original without carrying the right side. No hint: AQE broadcasts the
+    kept ids if their measured size is under the threshold, else both sides
+    shuffle on session_id, and a session holding a large share of the actions
+    sits on the left side, which AQE's skew-join handling splits.
     """
-    ids = sessions.select("session_id")
-    limit = conf_bytes(actions.sparkSession, "spark.sql.autoBroadcastJoinThreshold", "10MB")
-    if 0 <= estimated_bytes(actions.select("session_id")) <= limit:
-        ids = F.broadcast(ids)
-    return actions.join(ids, "session_id", "left_semi")
+    return actions.join(sessions.select("session_id"), "session_id", "left_semi")

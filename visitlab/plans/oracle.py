@@ -24,9 +24,13 @@ def _in_list(values) -> str:
     return ", ".join(_q(str(v)) if isinstance(v, str) else str(v) for v in values)
 
 
-def actions_cte(p: TaskParams) -> str:
-    """CTEs ``ev`` and ``visit_actions``: the events mapping of FIXTURES.md section 2."""
-    end = (_dt.date.fromisoformat(p.end_date) + _dt.timedelta(days=1)).isoformat()
+def actions_cte(p: TaskParams | None = None) -> str:
+    """CTEs ``ev`` and ``visit_actions``: the events mapping of FIXTURES.md section 2;
+    without parameters over the whole log."""
+    window = ""
+    if p is not None:
+        end = (_dt.date.fromisoformat(p.end_date) + _dt.timedelta(days=1)).isoformat()
+        window = f"WHERE ts >= TIMESTAMP '{p.start_date} 00:00:00' AND ts < TIMESTAMP '{end} 00:00:00'"
     id_list = ("CASE WHEN event_id % 3 = 0 THEN CAST(k AS VARCHAR) || ',' || "
                "CAST((k * 7 + 3) % 100 AS VARCHAR) ELSE CAST(k AS VARCHAR) END")
     return f"""
@@ -39,7 +43,7 @@ ev AS (
          CASE WHEN event_id % 32 < 24 THEN 0 WHEN event_id % 32 < 28 THEN 1
               WHEN event_id % 32 < 30 THEN 2 WHEN event_id % 32 = 30 THEN 3 ELSE 4 END AS slot
   FROM events
-  WHERE ts >= TIMESTAMP '{p.start_date} 00:00:00' AND ts < TIMESTAMP '{end} 00:00:00'
+  {window}
 ),
 visit_actions AS (
   SELECT event_id,
@@ -68,7 +72,7 @@ user_info AS (
          CAST((c_custkey * 7 + 25) % 60 AS INTEGER) AS age, c_mktsegment AS professional,
          'city' || CAST(c_nationkey AS VARCHAR) AS city,
          CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex
-  FROM customer WHERE c_custkey % 10 <> 9
+  FROM customer
 )"""
 
 
@@ -259,7 +263,7 @@ def _page_flow(flow) -> str:
         sel.append(f"SELECT {i + 1} AS step, '{flow[i]}_{flow[i + 1]}' AS page_pair,"
                    f" c{i} AS pair_count, {rate} AS convert_rate FROM counts")
     union = "\nUNION ALL ".join(sel)
-    return f"""WITH {actions_cte(DEFAULT)},
+    return f"""WITH {actions_cte()},
 seq AS (
   SELECT page_id, lead(page_id) OVER (PARTITION BY session_id
       ORDER BY try_strptime(action_time, '%Y-%m-%d %H:%M:%S'), event_id) AS next_page
@@ -311,7 +315,7 @@ SELECT {_q(TASK_ID)} AS task_id, user_id, session_id, page_id, action_time, sear
 FROM visit_actions WHERE session_id IN (SELECT session_id FROM picked)"""
     ts = "try_strptime(action_time, '%Y-%m-%d %H:%M:%S')"
     ref = f"TIMESTAMP '{REFERENCE_TIME}'"
-    q["time_keys"] = f"""WITH {actions_cte(DEFAULT)},
+    q["time_keys"] = f"""WITH {actions_cte()},
 t AS (SELECT event_id, action_time, date, {ts} AS ts FROM visit_actions)
 SELECT event_id, action_time,
        strftime(ts, '%Y-%m-%d %H:%M:%S') AS action_time_padded,
@@ -330,7 +334,7 @@ FROM t"""
     hour = "split_part(split_part(action_time, ' ', 2), ':', 1)"
     ids = ("list_filter(list_transform(string_split(order_category_ids, ','),"
            " lambda p: TRY_CAST(trim(p) AS BIGINT)), lambda v: v IS NOT NULL)")
-    q["text_hygiene"] = f"""WITH {actions_cte(DEFAULT)}
+    q["text_hygiene"] = f"""WITH {actions_cte()}
 SELECT event_id,
        (search_keyword IS NULL OR search_keyword = '') AS keyword_is_empty,
        (order_category_ids IS NOT NULL AND order_category_ids <> '') AS order_ids_present,

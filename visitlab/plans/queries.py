@@ -32,37 +32,16 @@ PROFILE_COLUMNS = ["session_id", "user_id", "search_keywords", "click_category_i
 # shared building blocks
 # ---------------------------------------------------------------------------
 
-# Lazy plans shared by several queries, keyed by the (memoized) input plans
-# and the parameters: building a plan is the only thing saved, every
-# execution still runs the whole plan.
-_SHARED: dict[tuple, tuple[DataFrame, tuple]] = {}
-_MAX_SHARED = 128
-
-
-def _shared(key: tuple, build: Callable[[], DataFrame], *inputs: DataFrame) -> DataFrame:
-    """Plan for ``key``; ``inputs`` (whose ids are in the key) are kept alive
-    with the entry so an id cannot be reused by a different frame."""
-    hit = _SHARED.get(key)
-    if hit is None:
-        while len(_SHARED) >= _MAX_SHARED:          # bounded: drop the oldest
-            _SHARED.pop(next(iter(_SHARED)))
-        hit = _SHARED[key] = (build(), inputs)
-    return hit[0]
-
-
 def _actions(spark: SparkSession, sf_dir: str, p: TaskParams = DEFAULT) -> DataFrame:
     return tables.visit_actions(spark, sf_dir, p.start_date, p.end_date)
 
 
 def _profile(spark: SparkSession, sf_dir: str, p: TaskParams = DEFAULT) -> DataFrame:
-    acts, users = _actions(spark, sf_dir, p), tables.user_info(spark, sf_dir)
-    return _shared(("profile", id(acts), id(users), p),
-                   lambda: sessions.session_profile(acts, users, p), acts, users)
+    return sessions.session_profile(_actions(spark, sf_dir, p), tables.user_info(spark, sf_dir), p)
 
 
 def _filtered(spark: SparkSession, sf_dir: str, p: TaskParams = DEFAULT) -> DataFrame:
-    prof = _profile(spark, sf_dir, p)
-    return _shared(("filtered", id(prof), p), lambda: sessions.apply_filters(prof, p), prof)
+    return sessions.apply_filters(_profile(spark, sf_dir, p), p)
 
 
 def _formatted(df: DataFrame) -> DataFrame:
@@ -71,11 +50,7 @@ def _formatted(df: DataFrame) -> DataFrame:
 
 
 def _filtered_actions(spark: SparkSession, sf_dir: str, p: TaskParams = DEFAULT) -> DataFrame:
-    acts, kept = _actions(spark, sf_dir, p), _filtered(spark, sf_dir, p)
-    # the join strategy is chosen when the plan is built, from this setting
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")
-    return _shared(("filtered_actions", id(acts), id(kept), threshold),
-                   lambda: sessions.filtered_actions(acts, kept), acts, kept)
+    return sessions.filtered_actions(_actions(spark, sf_dir, p), _filtered(spark, sf_dir, p))
 
 
 # ---------------------------------------------------------------------------
@@ -146,8 +121,7 @@ def top10_category(spark, sf_dir):
 
 def _top10_clicks(spark, sf_dir):
     fa = _filtered_actions(spark, sf_dir)
-    return _shared(("top10_clicks", id(fa)), lambda: ranking.top_category_sessions(
-        ranking.category_session_counts(fa), TASK_ID)[1], fa)
+    return ranking.top_category_sessions(ranking.category_session_counts(fa), TASK_ID)[1]
 
 
 def category_session_clicks(spark, sf_dir):
@@ -197,11 +171,11 @@ RUN_DATE = "2024-02-01"
 
 
 def time_keys(spark, sf_dir):
-    return records.time_keys(_actions(spark, sf_dir), REFERENCE_TIME, RUN_DATE)
+    return records.time_keys(tables.visit_actions(spark, sf_dir), REFERENCE_TIME, RUN_DATE)
 
 
 def text_hygiene(spark, sf_dir):
-    return records.text_hygiene(_actions(spark, sf_dir))
+    return records.text_hygiene(tables.visit_actions(spark, sf_dir))
 
 
 def packed_profile(spark, sf_dir):
@@ -221,7 +195,7 @@ def product_status(spark, sf_dir):
 
 
 def page_convert_rate(spark, sf_dir):
-    return pageflow.page_convert_rate(_actions(spark, sf_dir), DEFAULT.target_page_flow)
+    return pageflow.page_convert_rate(tables.visit_actions(spark, sf_dir), DEFAULT.target_page_flow)
 
 
 def ad_click_parse(spark, sf_dir):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import tempfile
 import uuid
 
@@ -122,34 +121,3 @@ def size_shuffle_partitions(spark: SparkSession, paths: list[str],
     n = max(configured, wanted)
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     return n
-
-
-UNKNOWN_SIZE = 2 ** 63 - 1
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (file sizes scaled by the columns
-    read). Frames without statistics, or sessions that do not expose the
-    plan (Spark Connect), report an unknown, i.e. huge, size."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return UNKNOWN_SIZE
-
-
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
-
-
-def parse_bytes(value: str) -> int:
-    """``10485760b``, ``10MB``, ``64m``, ``-1`` -> bytes (negative = off)."""
-    m = re.fullmatch(r"\s*(-?\d+)\s*([a-zA-Z]*)\s*", value)
-    if not m or m.group(2).lower() not in _UNITS:
-        raise ValueError(f"not a byte size: {value!r}")
-    n = int(m.group(1))
-    return -1 if n < 0 else n * _UNITS[m.group(2).lower()]
-
-
-def conf_bytes(spark: SparkSession, key: str, default: str) -> int:
-    """A byte-size setting as an int (-1 when disabled)."""
-    return parse_bytes(spark.conf.get(key, default))

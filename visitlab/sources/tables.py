@@ -27,55 +27,9 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-# Footer schemas already read in this process, keyed by (path, mtime): reading
-# with a known schema skips the inference job Spark otherwise runs per scan.
-_SCHEMAS: dict[tuple[str, float], T.StructType] = {}
-
-
-# Lazy scan plans already built in this process. A DataFrame is an immutable
-# plan, so handing the same one to several queries only saves rebuilding it
-# (each execution still reads the files); keyed by session, path, file mtime
-# and arguments.
-_PLANS: dict[tuple, DataFrame] = {}
-_MAX_PLANS = 64
-
-
-def _memo(spark: SparkSession, path: str, *args):
-    try:
-        mtime = os.path.getmtime(path)
-    except OSError:
-        return None
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:        # Spark Connect: no context; the session object is the key
-        app = None
-    return (app, id(spark), path, mtime) + args
-
-
-def _cached_plan(key, build) -> DataFrame:
-    if key is None:
-        return build()
-    df = _PLANS.get(key)
-    if df is None:
-        while len(_PLANS) >= _MAX_PLANS:            # bounded: drop the oldest
-            _PLANS.pop(next(iter(_PLANS)))
-        df = build()
-        _PLANS[key] = df
-    return df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """``<sf_dir>/<name>.parquet``, read with its (cached) footer schema."""
-    path = table_path(sf_dir, name)
-    try:
-        key = (path, os.path.getmtime(path))
-    except OSError:  # not a local path (object store, HDFS): let Spark infer
-        return spark.read.parquet(path)
-    schema = _SCHEMAS.get(key)
-    if schema is None:
-        schema = spark.read.parquet(path).schema
-        _SCHEMAS[key] = schema
-    return spark.read.schema(schema).parquet(path)
+    """``<sf_dir>/<name>.parquet`` with the files that are there now."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def _ts_bounds(ts_type: T.DataType, start_date: str | None, end_date: str | None):
@@ -164,16 +118,13 @@ def visit_actions(spark: SparkSession, sf_dir: str, start_date: str | None = Non
     The range is applied to ``events.ts`` before the mapping, so parquet
     row-group statistics skip data outside it (``PushedFilters`` on ``ts``).
     """
-    def build() -> DataFrame:
-        events = read_table(spark, sf_dir, "events")
-        lo, hi = _ts_bounds(events.schema["ts"].dataType, start_date, end_date)
-        if lo is not None:
-            events = events.where(F.col("ts") >= lo)
-        if hi is not None:
-            events = events.where(F.col("ts") < hi)
-        return visit_actions_from_events(events)
-    key = _memo(spark, table_path(sf_dir, "events"), "visit_actions", start_date, end_date)
-    return _cached_plan(key, build)
+    events = read_table(spark, sf_dir, "events")
+    lo, hi = _ts_bounds(events.schema["ts"].dataType, start_date, end_date)
+    if lo is not None:
+        events = events.where(F.col("ts") >= lo)
+    if hi is not None:
+        events = events.where(F.col("ts") < hi)
+    return visit_actions_from_events(events)
 
 
 def read_visit_log(spark: SparkSession, path: str, start_date: str | None = None,
@@ -197,15 +148,9 @@ def read_visit_log(spark: SparkSession, path: str, start_date: str | None = None
 # ---------------------------------------------------------------------------
 
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users from ``customer``; keys ending in 9 are left out so that some
-    sessions find no user (they drop out of the inner join)."""
-    return _cached_plan(_memo(spark, table_path(sf_dir, "customer"), "user_info"),
-                        lambda: _user_info(spark, sf_dir))
-
-
-def _user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users from ``customer``."""
     c = read_table(spark, sf_dir, "customer")
-    return c.where("c_custkey % 10 <> 9").selectExpr(
+    return c.selectExpr(
         "CAST(c_custkey AS BIGINT) AS user_id",
         "concat('user', CAST(c_custkey AS STRING)) AS username",
         "c_name AS name",
