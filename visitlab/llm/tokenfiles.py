@@ -186,9 +186,9 @@ def shard_starts(shards: DataFrame) -> DataFrame:
             .withColumn("first_doc", F.col("p_docs") + before("n_docs", inner)).drop("p_ids", "p_docs", "n_docs"))
 
 
-def _documents(starts: DataFrame, last: str | None = None) -> DataFrame:
+def _documents(starts: DataFrame) -> DataFrame:
     """One row per document from shards with their starts."""
-    zipped = F.arrays_zip("doc_ids", "begins", "lens", *([last] if last else []))
+    zipped = F.arrays_zip("doc_ids", "begins", "lens")
     return (starts.select("part", "seq", "first_id", "first_doc", F.posexplode(zipped).alias("i", "x"))
             .select("part", "seq", "x.*", (F.col("first_id") + F.col("x.begins")).alias("start"), (F.col("first_doc") + F.col("i")).alias("ordinal")))
 
@@ -232,10 +232,17 @@ def lookup(keys: DataFrame, path: str) -> DataFrame:
 
 
 def digests(spark: SparkSession, path: str) -> DataFrame:
-    """(ordinal, start, n, crc) of every document, from the payload slices."""
-    raw = "crc32(substring(payload, cast(4 * begins[i] + 1 as int), cast(4 * lens[i] as int)))"
-    shards = payload(spark, path).withColumn("crcs", F.expr(f"transform(sequence(0, size(lens) - 1), i -> {raw})")).drop("payload")
-    return _documents(shard_starts(shards), "crcs").select("ordinal", "start", F.col("lens").alias("n"), F.col("crcs").alias("crc"))
+    """(ordinal, start, n, crc) of every document, from the payload slices.
+
+    The documents are exploded beside their payload, where generated code holds
+    the bytes once a shard; a lambda would copy the whole payload for each slice."""
+    shards = payload(spark, path)
+    slices = (shards.select("part", "seq", "payload", F.posexplode(F.arrays_zip("begins", "lens")).alias("i", "x"))
+              .select("part", "seq", "i", "x.*", F.expr("crc32(substring(payload, cast(4 * x.begins + 1 as int), cast(4 * x.lens as int)))").alias("crc")))
+    starts = shard_starts(shards.select("part", "seq", "n_ids", "lens")).select("part", "seq", "first_id", "first_doc")
+    return (slices.join(starts, ["part", "seq"])
+            .select((F.col("first_doc") + F.col("i")).alias("ordinal"), (F.col("first_id") + F.col("begins")).alias("start"),
+                    F.col("lens").alias("n"), "crc"))
 
 
 def read_one(spark: SparkSession, path: str, doc_id: int) -> np.ndarray | None:
