@@ -78,3 +78,13 @@ def test_filtered_actions_is_semi_join(spark):
     out = filtered_actions(acts, keep)
     assert [r["event_id"] for r in out.collect()] == [1]
     assert "LeftSemi" in plan_text(out)
+
+
+def test_one_kind_counts_read_one_column(spark):
+    rows = [action(1, "s", "2024-01-01 1:00:00", click=3), action(2, "s", "2024-01-01 1:00:01", click=-1),
+            action(3, "s", "2024-01-01 1:00:02", order="5, 5,x"), action(4, "s", "2024-01-01 1:00:03", pay="7")]
+    acts = make_actions(spark, rows)
+    got = {k: [tuple(r) for r in ranking.category_kind_count(acts, k).collect()] for k in ("click", "order", "pay")}
+    assert got == {"click": [(3, 1)], "order": [(5, 2)], "pay": [(7, 1)]}
+    assert "Generate" not in plan_text(ranking.category_kind_count(acts, "click"))
+    assert "click_category_ids" not in plan_text(ranking.category_kind_count(acts, "order"))

@@ -91,3 +91,11 @@ def test_product_status(spark):
         [(1, "a", '{"product_status": 1}'), (2, "b", "{}"), (3, "c", '{"product_status": "x"}')],
         "product_id bigint, product_name string, extend_info string")
     assert [r["product_status"] for r in product_status(df).orderBy("product_id").collect()] == [1, None, None]
+
+
+def test_a_delimiter_of_several_characters_is_refused():
+    import pytest
+
+    from visitlab.functions.packed import packed_field_sql
+    with pytest.raises(ValueError):
+        packed_field_sql("t", "k", "||")

@@ -60,7 +60,9 @@ def packed_field_sql(text: str, key: str, delimiter: str = DELIMITER) -> str:
     """Value of ``key`` in packed text: the first piece that is exactly
     ``key=value`` with a non-empty value and no further ``=``; null when
     there is none (so an empty value reads as null). One anchored pattern,
-    no lambda, so it stays in generated code."""
+    no lambda, so it stays in generated code. The delimiter is one character."""
+    if len(delimiter) != 1:
+        raise ValueError(f"delimiter must be one character: {delimiter!r}")
     d = re.escape(delimiter)
     pattern = f"(?:^|{d})" + re.escape(key) + f"=([^{d}=]+)(?={d}|$)"
     return f"nullif(regexp_extract({text}, {_lit(pattern)}, 1), '')"

@@ -76,9 +76,18 @@ def category_full_count(actions: DataFrame) -> DataFrame:
 
 
 def category_kind_count(actions: DataFrame, kind: str) -> DataFrame:
-    """(category_id, <kind>_count) for categories with at least one ``kind``."""
-    ev = category_events(actions).where(f"kind = '{kind}'")
-    return ev.groupBy("category_id").agg(F.expr(f"count(1) AS {kind}_count"))
+    """(category_id, <kind>_count) for categories with at least one ``kind``.
+
+    Reads the one column of that kind: clicks are counted as they are, only
+    order and pay lists are exploded."""
+    rows = actions.where("session_id IS NOT NULL")
+    if kind == "click":
+        rows = rows.where("click_category_id <> -1").selectExpr("click_category_id AS category_id")
+    else:
+        rows = (rows.selectExpr(f"explode(split({kind}_category_ids, ',')) AS id_text")
+                .selectExpr("try_cast(trim(id_text) AS BIGINT) AS category_id")
+                .where("category_id IS NOT NULL"))
+    return rows.groupBy("category_id").agg(F.expr(f"count(1) AS {kind}_count"))
 
 
 def category_ids(actions: DataFrame) -> DataFrame:

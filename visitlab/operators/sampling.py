@@ -82,10 +82,10 @@ def random_extract(sessions: DataFrame, k: int, seed: str = DEFAULT_SEED,
 def extract_detail(actions: DataFrame, extracted: DataFrame, task_id: str = "") -> DataFrame:
     """All actions of the sampled sessions, tagged with the task id.
 
-    The sample holds at most K + (number of cells) sessions, a bound that does
-    not grow with the data, so its ids are broadcast.
+    K is the caller's, so there is no hint: AQE broadcasts the ids if their
+    measured size is under the threshold.
     """
-    ids = F.broadcast(extracted.select("session_id"))
+    ids = extracted.select("session_id")
     return actions.join(ids, "session_id", "left_semi").selectExpr(
         f"{sql_str(task_id)} AS task_id", "user_id", "session_id", "page_id", "action_time",
         "search_keyword", "click_category_id", "click_product_id", "order_category_ids",

@@ -71,9 +71,9 @@ def session_aggregate(actions: DataFrame, params: TaskParams | None = None) -> D
 
 
 def session_lists(actions: DataFrame, session_ids: DataFrame) -> DataFrame:
-    """Keyword and category lists of a bounded set of sessions (broadcast),
-    aggregated from their actions only."""
-    acts = actions.join(F.broadcast(session_ids.select("session_id")), "session_id", "left_semi")
+    """Keyword and category lists of some sessions, aggregated from their
+    actions only. AQE broadcasts the ids if their measured size allows it."""
+    acts = actions.join(session_ids.select("session_id"), "session_id", "left_semi")
     return acts.groupBy("session_id").agg(*[F.expr(a) for a in LIST_AGGS])
 
 

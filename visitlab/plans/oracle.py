@@ -198,12 +198,12 @@ top10_clicks AS (
 )"""
 
 
-def sampling_ctes(p: TaskParams, k: int) -> str:
-    """Adds cells, per_hour, quota, picked (the sampled sessions)."""
+def sampling_ctes(p: TaskParams, k: int, population: str = "session_profile") -> str:
+    """Adds cells, per_hour, quota, picked (the sessions sampled from ``population``)."""
     return f"""{profile_ctes(p)},
 cells AS (
   SELECT *, strftime(start_time, '%Y-%m-%d') AS date, CAST(hour(start_time) AS INTEGER) AS hour
-  FROM session_profile WHERE start_time IS NOT NULL
+  FROM {population} WHERE start_time IS NOT NULL
 ),
 per_hour AS (
   SELECT date, hour, count(*) AS session_count FROM cells GROUP BY date, hour
@@ -308,6 +308,8 @@ SELECT {_q(TASK_ID)} AS task_id, category_id, session_id, click_count FROM (
     q["session_random_extract"] = f"{sp}\nSELECT * FROM picked"
     q["session_random_extract_large"] = (f"{sampling_ctes(DEFAULT, K_EXTRACT_LARGE)}\n"
                                          "SELECT * FROM picked")
+    q["session_random_extract_filtered"] = (
+        f"{sampling_ctes(DEFAULT, K_EXTRACT, 'filtered')}\nSELECT * FROM picked")
     q["session_extract_detail"] = f"""{sp}
 SELECT {_q(TASK_ID)} AS task_id, user_id, session_id, page_id, action_time, search_keyword,
        click_category_id, click_product_id, order_category_ids, order_product_ids,

@@ -157,6 +157,12 @@ def session_random_extract_large(spark, sf_dir):
     return _extract(spark, sf_dir, K_EXTRACT_LARGE)
 
 
+def session_random_extract_filtered(spark, sf_dir):
+    """The sample drawn from the sessions that pass the shipped parameters."""
+    return sampling.random_extract(_filtered(spark, sf_dir), K_EXTRACT, SEED, TASK_ID,
+                                   actions=_actions(spark, sf_dir))
+
+
 def session_extract_detail(spark, sf_dir):
     return sampling.extract_detail(_actions(spark, sf_dir), _extract(spark, sf_dir, K_EXTRACT),
                                    TASK_ID)
@@ -228,6 +234,7 @@ REGISTRY: dict[str, Query] = {
     "session_extract_quota": session_extract_quota,
     "session_random_extract": session_random_extract,
     "session_random_extract_large": session_random_extract_large,
+    "session_random_extract_filtered": session_random_extract_filtered,
     "session_extract_detail": session_extract_detail,
     "time_keys": time_keys,
     "text_hygiene": text_hygiene,

@@ -11,8 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from visitlab.session import checkpoint_dir
-
 FIELDS = ["click_ms", "province", "city", "user_id", "ad_id"]
 
 LINE_SCHEMA = T.StructType([T.StructField("value", T.StringType(), True)])
@@ -64,11 +62,12 @@ def ad_clicks_from_events(events: DataFrame) -> DataFrame:
 
 
 def start_parse_stream(spark: SparkSession, source_dir: str, sink_dir: str,
-                       checkpoint: str | None = None, available_now: bool = True,
-                       rejects_dir: str | None = None):
+                       checkpoint: str, available_now: bool = True,
+                       rejects_dir: str | None = None, interval: str = "1 second"):
     """Stream text files from ``source_dir``, parse them, append the valid
-    records as parquet to ``sink_dir``. Progress is kept under the shared
-    checkpoint folder, so a restarted query resumes where it stopped.
+    records as parquet to ``sink_dir``. Progress is kept under ``checkpoint``,
+    a shared folder of this stream's own, so a restarted query resumes where it
+    stopped. Without ``available_now`` a micro-batch starts every ``interval``.
 
     With ``rejects_dir`` each micro-batch is split into valid records and
     rejected lines; both are written under ``batch_id=<n>`` folders with
@@ -76,7 +75,6 @@ def start_parse_stream(spark: SparkSession, source_dir: str, sink_dir: str,
     to it. Returns the running ``StreamingQuery``.
     """
     lines = spark.readStream.schema(LINE_SCHEMA).text(source_dir)
-    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/adclick-parse"
     if rejects_dir is None:
         writer = (parse_ad_clicks(lines).writeStream.format("parquet").outputMode("append")
                   .option("path", sink_dir))
@@ -88,7 +86,7 @@ def start_parse_stream(spark: SparkSession, source_dir: str, sink_dir: str,
             (tagged.where("NOT valid").select("value")
              .write.mode("overwrite").parquet(f"{rejects_dir.rstrip('/')}/batch_id={batch_id}"))
         writer = lines.writeStream.foreachBatch(write_batch)
-    writer = writer.option("checkpointLocation", ckpt)
+    writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
-        processingTime="1 second")
+        processingTime=interval)
     return writer.start()
