@@ -306,6 +306,23 @@ def test_pii_base_spans_equal_the_plain_patterns(spark):
     assert pii.summary(docs(spark, rows).limit(0)).count() == 0
 
 
+def test_pii_adds_wide_formats_that_read_like_validated_ones(spark):
+    rng = np.random.default_rng(7)
+    digits = lambda n: "".join(map(str, rng.integers(0, 10, n)))
+    base = ["{} +1 ({}) {}-{} or {} u{}@site.org".format(a, digits(3), digits(3), digits(4), b, digits(2)) for a, b in [("call", "mail"), ("ring", "ask")] * 150]
+    base += [f"host 10.{k % 256}.3.{k % 200} rack 999.{k}.1.1, lot {digits(16)} of {digits(5)}, code +{digits(3)} {digits(2)}" for k in range(300)]
+    wide = [f"call ({digits(3)}) {digits(3)}-{digits(4)} today" for _ in range(100)] + ["write to jane.doe [at] site [dot] org today"] * 50
+    wide += ["pay 4111.1111.1111.1111 now", "pay 4111.1111.1111.1112 now", "on 2024-01-15 or 1999-2003", "rack 300.168.100.220 up", "at 10.50 for 12-13"]
+    wide.append("host 2001:0db8:0000:0000:0000:ff00:0042:8329 mac 00:1a:2b:3c:4d:5e")
+    rows = [(k, t, "a") for k, t in enumerate(base + wide)]
+    got = {r["doc_id"]: r["spans"] for r in pii.summary(docs(spark, rows)).collect()}
+    at = len(base)
+    assert {got[k] for k in range(at, at + 100)} == {"phone:5:19"}
+    assert {got[k] for k in range(at + 100, at + 150)} == {"email:9:37"}
+    assert [got[k] for k in range(at + 150, len(rows))] == ["card:4:23", "", "", "", "", "ip:5:44"]
+    assert all(s.count(":") == 4 for s in (got[k] for k in range(300)))  # nothing added inside base spans
+
+
 def test_top_k_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(topk, "CANDIDATES", 32)
     monkeypatch.setattr(topk, "QUERIES", 7)
