@@ -178,6 +178,23 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(d.limit(0), bench).count() == 0
 
 
+def found(item: str, *texts: str) -> list[bool]:
+    """Whether each text is contaminated by the item."""
+    bench = decontaminate.item_windows([(1, item)])
+    hit = {m[0] for m in decontaminate.matches([t.encode() for t in texts], bench)}
+    return [k in hit for k in range(len(texts))]
+
+
+def test_decontamination_leaves_out_clashing_windows_only():
+    lead = "the farmer counts 12 boxes in the old barn and then loads them on a cart that goes to the market near the river where "
+    item = lead + "a trader buys 12 boxes and sells half of them to a shop that is open until late in the evening while it rains hard outside"
+    assert found(item, item.replace("buys 12", "buys 40"), item.replace("12", "31"), item.replace("trader", "broker")) == [True] * 3
+    asked = "the farmer John has 12 boxes and gives 5 of them to the shop before noon so how many are there now"
+    assert found(asked, asked.replace("12", "7").replace(" 5", " 7")) == [True]  # two slots with the same value
+    many = "take 3 of 4 and 5 of 6 and 7 of 8 and 9 of 10 and 11 of 12 and 13 of 14"
+    assert found(many, "take " + " and ".join(["0 of 0"] * 6), many.replace("3", "30")) == [False, True]
+
+
 def test_toxicity_learns_and_handles_edge_cases(spark):
     rows = [(i, text(i, 80) + (" idiot scum" if i % 4 == 0 else ""), "a") for i in range(400)] + [(1000, None, "a"), (1001, "", "a")]
     d = docs(spark, rows)

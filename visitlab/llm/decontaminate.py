@@ -4,10 +4,13 @@ Words become canonical tokens: a number becomes the placeholder NUM, a
 capitalised word inside a sentence NAME, and a known unit after a number UNIT;
 other words stay (case-folded, without punctuation). Windows of ``WINDOW``
 tokens are looked up by hash, both as templates and as plain words, among the
-windows of all benchmark items. A hit is checked slot by slot: along one
-alignment of document and item, each item value must stand for one document
-value and the other way round. A question with other numbers or names passes, a
-chance meeting of placeholders with clashing values does not.
+windows of all benchmark items. A window of equal words counts as it is. One
+that is equal as a template only is checked slot by slot: along one alignment of
+document and item, each item value must stand for one document value (the most
+frequent one) and at most ``SHARED`` values for the same one; windows that clash
+with that are left out, the others of the alignment stay. A question with other
+numbers or names passes, a chance meeting of placeholders with clashing values
+does not.
 
 A document is contaminated by an item if windows of consistent alignments cover
 at least ``SHARE`` of the item's windows. The benchmark is read in blocks of
@@ -23,7 +26,7 @@ ignored.
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +42,8 @@ WINDOW = 8
 LITERAL = 3
 #: Share of an item's windows that makes a document contaminated.
 SHARE = 0.3
+#: Most item values that one document value may stand for.
+SHARED = 2
 #: Most benchmark items in one broadcast block, and most bytes of their texts.
 BLOCK_ITEMS, BLOCK_BYTES = 20_000, 16 << 20
 
@@ -97,7 +102,7 @@ def item_windows(items: list[tuple[int, str]]) -> dict:
             continue
         size, k = min(WINDOW, n), len(by_item)
         count = n - size + 1
-        by_item.append((item_id, words.hash, kind, count))
+        by_item.append((item_id, words.hash, kind, count, size))
         one = np.zeros(n, np.int64)
         plain, at = tokens.windows(words.hash, one, tuple(range(size)), 1)
         for h, q in zip(plain.tolist(), at.tolist(), strict=True):
@@ -128,30 +133,56 @@ def _known(hashes: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return maybe[sure], at[sure]
 
 
+def _consistent(at: np.ndarray, size: int, used: np.ndarray, item: np.ndarray, doc: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, set[tuple[int, int]]]:
+    """Of the windows at the item's places ``at`` those that count, and the slots'
+    (item value, document value) in them. ``item``, ``doc`` and ``slot`` hold the
+    words' hashes and whether one is a slot, for the places ``used``."""
+    differ = item != doc
+    bad = np.zeros(len(used), bool)
+    if differ.any():
+        free = np.flatnonzero(slot | differ)
+        votes = Counter(zip(item[free].tolist(), doc[free].tolist(), strict=True))  # in reading order
+        stands: dict[int, int] = {}
+        for (x, y), _ in sorted(votes.items(), key=lambda v: (-v[1], v[0][0] != v[0][1])):
+            stands.setdefault(x, y)
+        load = Counter(stands.values())
+        for j in free.tolist():
+            x, y = int(item[j]), int(doc[j])
+            bad[j] = stands[x] != y or (x != y and load[y] > SHARED)
+    first = np.searchsorted(used, at)
+    inside = lambda flag: (c := np.concatenate(([0], np.cumsum(flag))))[first + size] - c[first]
+    keep = (inside(differ) == 0) | (inside(bad) == 0)
+    told = np.zeros(len(used) + 1, np.int64)
+    np.add.at(told, first[keep], 1)
+    np.add.at(told, first[keep] + size, -1)
+    told = (np.cumsum(told)[:-1] > 0) & slot
+    return at[keep], set(zip(item[told].tolist(), doc[told].tolist(), strict=True))
+
+
 def matches(texts: list[bytes], bench: dict) -> list[tuple[int, int, int, int, int, int]]:
     """(text index, item_id, windows, matched, slots, changed) of contaminated texts."""
     out = []
     for lo, hi in tokens.chunks(texts):
         words, kind, token = canonical(texts[lo:hi])
-        hits: dict[tuple[int, int, int], list] = defaultdict(list)  # (text, item, alignment) -> item places
+        hits: dict[tuple[int, int, int], set] = defaultdict(set)  # (text, item, alignment) -> item places
         for size, (known, where) in bench["sizes"].items():
             for source in (words.hash, token):
                 h, at = tokens.windows(source, words.doc, tuple(range(size)), 1)
                 found, ref = _known(h, known)
                 for p, r in zip(at[found].tolist(), ref.tolist(), strict=True):
                     for k, q in where[r]:
-                        hits[int(words.doc[p]), k, p - q].append((q, size))
+                        hits[int(words.doc[p]), k, p - q].add(q)
         covered: dict[tuple[int, int], list] = defaultdict(lambda: [set(), set()])
         for (doc, k, shift), places in hits.items():
-            _, item_hash, item_kind, _ = bench["items"][k]
-            used = sorted({q + j for q, size in places for j in range(size)})
-            pairs = {(int(item_hash[j]), int(words.hash[j + shift])) for j in used
-                     if item_kind[j] != WORD or kind[j + shift] != WORD}
-            if len({a for a, _ in pairs}) == len(pairs) == len({b for _, b in pairs}):
-                covered[doc, k][0].update(q for q, _ in places)
-                covered[doc, k][1].update(pairs)
+            _, item_hash, item_kind, _, size = bench["items"][k]
+            at = np.array(sorted(places))
+            used = np.unique(at[:, None] + np.arange(size))
+            slot = (item_kind[used] != WORD) | (kind[used + shift] != WORD)
+            at, pairs = _consistent(at, size, used, item_hash[used], words.hash[used + shift], slot)
+            covered[doc, k][0].update(at.tolist())
+            covered[doc, k][1].update(pairs)
         for (doc, k), (places, pairs) in covered.items():
-            item_id, _, _, count = bench["items"][k]
+            item_id, _, _, count, _ = bench["items"][k]
             if len(places) >= SHARE * count:
                 out.append((lo + doc, item_id, count, len(places), len(pairs), sum(a != b for a, b in pairs)))
     return out
