@@ -195,6 +195,14 @@ def test_decontamination_leaves_out_clashing_windows_only():
     assert found(many, "take " + " and ".join(["0 of 0"] * 6), many.replace("3", "30")) == [False, True]
 
 
+def test_decontamination_takes_sentence_openers_as_names():
+    item = "Tom has 3 apples. Tom buys 4 pears. Tom eats 2."
+    assert found(item, "Ann has 7 apples. Ann buys 9 pears. Ann eats 5.", "Ann has 7 apples. Bob buys 9 pears. Eve eats 5.",
+                 "x: Ann has 7 apples. Ann buys 9 pears. Ann eats 5. Then she goes.", "Tom sees 3 apples. Tom takes 4 pears. Tom drops 2.") == [True, False, True, False]
+    long = "Maria walks 4 km to school. Maria rests at the old bridge. Maria meets 2 friends there. How far does Maria walk in 5 days?"
+    assert found(long, long.replace("Maria", "Peter").replace("4", "6"), long.replace("Maria", "She")) == [True, True]
+
+
 def test_toxicity_learns_and_handles_edge_cases(spark):
     rows = [(i, text(i, 80) + (" idiot scum" if i % 4 == 0 else ""), "a") for i in range(400)] + [(1000, None, "a"), (1001, "", "a")]
     d = docs(spark, rows)

@@ -2,15 +2,17 @@
 
 Words become canonical tokens: a number becomes the placeholder NUM, a
 capitalised word inside a sentence NAME, and a known unit after a number UNIT;
-other words stay (case-folded, without punctuation). Windows of ``WINDOW``
-tokens are looked up by hash, both as templates and as plain words, among the
-windows of all benchmark items. A window of equal words counts as it is. One
+other words stay (case-folded, without punctuation). A second template takes
+capitalised words that open a sentence as NAME too. Windows of ``WINDOW`` tokens
+are looked up by hash, as both templates and as plain words, among the windows of
+all benchmark items. A window of equal words counts as it is. One
 that is equal as a template only is checked slot by slot: along one alignment of
 document and item, each item value must stand for one document value (the most
 frequent one) and at most ``SHARED`` values for the same one; windows that clash
 with that are left out, the others of the alignment stay. A question with other
 numbers or names passes, a chance meeting of placeholders with clashing values
-does not.
+does not. An opening word that differs is checked like a slot; n_slots and
+n_changed count the slots of the first template.
 
 A document is contaminated by an item if windows of consistent alignments cover
 at least ``SHARE`` of the item's windows. The benchmark is read in blocks of
@@ -68,12 +70,13 @@ _SENTENCE_END[[10, 33, 46, 58, 63]] = True  # line feed ! . : ?
 
 
 def canonical(texts: list[bytes]) -> tuple[tokens.Words, np.ndarray, np.ndarray]:
-    """The words, the kind of each word, and the hash of its canonical token."""
+    """The words, and by template the kind of each word and the hash of its
+    canonical token (two rows: sentence openers as words, and as names)."""
     words, raw = tokens.alnum_words(texts)
     n = len(words.start)
     kind = np.zeros(n, np.int8)
     if not n:
-        return words, kind, words.hash
+        return words, np.stack((kind, kind)), np.stack((words.hash, words.hash))
     start, end = words.start, words.end
     kind[tokens.DIGIT[raw[start]] & tokens.DIGIT[raw[end - 1]]] = NUM
     upper = (raw[start] >= 65) & (raw[start] <= 90) | (raw[start] == 0xC3) & (raw[np.minimum(start + 1, len(raw) - 1)] <= 0x9E) & (raw[np.minimum(start + 1, len(raw) - 1)] >= 0x80)
@@ -83,11 +86,13 @@ def canonical(texts: list[bytes]) -> tuple[tokens.Words, np.ndarray, np.ndarray]
     ends = np.concatenate(([0], np.cumsum(_SENTENCE_END[raw])))
     inside = np.zeros(n, bool)
     inside[1:] = (words.doc[1:] == words.doc[:-1]) & (ends[start[1:]] == ends[end[:-1]])
-    kind[upper & lower & inside & (end - start > 1) & (kind == WORD)] = NAME
+    name = upper & lower & (end - start > 1) & (kind == WORD)
+    kind[name & inside] = NAME
     after = np.zeros(n, bool)
     after[1:] = (kind[:-1] == NUM) & (words.doc[1:] == words.doc[:-1])
     kind[after & (kind == WORD) & np.isin(words.hash, _UNIT_HASHES)] = UNIT
-    return words, kind, np.where(kind == WORD, words.hash, _MARK[kind])
+    kinds = np.stack((kind, np.where(name & ~inside & (kind == WORD), NAME, kind).astype(np.int8)))
+    return words, kinds, np.where(kinds == WORD, words.hash, _MARK[kinds])
 
 
 def item_windows(items: list[tuple[int, str]]) -> dict:
@@ -96,22 +101,23 @@ def item_windows(items: list[tuple[int, str]]) -> dict:
     by_item = []
     lookup: dict[int, dict[int, list]] = defaultdict(lambda: defaultdict(list))
     for item_id, text in items:
-        words, kind, token = canonical([(text or "").encode()])
-        n = len(token)
+        words, kinds, token = canonical([(text or "").encode()])
+        n = len(words.hash)
         if not n:
             continue
         size, k = min(WINDOW, n), len(by_item)
         count = n - size + 1
-        by_item.append((item_id, words.hash, kind, count, size))
+        by_item.append((item_id, words.hash, kinds, count, size))
         one = np.zeros(n, np.int64)
         plain, at = tokens.windows(words.hash, one, tuple(range(size)), 1)
         for h, q in zip(plain.tolist(), at.tolist(), strict=True):
             lookup[size][h].append((k, q))
-        literal = np.convolve(kind == WORD, np.ones(size, int), "valid")
-        template, at = tokens.windows(token, one, tuple(range(size)), 1)
-        for h, q in zip(template.tolist(), at.tolist(), strict=True):
-            if literal[q] >= min(LITERAL, size) and (not lookup[size].get(h) or (k, q) not in lookup[size][h]):
-                lookup[size][h].append((k, q))
+        for kind, hashes in zip(kinds, token, strict=True):
+            literal = np.convolve(kind == WORD, np.ones(size, int), "valid")
+            template, at = tokens.windows(hashes, one, tuple(range(size)), 1)
+            for h, q in zip(template.tolist(), at.tolist(), strict=True):
+                if literal[q] >= min(LITERAL, size) and (not lookup[size].get(h) or (k, q) not in lookup[size][h]):
+                    lookup[size][h].append((k, q))
     return {"items": by_item, "sizes": {s: (np.array(sorted(m), np.uint64), [m[h] for h in sorted(m)]) for s, m in lookup.items()}}
 
 
@@ -133,14 +139,15 @@ def _known(hashes: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return maybe[sure], at[sure]
 
 
-def _consistent(at: np.ndarray, size: int, used: np.ndarray, item: np.ndarray, doc: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, set[tuple[int, int]]]:
+def _consistent(at: np.ndarray, size: int, used: np.ndarray, item: np.ndarray, doc: np.ndarray, slot: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, set[tuple[int, int]]]:
     """Of the windows at the item's places ``at`` those that count, and the slots'
-    (item value, document value) in them. ``item``, ``doc`` and ``slot`` hold the
-    words' hashes and whether one is a slot, for the places ``used``."""
+    (item value, document value) in them. ``item``, ``doc``, ``slot`` and ``name``
+    hold the words' hashes and whether one is a slot of the first template or of
+    either, for the places ``used``."""
     differ = item != doc
     bad = np.zeros(len(used), bool)
     if differ.any():
-        free = np.flatnonzero(slot | differ)
+        free = np.flatnonzero(slot | name)
         votes = Counter(zip(item[free].tolist(), doc[free].tolist(), strict=True))  # in reading order
         stands: dict[int, int] = {}
         for (x, y), _ in sorted(votes.items(), key=lambda v: (-v[1], v[0][0] != v[0][1])):
@@ -148,7 +155,7 @@ def _consistent(at: np.ndarray, size: int, used: np.ndarray, item: np.ndarray, d
         load = Counter(stands.values())
         for j in free.tolist():
             x, y = int(item[j]), int(doc[j])
-            bad[j] = stands[x] != y or (x != y and load[y] > SHARED)
+            bad[j] = (slot[j] or x != y) and (stands[x] != y or (x != y and load[y] > SHARED))
     first = np.searchsorted(used, at)
     inside = lambda flag: (c := np.concatenate(([0], np.cumsum(flag))))[first + size] - c[first]
     keep = (inside(differ) == 0) | (inside(bad) == 0)
@@ -163,10 +170,10 @@ def matches(texts: list[bytes], bench: dict) -> list[tuple[int, int, int, int, i
     """(text index, item_id, windows, matched, slots, changed) of contaminated texts."""
     out = []
     for lo, hi in tokens.chunks(texts):
-        words, kind, token = canonical(texts[lo:hi])
+        words, kinds, token = canonical(texts[lo:hi])
         hits: dict[tuple[int, int, int], set] = defaultdict(set)  # (text, item, alignment) -> item places
         for size, (known, where) in bench["sizes"].items():
-            for source in (words.hash, token):
+            for source in (words.hash, *token):
                 h, at = tokens.windows(source, words.doc, tuple(range(size)), 1)
                 found, ref = _known(h, known)
                 for p, r in zip(at[found].tolist(), ref.tolist(), strict=True):
@@ -174,11 +181,11 @@ def matches(texts: list[bytes], bench: dict) -> list[tuple[int, int, int, int, i
                         hits[int(words.doc[p]), k, p - q].add(q)
         covered: dict[tuple[int, int], list] = defaultdict(lambda: [set(), set()])
         for (doc, k, shift), places in hits.items():
-            _, item_hash, item_kind, _, size = bench["items"][k]
+            _, item_hash, item_kinds, _, size = bench["items"][k]
             at = np.array(sorted(places))
             used = np.unique(at[:, None] + np.arange(size))
-            slot = (item_kind[used] != WORD) | (kind[used + shift] != WORD)
-            at, pairs = _consistent(at, size, used, item_hash[used], words.hash[used + shift], slot)
+            slot, name = (item_kinds[:, used] != WORD) | (kinds[:, used + shift] != WORD)
+            at, pairs = _consistent(at, size, used, item_hash[used], words.hash[used + shift], slot, name)
             covered[doc, k][0].update(at.tolist())
             covered[doc, k][1].update(pairs)
         for (doc, k), (places, pairs) in covered.items():
