@@ -203,6 +203,13 @@ def test_decontamination_takes_sentence_openers_as_names():
     assert found(long, long.replace("Maria", "Peter").replace("4", "6"), long.replace("Maria", "She")) == [True, True]
 
 
+def test_decontamination_counts_a_run_of_a_long_item():
+    words = text(6, 400).split()
+    part = lambda a, n: f"so {' '.join(words[a:a + n])} end"
+    assert found(" ".join(words), part(100, 80), part(0, 13), part(387, 13), part(200, 12)) == [True, True, True, False]
+    assert found(" ".join(words[:59]), part(10, 21), part(10, 9) + " " + part(30, 9)) == [True, False]
+
+
 def test_toxicity_learns_and_handles_edge_cases(spark):
     rows = [(i, text(i, 80) + (" idiot scum" if i % 4 == 0 else ""), "a") for i in range(400)] + [(1000, None, "a"), (1001, "", "a")]
     d = docs(spark, rows)

@@ -14,8 +14,9 @@ numbers or names passes, a chance meeting of placeholders with clashing values
 does not. An opening word that differs is checked like a slot; n_slots and
 n_changed count the slots of the first template.
 
-A document is contaminated by an item if windows of consistent alignments cover
-at least ``SHARE`` of the item's windows. The benchmark is read in blocks of
+A document is contaminated by an item if windows that count cover at least
+``SHARE`` of the item's windows, or, whatever the item's length, ``RUN``
+consecutive words of it along one alignment. The benchmark is read in blocks of
 bounded items and bytes; the documents are scanned once per block, so what is
 sent to the executors is bounded at any benchmark size.
 
@@ -44,6 +45,8 @@ WINDOW = 8
 LITERAL = 3
 #: Share of an item's windows that makes a document contaminated.
 SHARE = 0.3
+#: Consecutive matched words that make a document contaminated.
+RUN = 13
 #: Most item values that one document value may stand for.
 SHARED = 2
 #: Most benchmark items in one broadcast block, and most bytes of their texts.
@@ -179,7 +182,7 @@ def matches(texts: list[bytes], bench: dict) -> list[tuple[int, int, int, int, i
                 for p, r in zip(at[found].tolist(), ref.tolist(), strict=True):
                     for k, q in where[r]:
                         hits[int(words.doc[p]), k, p - q].add(q)
-        covered: dict[tuple[int, int], list] = defaultdict(lambda: [set(), set()])
+        covered: dict[tuple[int, int], list] = defaultdict(lambda: [set(), set(), False])
         for (doc, k, shift), places in hits.items():
             _, item_hash, item_kinds, _, size = bench["items"][k]
             at = np.array(sorted(places))
@@ -188,9 +191,11 @@ def matches(texts: list[bytes], bench: dict) -> list[tuple[int, int, int, int, i
             at, pairs = _consistent(at, size, used, item_hash[used], words.hash[used + shift], slot, name)
             covered[doc, k][0].update(at.tolist())
             covered[doc, k][1].update(pairs)
-        for (doc, k), (places, pairs) in covered.items():
+            more = RUN - size  # so many places further on, a run of windows is one of RUN words
+            covered[doc, k][2] |= bool((at[more:] - at[:max(len(at) - more, 0)] == more).any())
+        for (doc, k), (places, pairs, run) in covered.items():
             item_id, _, _, count, _ = bench["items"][k]
-            if len(places) >= SHARE * count:
+            if run or len(places) >= SHARE * count:
                 out.append((lo + doc, item_id, count, len(places), len(pairs), sum(a != b for a, b in pairs)))
     return out
 
