@@ -210,6 +210,12 @@ def test_decontamination_counts_a_run_of_a_long_item():
     assert found(" ".join(words[:59]), part(10, 21), part(10, 9) + " " + part(30, 9)) == [True, False]
 
 
+def test_decontamination_filter_needs_no_item_id(spark):
+    bench = spark.createDataFrame([(None, text(8, 40)), (1, "short one here")], "item_id long, text string")
+    rows = [(1, text(8, 40), "a"), (2, text(9, 40), "a"), (None, text(8, 40), "a")]
+    assert [r["doc_id"] for r in decontaminate.decontaminate(docs(spark, rows), bench).collect()] == [2]
+
+
 def test_toxicity_learns_and_handles_edge_cases(spark):
     rows = [(i, text(i, 80) + (" idiot scum" if i % 4 == 0 else ""), "a") for i in range(400)] + [(1000, None, "a"), (1001, "", "a")]
     d = docs(spark, rows)

@@ -23,8 +23,9 @@ sent to the executors is bounded at any benchmark size.
 Defined results: a null or empty text has no windows; an item shorter than
 ``WINDOW`` words is one window of all its words, an item without words matches
 nothing; repeated item_ids are matched row by row and repeated doc_ids too, and
-the best row of each (doc_id, item_id) is returned; a null doc_id is a key like any other; a null item_id is left out. Extra columns are
-ignored.
+the best row of each (doc_id, item_id) is returned; a null doc_id is a key like any other; items with a null item_id
+are not named in ``contaminated``, but ``decontaminate`` drops their documents too.
+Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -201,10 +202,10 @@ def matches(texts: list[bytes], bench: dict) -> list[tuple[int, int, int, int, i
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[dict]:
-    """Lookups of the benchmark, a bounded block of items at a time."""
+    """Lookups of the items, a bounded block at a time."""
     rows: list[tuple[int, str]] = []
     size = 0
-    for r in benchmark.select("item_id", "text").where("item_id is not null").toLocalIterator():
+    for r in benchmark.select("item_id", "text").toLocalIterator():
         rows.append((r["item_id"], r["text"]))
         size += len(r["text"] or "")
         if len(rows) == BLOCK_ITEMS or size > BLOCK_BYTES:
@@ -222,7 +223,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     the item), n_matched, n_slots, n_changed (slots with another value)."""
     spark = docs.sparkSession
     out = spark.createDataFrame([], _OUT)
-    for block in _blocks(benchmark):
+    for block in _blocks(benchmark.where("item_id is not null")):
         sent = spark.sparkContext.broadcast(block)
 
         @lean()
