@@ -81,6 +81,15 @@ def test_near_duplicates_equal_brute_force(spark):
     assert neardup.near_duplicates(docs(spark, rows).limit(0)).count() == 0
 
 
+def test_texts_of_one_id_are_documents_of_their_own(spark):
+    rows = [(1, text(31, 60), "a"), (5, text(32, 60), "a"), (5, text(33, 60), "b"), (5, text(33, 60), "b"), (5, text(31, 60) + " tail", "a"),
+            (7, text(33, 60) + " tail", "a"), (8, text(34, 60), "a"), (9, None, "a"), (9, "", "a"), (9, text(34, 60), "a"), (None, text(33, 60), "a")]
+    kept = neardup.keep_one_of_each(docs(spark, rows))
+    assert kept.columns == ["doc_id", "text", "source", "score", "id"]
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect()) == sorted(
+        [(1, text(31, 60)), (5, text(32, 60)), (5, text(33, 60)), (8, text(34, 60)), (9, ""), (0, text(33, 60))])
+
+
 def test_pairs_that_the_star_leaves_out_are_compared(spark):
     # many unlike documents share a long passage; two of them are alike
     passage = text(50, 60)

@@ -25,8 +25,8 @@ Two documents at exactly the limit of 0.75 share no band with probability
 Defined results: a null or empty text, or one of white space, has an empty set
 and is linked with nothing; fewer than five words make one shingle of the whole
 sequence; a doc_id that occurs in several rows is one document whose text is the
-smallest of them (nulls count as empty); rows with a null doc_id are left alone:
-they are linked with nothing and have a null component. Extra columns are
+smallest of them (nulls count as empty), while ``keep_one_of_each`` takes each of
+its texts as a document; rows with a null doc_id are left alone: they are linked with nothing and have a null component. Extra columns are
 ignored, whatever their names.
 """
 
@@ -241,13 +241,18 @@ def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
 
+def _repeated_ids(rows: DataFrame) -> DataFrame | None:
+    """The doc_ids of several rows, None if there are none."""
+    repeated = rows.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    return None if repeated.isEmpty() else materialize(repeated, "repeated-ids")
+
+
 def one_row_per_id(docs: DataFrame) -> DataFrame:
     """(doc_id, text) with every doc_id once; rows without an id are left out."""
     rows = docs.select("doc_id", "text").where("doc_id is not null")
-    repeated = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    if repeated.isEmpty():
+    repeated = _repeated_ids(rows)
+    if repeated is None:
         return rows
-    repeated = materialize(repeated, "repeated-ids")
     smallest = (with_ids(rows, repeated).groupBy("doc_id")
                 .agg(F.min(F.coalesce("text", F.lit(""))).alias("text")))
     return without_ids(rows, repeated).unionByName(smallest)
@@ -297,9 +302,8 @@ def _open_links(members: DataFrame, found: DataFrame, signatures: DataFrame, row
     return grouped(full).mapInArrow(_links_in_groups, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
-    rows = one_row_per_id(docs)
+def _grouped(rows: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id of rows that each have their own id."""
     signatures = materialize(rows.mapInArrow(_sign, "doc_id long, n_shingles long, set_key binary, sig binary"), "signatures")
     classes = signatures.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"))
     classes = materialize(classes, "classes")
@@ -313,9 +317,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if not more.isEmpty():
         found = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
 
-    named = (signatures.select("doc_id", "n_shingles", "set_key").join(copies, "set_key", "left")
-             .withColumn("id", F.coalesce("rep", "doc_id")).join(found, "id", "left")
-             .select("doc_id", "n_shingles", F.coalesce("component", "id").alias("component_id")))
+    return (signatures.select("doc_id", "n_shingles", "set_key").join(copies, "set_key", "left")
+            .withColumn("id", F.coalesce("rep", "doc_id")).join(found, "id", "left")
+            .select("doc_id", "n_shingles", F.coalesce("component", "id").alias("component_id")))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept."""
+    named = _grouped(one_row_per_id(docs))
     nameless = (docs.where("doc_id is null").select(F.expr("cast(null as bigint) doc_id"), "text")
                 .mapInArrow(_sign, "doc_id long, n_shingles long, set_key binary, sig binary")
                 .select("doc_id", "n_shingles", F.expr("cast(null as bigint) component_id")))
@@ -325,13 +334,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` (all columns) with one document of each group: the smallest
-    doc_id. Of several rows with that doc_id the smallest text stays, once."""
-    decided = materialize(near_duplicates(docs), "near-duplicates")
-    kept = without_ids(docs, decided.where("not kept").select("doc_id"))
-    repeated = kept.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    if repeated.isEmpty():
-        return kept
-    repeated = materialize(repeated, "repeated-ids")
+    doc_id, and of several texts with that doc_id the smallest. Each text of a
+    repeated doc_id is a document of its own, rows equal in both are one."""
+    repeated = _repeated_ids(docs)
+    if repeated is None:
+        decided = materialize(_grouped(docs.select("doc_id", "text").where("doc_id is not null")), "near-duplicates")
+        return without_ids(docs, decided.where("doc_id <> component_id").select("doc_id"))
     others = [c for c in docs.columns if c != "doc_id"]
-    one = with_ids(kept, repeated).groupBy("doc_id").agg(F.min(F.struct(F.coalesce("text", F.lit("")).alias("__text"), *others)).alias("r"))
-    return without_ids(kept, repeated).unionByName(one.select("doc_id", *[F.col("r")[c].alias(c) for c in others]).select(docs.columns))
+    # every text of a repeated id under a number of its own, above all ids, in order of (doc_id, text)
+    texts = (with_ids(docs, repeated).groupBy("doc_id", F.coalesce("text", F.lit("")).alias("__text"))
+             .agg(F.min(F.struct(*others)).alias("__row")).orderBy("doc_id", "__text"))
+    top = docs.agg(F.max("doc_id")).first()[0]
+    texts = materialize(texts.select("*", (F.lit(top) + 1 + F.monotonically_increasing_id()).alias("__key")), "repeated-texts")
+    single = without_ids(docs, repeated)
+    rows = single.select("doc_id", "text").where("doc_id is not null").unionByName(texts.select(F.col("__key").alias("doc_id"), F.col("__text").alias("text")))
+    decided = materialize(_grouped(rows), "near-duplicates")
+    placed = decided.join(texts.select(F.col("__key").alias("doc_id"), F.col("doc_id").alias("__id")), "doc_id", "left")
+    placed = placed.select(F.struct(F.coalesce("__id", "doc_id").alias("id"), F.col("doc_id").alias("key")).alias("place"), "component_id")
+    first = placed.groupBy("component_id").agg(F.min("place").alias("first"))
+    dropped = materialize(placed.join(first, "component_id").where("place <> first").select(F.col("place.key").alias("doc_id")), "dropped-ids")
+    kept = without_ids(texts, dropped.withColumnRenamed("doc_id", "__key"), "__key")
+    kept = kept.select("doc_id", *[F.col("__row")[c].alias(c) for c in others]).select(docs.columns)
+    return without_ids(single, dropped).unionByName(kept)
