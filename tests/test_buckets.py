@@ -1,4 +1,4 @@
-from conftest import make_actions, action, make_users, user
+from visitlog_rows import make_actions, action, make_users, user
 
 from pyspark.sql import types as T
 

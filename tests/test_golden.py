@@ -2,7 +2,7 @@
 customers as users."""
 
 import pytest
-from conftest import SF_CHECK, SF_SMALL
+from visitlog_rows import SF_CHECK, SF_SMALL
 
 import __spark_entry__ as entry
 

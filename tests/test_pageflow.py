@@ -1,6 +1,6 @@
 import random
 
-from conftest import action, make_actions
+from visitlog_rows import action, make_actions
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -73,7 +73,7 @@ def test_range_split_equals_one_window_per_session(spark):
 
 
 def test_one_plan_and_rows_without_a_session(spark):
-    from conftest import plan_text
+    from visitlog_rows import plan_text
     rows = _session("s", [1, 2, 3]) + _session(None, [1, 2], eid0=50)
     out = pageflow.page_convert_rate(make_actions(spark, rows), [1, 2, 3])
     assert _rates(out) == [(1, "1_2", 1, 1.0), (2, "2_3", 1, 1.0)]

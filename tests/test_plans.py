@@ -5,7 +5,7 @@ log, and no scan reading a column the query does not use."""
 import re
 
 import pytest
-from conftest import SF_SMALL, plan_text
+from visitlog_rows import SF_SMALL, plan_text
 
 from visitlab.plans.queries import REGISTRY as QUERIES
 

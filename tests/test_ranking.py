@@ -1,4 +1,4 @@
-from conftest import action, make_actions, plan_text
+from visitlog_rows import action, make_actions, plan_text
 
 from visitlab.operators import ranking
 

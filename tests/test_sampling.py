@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import plan_text
+from visitlog_rows import plan_text
 from pyspark.sql import types as T
 
 from visitlab.operators import sampling
@@ -62,7 +62,7 @@ def test_plan_limits_each_cell_before_shuffle(spark):
 
 
 def test_detail_returns_all_actions_of_picked_sessions(spark):
-    from conftest import action, make_actions
+    from visitlog_rows import action, make_actions
     acts = make_actions(spark, [action(1, "a", "2024-01-01 1:00:00"),
                                 action(2, "a", "2024-01-01 1:00:03"),
                                 action(3, "b", "2024-01-01 1:00:00")])

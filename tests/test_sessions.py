@@ -1,4 +1,4 @@
-from conftest import action, make_actions, make_users, user
+from visitlog_rows import action, make_actions, make_users, user
 
 from visitlab.operators import sessions
 from visitlab.params import TaskParams
@@ -119,7 +119,7 @@ def test_params_from_dict_uses_original_names():
 
 
 def test_visit_actions_scan_pushes_date_range(spark):
-    from conftest import SF_SMALL, plan_text
+    from visitlog_rows import SF_SMALL, plan_text
     from visitlab.sources import tables
     df = tables.visit_actions(spark, SF_SMALL, "2024-01-05", "2024-01-20").select("session_id")
     plan = df._jdf.queryExecution().executedPlan().toString()

@@ -1,7 +1,7 @@
 import os
 import tempfile
 
-from conftest import SF_SMALL, action, make_actions
+from visitlog_rows import SF_SMALL, action, make_actions
 
 from visitlab.sources import sinks, tables
 

@@ -2,7 +2,7 @@
 splits the hot partition of the semi join (thresholds lowered so the tiny
 test data counts as skewed)."""
 
-from conftest import action, make_actions, make_users, user
+from visitlog_rows import action, make_actions, make_users, user
 
 from visitlab.operators import ranking, sessions
 from visitlab.params import TaskParams
