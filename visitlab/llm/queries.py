@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, mixing, neardup, pii, sharding, tokencounts, tokenfiles, topk, toxicity
+from . import (bitplanes, chat, decontaminate, mixing, neardup, novelty, periodic, pii, sharding, tokencounts, tokenfiles, topk,
+               toxicity)
 from .common import configure, scratch_path, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -73,6 +74,18 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return novelty.secrets(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digests(table(spark, sf_dir, "documents"), plant=True)
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitplanes.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def _configured(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
@@ -84,7 +97,37 @@ def _configured(fn):
 
 REGISTRY = {fn.__name__: _configured(fn) for fn in (
     op1_decontaminate, op2_token_files, op3_sharding, op4_chat, op5_pii, op6_mixing, op7_token_counts, op8_toxicity,
-    op9_near_duplicates, op10_top_k)}
+    op9_near_duplicates, op10_top_k, op11_secrets, op12_periodic_runs, op13_centroids)}
+
+
+
+def _centroid_sql() -> str:
+    """Three rounds and a last assignment, each a pair of named queries; sums are
+    floored by the remainder's sign, as integer division cuts towards zero."""
+    assign = """
+a{i} AS (
+  SELECT vec_id, v, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+    SELECT v.vec_id, v.v, c.c, CAST(list_sum(list_transform(list_zip(v.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d FROM v, c{i} c)
+  GROUP BY vec_id, v)"""
+    move = """,
+m{i} AS (
+  SELECT c, list(f ORDER BY k) AS v FROM (
+    SELECT c, k, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS f
+    FROM (SELECT c, unnest(v) AS x, unnest(range(1, 65)) AS k FROM a{i}) GROUP BY c, k) GROUP BY c),
+c{j} AS (SELECT c.c, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN m{i} m USING (c)),"""
+    steps = "".join(assign.format(i=i) + (move.format(i=i, j=i + 1) if i < bitplanes.ROUNDS else "") for i in range(bitplanes.ROUNDS + 1))
+    last = bitplanes.ROUNDS
+    return f"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS (SELECT CAST(row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS INTEGER) AS c, v FROM v
+       ORDER BY sha256('1:' || vec_id) LIMIT {bitplanes.K}),{steps},
+p AS (SELECT c, CAST(sum(d) AS BIGINT) AS cluster_inertia, count(*) AS cluster_size FROM a{last} GROUP BY c)
+SELECT vec_id, a.c AS cluster, d AS distance, cluster_inertia, (SELECT CAST(sum(d) AS BIGINT) FROM a{last}) AS inertia,
+       sha256(array_to_string(k.v, ',')) AS centroid_sha256, cluster_size
+FROM a{last} a JOIN p USING (c) JOIN c{last} k USING (c)"""
+
 
 #: DuckDB SQL where it can express the result; the tests hold the other queries
 #: against brute force.
@@ -137,4 +180,5 @@ s AS (
   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+    "op13_centroids": _centroid_sql(),
 }
