@@ -36,12 +36,16 @@ def _actions(spark: SparkSession, sf_dir: str, p: TaskParams = DEFAULT) -> DataF
     return tables.visit_actions(spark, sf_dir, p.start_date, p.end_date)
 
 
-def _profile(spark: SparkSession, sf_dir: str, p: TaskParams = DEFAULT) -> DataFrame:
-    return sessions.session_profile(_actions(spark, sf_dir, p), tables.user_info(spark, sf_dir), p)
+def _profile(spark: SparkSession, sf_dir: str, p: TaskParams = DEFAULT,
+             lists: bool = False) -> DataFrame:
+    """Session profiles; the keyword and category lists only where they are asked for."""
+    return sessions.session_profile(_actions(spark, sf_dir, p), tables.user_info(spark, sf_dir), p,
+                                    lists)
 
 
-def _filtered(spark: SparkSession, sf_dir: str, p: TaskParams = DEFAULT) -> DataFrame:
-    return sessions.apply_filters(_profile(spark, sf_dir, p), p)
+def _filtered(spark: SparkSession, sf_dir: str, p: TaskParams = DEFAULT,
+              lists: bool = False) -> DataFrame:
+    return sessions.apply_filters(_profile(spark, sf_dir, p, lists), p)
 
 
 def _formatted(df: DataFrame) -> DataFrame:
@@ -62,15 +66,15 @@ def visit_actions_in_range(spark, sf_dir):
 
 
 def session_profile(spark, sf_dir):
-    return _formatted(_profile(spark, sf_dir))
+    return _formatted(_profile(spark, sf_dir, lists=True))
 
 
 def session_filtered(spark, sf_dir):
-    return _formatted(_filtered(spark, sf_dir, DEFAULT))
+    return _formatted(_filtered(spark, sf_dir, DEFAULT, lists=True))
 
 
 def session_filtered_all_params(spark, sf_dir):
-    return _formatted(_filtered(spark, sf_dir, ALL_PARAMS))
+    return _formatted(_filtered(spark, sf_dir, ALL_PARAMS, lists=True))
 
 
 def session_buckets(spark, sf_dir):
@@ -185,15 +189,15 @@ def text_hygiene(spark, sf_dir):
 
 
 def packed_profile(spark, sf_dir):
-    return records.packed_profile(_profile(spark, sf_dir))
+    return records.packed_profile(_profile(spark, sf_dir, lists=True))
 
 
 def packed_profile_fields(spark, sf_dir):
-    return records.packed_profile_fields(records.packed_profile(_profile(spark, sf_dir)))
+    return records.packed_profile_fields(records.packed_profile(_profile(spark, sf_dir, lists=True)))
 
 
 def packed_profile_rewrite(spark, sf_dir):
-    return records.packed_profile_rewrite(records.packed_profile(_profile(spark, sf_dir)))
+    return records.packed_profile_rewrite(records.packed_profile(_profile(spark, sf_dir, lists=True)))
 
 
 def product_status(spark, sf_dir):

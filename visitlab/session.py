@@ -11,13 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 # (broadcast only when the measured side is under the threshold), coalesces
 # small shuffle partitions and splits skewed join partitions; with
 # forceOptimizeSkewedJoin the split is made even where it costs an extra
-# shuffle further up, instead of leaving a hot key in one task.
+# shuffle further up, instead of leaving a hot key in one task. An aggregate
+# whose input is sorted by its keys runs as a sort aggregate, which holds one
+# group at a time (the session lists).
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.execution.replaceHashWithSortAgg": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
 }
