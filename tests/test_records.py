@@ -99,3 +99,24 @@ def test_a_delimiter_of_several_characters_is_refused():
     from visitlab.functions.packed import packed_field_sql
     with pytest.raises(ValueError):
         packed_field_sql("t", "k", "||")
+
+
+def test_packed_entries_follow_the_same_rules(spark):
+    """One scan reads what the anchored pattern of each key reads."""
+    from pyspark.sql import functions as F
+
+    texts = ["a=1|b=2", "a=|a=2|a=3", "a=b|b=c|c=a", "b=1=2|b=3", "=x|a=1", "a", "", None, "|a=1||b=2|", "ab=1|a=2", "a=1|b",
+             "x=a|a=|b=a", "a=1\n|b=2", "k=v=|k=w", "a = 1|a=2"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string").withColumn("e", F.expr(P.packed_entries_sql("s")))
+    for key in ("a", "b", "c", "k", "ab", "x", "q"):
+        for r in df.select("s", F.expr(P.entry_value_sql("e", key)).alias("got"), P.packed_field("s", key).alias("want")).collect():
+            assert r["got"] == r["want"], (key, r)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+
+
+def test_packed_profile_fields_scans_the_record_once(spark):
+    from visitlab.plans.queries import REGISTRY
+    from visitlog_rows import SF_SMALL
+    plan = REGISTRY["packed_profile_fields"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1

@@ -95,19 +95,6 @@ def test_stored_log_path_equals_events_path(spark):
     assert rows(stored) == rows(direct)
 
 
-def test_shuffle_partitions_sized_from_input(spark):
-    from visitlab.session import input_bytes, size_shuffle_partitions
-    path = tables.table_path(SF_SMALL, "events")
-    assert input_bytes(spark, [path]) == os.path.getsize(path)
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert size_shuffle_partitions(spark, [path], bytes_per_partition=1024) == \
-            max(int(before), -(-os.path.getsize(path) // 1024))
-        assert size_shuffle_partitions(spark, [path]) >= int(before)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-
-
 def test_stored_log_keeps_text_date(spark):
     out = os.path.join(tempfile.mkdtemp(prefix="visitlog-"), "user_visit_action")
     acts = make_actions(spark, [action(1, "a", "2024-01-01 1:00:00")]).drop("action_ts")

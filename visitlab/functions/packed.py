@@ -23,10 +23,6 @@ F_AGE = "age"
 F_PROFESSIONAL = "professional"
 F_SEX = "sex"
 F_CITY = "city"
-F_CATEGORY_ID = "categoryid"
-F_CLICK_COUNT = "clickCount"
-F_ORDER_COUNT = "orderCount"
-F_PAY_COUNT = "payCount"
 
 # packed field name -> session_profile column, in record order
 PROFILE_FIELDS = [
@@ -68,6 +64,25 @@ def packed_field_sql(text: str, key: str, delimiter: str = DELIMITER) -> str:
     return f"nullif(regexp_extract({text}, {_lit(pattern)}, 1), '')"
 
 
+def packed_entries_sql(text: str, delimiter: str = DELIMITER) -> str:
+    """All readable pieces of packed text as one array ``[k1, v1|, k2, v2|, ...]``,
+    by the rules of :func:`packed_field_sql`: one scan finds the pieces that are
+    exactly ``key=value`` with neither part empty, one split takes them apart.
+    Values keep the delimiter behind them and keys never hold it, so a key is
+    found by equality even where some value reads like it."""
+    if len(delimiter) != 1:
+        raise ValueError(f"delimiter must be one character: {delimiter!r}")
+    d = re.escape(delimiter)
+    pieces = f"regexp_extract_all({text}, {_lit(f'(?<![^{d}])([^{d}=]+=[^{d}=]+)(?![^{d}])')}, 1)"
+    return f"split(concat(array_join({pieces}, {_lit(delimiter + '=')}), {_lit(delimiter)}), '=')"
+
+
+def entry_value_sql(entries: str, key: str) -> str:
+    """Value of the first piece with ``key`` in :func:`packed_entries_sql`."""
+    found = f"try_element_at({entries}, CAST(nullif(array_position({entries}, {_lit(key)}), 0) AS INT) + 1)"
+    return f"substring({found}, 1, length({found}) - 1)"
+
+
 def set_packed_field_sql(text: str, key: str, value: str, delimiter: str = DELIMITER) -> str:
     """Replace the value of every part whose key is ``key``; order and the
     other parts (empty values included) are kept; an absent key is not added."""

@@ -74,5 +74,6 @@ def split_ids(x: str) -> Column:
     return F.expr(split_ids_sql(x))
 
 
+
 def ratio_half_up(count: str, total: str, scale: int = 2) -> Column:
     return F.expr(ratio_half_up_sql(count, total, scale))

@@ -73,25 +73,16 @@ def yesterday_sql(as_of: str | None = None) -> str:
     return f"date_sub({today_sql(as_of)}, 1)"
 
 
-def parse_time(text: str) -> Column:
-    return F.expr(parse_time_sql(text))
-
 
 def format_time(ts: str) -> Column:
     return F.expr(format_time_sql(ts))
 
 
-def format_date(ts: str) -> Column:
-    return F.expr(format_date_sql(ts))
-
 
 def date_key(ts: str) -> Column:
     return F.expr(date_key_sql(ts))
 
 
-def parse_date_key(text: str) -> Column:
-    return F.expr(parse_date_key_sql(text))
-
 
 def minute_key(ts: str) -> Column:
     return F.expr(minute_key_sql(ts))
@@ -105,17 +96,11 @@ def is_before(t1: str, t2: str) -> Column:
     return F.expr(is_before_sql(t1, t2))
 
 
-def is_after(t1: str, t2: str) -> Column:
-    return F.expr(is_after_sql(t1, t2))
-
 
 def seconds_between(t1: str, t2: str) -> Column:
     return F.expr(seconds_between_sql(t1, t2))
 
 
-def today(as_of: str | None = None) -> Column:
-    return F.expr(today_sql(as_of))
-
 
 def yesterday(as_of: str | None = None) -> Column:
     return F.expr(yesterday_sql(as_of))

@@ -63,19 +63,21 @@ def packed_profile(profile: DataFrame) -> DataFrame:
 
 
 def packed_profile_fields(packed: DataFrame) -> DataFrame:
-    """Read typed fields back out of the packed record."""
-    f = P.packed_field_sql
-    return packed.selectExpr(
-        f("packed", P.F_SESSION_ID) + " AS session_id",
-        f("packed", P.F_SEARCH_KEYWORDS) + " AS search_keywords",
-        f("packed", P.F_CLICK_CATEGORY_IDS) + " AS click_category_ids",
-        f"try_cast({f('packed', P.F_VISIT_LENGTH)} AS BIGINT) AS visit_length",
-        f"try_cast({f('packed', P.F_STEP_LENGTH)} AS BIGINT) AS step_length",
-        f("packed", P.F_START_TIME) + " AS start_time",
-        f"try_cast({f('packed', P.F_AGE)} AS INT) AS age",
-        f("packed", P.F_PROFESSIONAL) + " AS professional",
-        f("packed", P.F_SEX) + " AS sex",
-        f("packed", P.F_CITY) + " AS city",
+    """Read typed fields back out of the packed record, which is scanned once."""
+    def f(name):
+        return P.entry_value_sql("entries", name)
+
+    return packed.selectExpr(P.packed_entries_sql("packed") + " AS entries").selectExpr(
+        f(P.F_SESSION_ID) + " AS session_id",
+        f(P.F_SEARCH_KEYWORDS) + " AS search_keywords",
+        f(P.F_CLICK_CATEGORY_IDS) + " AS click_category_ids",
+        f"try_cast({f(P.F_VISIT_LENGTH)} AS BIGINT) AS visit_length",
+        f"try_cast({f(P.F_STEP_LENGTH)} AS BIGINT) AS step_length",
+        f(P.F_START_TIME) + " AS start_time",
+        f"try_cast({f(P.F_AGE)} AS INT) AS age",
+        f(P.F_PROFESSIONAL) + " AS professional",
+        f(P.F_SEX) + " AS sex",
+        f(P.F_CITY) + " AS city",
     )
 
 

@@ -27,7 +27,7 @@ def _sql_list(values) -> str:
     return ", ".join(sql_str(v) if isinstance(v, str) else str(int(v)) for v in values)
 
 
-def _flag_aggs(params: TaskParams | None) -> list[str]:
+def flag_aggs(params: TaskParams | None) -> list[str]:
     """Flags ``keyword_hit`` / ``category_hit`` that the parameters ask for."""
     aggs = []
     if params is not None and params.keywords:
@@ -80,9 +80,9 @@ def session_aggregate(actions: DataFrame, params: TaskParams | None = None,
         aggs = ["min(user_id) AS user_id", *LIST_AGGS, "sum(step_length) AS step_length",
                 "min(start_time) AS start_time", "max(end_time) AS end_time"]
         out = _in_order(combinations).groupBy("session_id").agg(
-            *[F.expr(a) for a in aggs + _flag_aggs(params)])
+            *[F.expr(a) for a in aggs + flag_aggs(params)])
     else:
-        out = rows.groupBy("session_id").agg(*[F.expr(a) for a in parts + _flag_aggs(params)])
+        out = rows.groupBy("session_id").agg(*[F.expr(a) for a in parts + flag_aggs(params)])
     return out.withColumn(
         "visit_length", F.expr("unix_timestamp(end_time) - unix_timestamp(start_time)"))
 

@@ -315,6 +315,27 @@ SELECT {_q(TASK_ID)} AS task_id, user_id, session_id, page_id, action_time, sear
        click_category_id, click_product_id, order_category_ids, order_product_ids,
        pay_category_ids, pay_product_ids
 FROM visit_actions WHERE session_id IN (SELECT session_id FROM picked)"""
+    # stored forms of the log answer as the log itself does
+    q["bucketed_session_profile"] = q["session_profile"]
+    q["bucketed_filtered_actions"] = q["filtered_actions"]
+    q["bucketed_page_convert_rate"] = _page_flow(list(DEFAULT.target_page_flow))
+    q["daily_length_stats"] = q["session_length_stats"]
+    q["daily_sessions_per_hour"] = q["sessions_per_hour"]
+
+    def bad(col):
+        return (f"coalesce(len(list_filter(string_split({col}, ','),"
+                " lambda p: trim(p) <> '' AND TRY_CAST(trim(p) AS BIGINT) IS NULL)), 0)")
+    q["visit_log_rejects"] = f"""WITH {actions_cte()}
+SELECT date, count(*) AS actions,
+       count(*) FILTER (WHERE session_id IS NULL) AS without_session,
+       count(*) FILTER (WHERE user_id IS NULL OR user_id = -1) AS without_user,
+       count(*) FILTER (WHERE coalesce(action_time, '') = '') AS without_time,
+       count(*) FILTER (WHERE action_time <> ''
+                        AND try_strptime(action_time, '%Y-%m-%d %H:%M:%S') IS NULL) AS bad_time,
+       CAST(sum({bad('order_category_ids')}) AS BIGINT) AS bad_order_ids,
+       CAST(sum({bad('pay_category_ids')}) AS BIGINT) AS bad_pay_ids,
+       count(*) FILTER (WHERE {bad('order_category_ids')} + {bad('pay_category_ids')} > 0) AS actions_with_bad_ids
+FROM visit_actions GROUP BY date"""
     ts = "try_strptime(action_time, '%Y-%m-%d %H:%M:%S')"
     ref = f"TIMESTAMP '{REFERENCE_TIME}'"
     q["time_keys"] = f"""WITH {actions_cte()},

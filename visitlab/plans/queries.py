@@ -8,17 +8,20 @@ formatted text, so results compare one to one with the SQL oracle.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlab.functions.time import format_time
-from visitlab.operators import metrics, pageflow, ranking, records, sampling, sessions
+from visitlab.operators import (daily, metrics, pageflow, ranking, records, rejects, sampling,
+                                sessions)
 from visitlab.params import TaskParams
 from visitlab.plans.defaults import (ALL_PARAMS, DEFAULT, IN_RANGE, K_EXTRACT,
                                      K_EXTRACT_LARGE, SEED, TASK_ID)
-from visitlab.sources import tables
+from visitlab.session import checkpoint_dir, materialize
+from visitlab.sources import sinks, tables
 from visitlab.streaming import adclick
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,8 +127,12 @@ def top10_category(spark, sf_dir):
 
 
 def _top10_clicks(spark, sf_dir):
+    """Clicks per (category, session) of the top categories. The counts feed both
+    the category totals and the clicks, so they are written once: the log is read
+    and joined once, whatever the join strategy."""
     fa = _filtered_actions(spark, sf_dir)
-    return ranking.top_category_sessions(ranking.category_session_counts(fa), TASK_ID)[1]
+    cs = materialize(ranking.category_session_counts(fa), "category-session-counts")
+    return ranking.top_category_sessions(cs, TASK_ID)[1]
 
 
 def category_session_clicks(spark, sf_dir):
@@ -172,6 +179,64 @@ def session_extract_detail(spark, sf_dir):
                                    TASK_ID)
 
 
+# ---------------------------------------------------------------------------
+# stored forms of the log: bucketed by session, and daily states
+# ---------------------------------------------------------------------------
+
+BUCKETS = 4
+
+
+def _bucketed_log(spark, sf_dir) -> str:
+    """The whole visit log as a bucketed table of its own; its name."""
+    name = f"visit_log_{uuid.uuid4().hex}"
+    sinks.write_bucketed_log(tables.visit_actions(spark, sf_dir).select(*tables.VISIT_COLUMNS), name,
+                             f"{checkpoint_dir(spark).rstrip('/')}/{name}", BUCKETS)
+    return name
+
+
+def _bucketed_actions(spark, sf_dir):
+    return tables.read_bucketed_log(spark, _bucketed_log(spark, sf_dir), DEFAULT.start_date,
+                                    DEFAULT.end_date)
+
+
+def bucketed_session_profile(spark, sf_dir):
+    return _formatted(sessions.session_profile(_bucketed_actions(spark, sf_dir),
+                                               tables.user_info(spark, sf_dir), DEFAULT))
+
+
+def bucketed_filtered_actions(spark, sf_dir):
+    actions = _bucketed_actions(spark, sf_dir)
+    kept = sessions.filtered_sessions(actions, tables.user_info(spark, sf_dir), DEFAULT, lists=False)
+    return sessions.filtered_actions(actions, kept).select(*tables.VISIT_COLUMNS)
+
+
+def bucketed_page_convert_rate(spark, sf_dir):
+    actions = tables.read_bucketed_log(spark, _bucketed_log(spark, sf_dir))
+    return pageflow.page_convert_rate(actions, DEFAULT.target_page_flow)
+
+
+def _stored_states(spark, sf_dir):
+    path = f"{checkpoint_dir(spark).rstrip('/')}/daily-states-{uuid.uuid4().hex}"
+    daily.write_days(daily.day_states(_actions(spark, sf_dir), DEFAULT), path)
+    return daily.read_days(spark, path, DEFAULT.start_date, DEFAULT.end_date)
+
+
+def daily_length_stats(spark, sf_dir):
+    """session_length_stats from stored daily states."""
+    kept = daily.filtered(_stored_states(spark, sf_dir), tables.user_info(spark, sf_dir), DEFAULT)
+    return metrics.length_stats(kept, TASK_ID)
+
+
+def daily_sessions_per_hour(spark, sf_dir):
+    """sessions_per_hour from stored daily states."""
+    return sampling.sessions_per_hour(daily.merged_profile(_stored_states(spark, sf_dir),
+                                                           tables.user_info(spark, sf_dir)))
+
+
+def visit_log_rejects(spark, sf_dir):
+    return rejects.rejects(tables.visit_actions(spark, sf_dir))
+
+
 # ---------------------------------------------------------------------------
 # column jobs and extensions
 # ---------------------------------------------------------------------------
@@ -240,6 +305,12 @@ REGISTRY: dict[str, Query] = {
     "session_random_extract_large": session_random_extract_large,
     "session_random_extract_filtered": session_random_extract_filtered,
     "session_extract_detail": session_extract_detail,
+    "bucketed_session_profile": bucketed_session_profile,
+    "bucketed_filtered_actions": bucketed_filtered_actions,
+    "bucketed_page_convert_rate": bucketed_page_convert_rate,
+    "daily_length_stats": daily_length_stats,
+    "daily_sessions_per_hour": daily_sessions_per_hour,
+    "visit_log_rejects": visit_log_rejects,
     "time_keys": time_keys,
     "text_hygiene": text_hygiene,
     "packed_profile": packed_profile,

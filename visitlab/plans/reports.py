@@ -5,6 +5,7 @@ each ending in one write to a sink.
 * :func:`random_extract_report`  hour-proportional session sample (+ detail)
 * :func:`top10_report`           top-10 categories and their top-10 sessions
 * :func:`page_flow_report`       page-flow one-step conversion rates
+* :func:`rejects_report`         what of the log could not be read
 * :func:`run_all`                all of the above for one task run
 
 A frame that feeds several outputs (session profiles, the per-(category,
@@ -21,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from visitlab.functions.text import sql_str
-from visitlab.operators import metrics, pageflow, ranking, sampling, sessions
+from visitlab.operators import metrics, pageflow, ranking, rejects, sampling, sessions
 from visitlab.params import TaskParams
 from visitlab.session import materialize
 from visitlab.sources import sinks
@@ -92,12 +93,23 @@ def page_flow_report(actions: DataFrame, params: TaskParams, sink: Sink) -> Data
     return rates
 
 
+def rejects_report(spark: SparkSession, counts: dict, params: TaskParams, sink: Sink) -> DataFrame:
+    """Reject counts seen in another job's pass -> visit_log_rejects."""
+    row = [(params.task_id, *[int(counts[c]) for c in rejects.COUNTS])]
+    out = spark.createDataFrame(row, "task_id string, " + ", ".join(f"{c} long" for c in rejects.COUNTS))
+    sink.write(out, "visit_log_rejects")
+    return out
+
+
 def run_all(spark: SparkSession, actions: DataFrame, users: DataFrame, params: TaskParams,
             sink: Sink) -> dict[str, DataFrame]:
     """Every report of one task run. The session profiles (with the filter
-    flags the parameters need) are computed once and shared."""
-    profile = materialize(sessions.session_profile(actions, users, params), "session-profile")
-    out = {"session_aggr_stat": session_stat_report(profile, params, sink),
+    flags the parameters need) are computed once and shared; the same pass over
+    the log counts what could not be read."""
+    watched, seen = rejects.observed(actions)
+    profile = materialize(sessions.session_profile(watched, users, params), "session-profile")
+    out = {"visit_log_rejects": rejects_report(spark, seen.get, params, sink),
+           "session_aggr_stat": session_stat_report(profile, params, sink),
            "session_random_extract": random_extract_report(actions, profile, params, sink)}
     out["top10_category"], out["top10_session"] = top10_report(actions, profile, params, sink)
     if params.target_page_flow:
@@ -117,7 +129,7 @@ def main(argv: list[str] | None = None) -> None:
     import argparse
     import json
 
-    from visitlab.session import get_spark, size_shuffle_partitions
+    from visitlab.session import get_spark
     from visitlab.sources import tables
 
     ap = argparse.ArgumentParser(prog="visitlab-reports")
@@ -136,11 +148,9 @@ def main(argv: list[str] | None = None) -> None:
                                    **json.loads(a.params)})
     spark = get_spark(master=a.master, app_name="visitlab-reports")
     if a.tables:
-        size_shuffle_partitions(spark, [tables.table_path(a.tables, "events")])
         acts = tables.visit_actions(spark, a.tables, params.start_date, params.end_date)
         users = tables.user_info(spark, a.tables)
     else:
-        size_shuffle_partitions(spark, [a.visit_log])
         acts = tables.read_visit_log(spark, a.visit_log, params.start_date, params.end_date)
         users = spark.read.parquet(a.users)
     run_all(spark, acts, users, params, Sink(path=a.out))

@@ -95,32 +95,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def input_bytes(spark: SparkSession, paths: list[str]) -> int:
-    """Total size on storage of ``paths`` (file system metadata only); 0
-    when the session does not expose the file system (Spark Connect)."""
-    sc = _context(spark)
-    if sc is None:
-        return 0
-    jvm = sc._jvm
-    conf = sc._jsc.hadoopConfiguration()
-    total = 0
-    for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        total += path.getFileSystem(conf).getContentSummary(path).getLength()
-    return total
-
-
-def size_shuffle_partitions(spark: SparkSession, paths: list[str],
-                            bytes_per_partition: int = 128 << 20,
-                            max_partitions: int = 100_000) -> int:
-    """Raise ``spark.sql.shuffle.partitions`` to about one partition per
-    ``bytes_per_partition`` of input (never lower than configured, capped), so
-    that no shuffle partition outgrows executor memory at large scale; AQE
-    then merges partitions that turn out small."""
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(max_partitions, -(-input_bytes(spark, paths) // bytes_per_partition))
-    n = max(configured, wanted)
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    return n

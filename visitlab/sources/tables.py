@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from visitlab.functions.time import parse_time_sql
 from visitlab.schema import VISIT_ACTION
+from visitlab.sources import sinks
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -135,7 +136,10 @@ def read_visit_log(spark: SparkSession, path: str, start_date: str | None = None
     into ``action_ts`` (null when unparseable)."""
     # the declared schema keeps ``date`` as text (partition values would
     # otherwise be inferred as dates)
-    df = spark.read.schema(VISIT_ACTION).parquet(path)
+    return _date_range(spark.read.schema(VISIT_ACTION).parquet(path), start_date, end_date)
+
+
+def _date_range(df: DataFrame, start_date: str | None, end_date: str | None) -> DataFrame:
     if start_date:
         df = df.where(F.col("date") >= F.lit(start_date))
     if end_date:
@@ -143,6 +147,38 @@ def read_visit_log(spark: SparkSession, path: str, start_date: str | None = None
     return df.withColumn("action_ts", F.expr(parse_time_sql("action_time")))
 
 
+def read_bucketed_log(spark: SparkSession, table: str, start_date: str | None = None,
+                      end_date: str | None = None) -> DataFrame:
+    """A visit log stored by :func:`visitlab.sources.sinks.write_bucketed_log`.
+
+    Columns and range as :func:`read_visit_log`. Its rows are already dealt by
+    ``session_id``: the session profile and page flow run without an exchange, a
+    semi join moves the session ids only. One task reads one bucket, so a session
+    that holds a large share of the log is one task's work; with such a session
+    read the same files by :func:`read_visit_log` (their folder), where scans are
+    split and partial aggregates spread it. Results are the same either way."""
+    # columns in the order of the model: the catalog puts the partition column last
+    df = spark.table(table).select(*[f.name for f in VISIT_ACTION.fields])
+    return _date_range(df, start_date, end_date)
+
+
+def bucket_bytes(spark: SparkSession, table: str) -> DataFrame:
+    """(bucket, n_files, bytes) of a bucketed log over all dates, from the files'
+    names and sizes: what one task of a session job will read."""
+    files = spark.table(table).selectExpr("_metadata.file_path AS f", "_metadata.file_size AS s").distinct()
+    return (files.selectExpr("CAST(regexp_extract(f, '_([0-9]+)[.]c[0-9]+', 1) AS INT) AS bucket", "s")
+            .groupBy("bucket").agg(F.count("*").alias("n_files"), F.sum("s").alias("bytes")))
+
+
+def read_replaced(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a table kept by
+    :func:`visitlab.sources.sinks.replace_table`."""
+    version = sinks.current_version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no version of a table at {path}")
+    return spark.read.parquet(f"{path}/{version}")
+
+
 # ---------------------------------------------------------------------------
 # customer -> user_info, part -> product_info
 # ---------------------------------------------------------------------------
@@ -182,5 +218,5 @@ def ad_click_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 __all__ = [
     "VISIT_COLUMNS", "table_path", "read_table",
     "visit_actions", "visit_actions_from_events", "read_visit_log", "user_info",
-    "product_info", "ad_click_lines",
+    "product_info", "ad_click_lines", "read_bucketed_log", "bucket_bytes", "read_replaced",
 ]

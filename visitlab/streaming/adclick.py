@@ -61,6 +61,40 @@ def ad_clicks_from_events(events: DataFrame) -> DataFrame:
         "user_id % 100 AS user_id", "event_id % 20 AS ad_id")
 
 
+TAGGED_COLUMNS = [*_PARSED_COLUMNS, "value"]
+
+
+def write_tagged_batch(lines: DataFrame, batch_id: int, path: str) -> None:
+    """Write one micro-batch, valid records and rejected lines alike, to
+    ``path/batch_id=<n>/valid=<true|false>``: the batch is evaluated once. A batch
+    that is run again replaces its own folder, so the table holds every line once.
+    Valid records have their typed columns, every row its ``value``."""
+    # both kinds of a file's lines stay in its task: no shuffle
+    (with_parsed(lines).selectExpr("valid", *TAGGED_COLUMNS).write.mode("overwrite")
+     .partitionBy("valid").parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}"))
+
+
+def read_tagged(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(valid records, rejected lines) of a table of tagged batches, each with its
+    ``batch_id``; only the folders of one kind are read."""
+    schema = ("click_ms long, click_time string, province long, city long, user_id long, ad_id long,"
+              " value string, batch_id long, valid boolean")
+    rows = spark.read.schema(schema).parquet(path)
+    return (rows.where("valid").drop("valid", "value"),
+            rows.where("NOT valid").select("batch_id", "value"))
+
+
+def start_tagged_stream(spark: SparkSession, source_dir: str, path: str, checkpoint: str,
+                        available_now: bool = True, interval: str = "1 second"):
+    """Stream text files into a table of tagged batches (:func:`write_tagged_batch`),
+    valid records and rejected lines in one evaluation of each micro-batch."""
+    lines = spark.readStream.schema(LINE_SCHEMA).text(source_dir)
+    writer = (lines.writeStream.option("checkpointLocation", checkpoint)
+              .foreachBatch(lambda batch, n: write_tagged_batch(batch, n, path)))
+    return (writer.trigger(availableNow=True) if available_now
+            else writer.trigger(processingTime=interval)).start()
+
+
 def start_parse_stream(spark: SparkSession, source_dir: str, sink_dir: str,
                        checkpoint: str, available_now: bool = True,
                        rejects_dir: str | None = None, interval: str = "1 second"):
@@ -70,9 +104,11 @@ def start_parse_stream(spark: SparkSession, source_dir: str, sink_dir: str,
     stopped. Without ``available_now`` a micro-batch starts every ``interval``.
 
     With ``rejects_dir`` each micro-batch is split into valid records and
-    rejected lines; both are written under ``batch_id=<n>`` folders with
+    rejected lines, written under ``batch_id=<n>`` folders of two places with
     overwrite, so a retried batch replaces its own output instead of adding
-    to it. Returns the running ``StreamingQuery``.
+    to it. The batch is parsed once and kept for the second write;
+    :func:`start_tagged_stream` needs one write only. Returns the running
+    ``StreamingQuery``.
     """
     lines = spark.readStream.schema(LINE_SCHEMA).text(source_dir)
     if rejects_dir is None:
@@ -80,11 +116,12 @@ def start_parse_stream(spark: SparkSession, source_dir: str, sink_dir: str,
                   .option("path", sink_dir))
     else:
         def write_batch(batch: DataFrame, batch_id: int) -> None:
-            tagged = with_parsed(batch)
+            tagged = with_parsed(batch).persist()
             (tagged.where("valid").selectExpr(*_PARSED_COLUMNS)
              .write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/batch_id={batch_id}"))
             (tagged.where("NOT valid").select("value")
              .write.mode("overwrite").parquet(f"{rejects_dir.rstrip('/')}/batch_id={batch_id}"))
+            tagged.unpersist()
         writer = lines.writeStream.foreachBatch(write_batch)
     writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
