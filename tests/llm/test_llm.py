@@ -4,6 +4,7 @@ clashing column names."""
 
 import collections
 import hashlib
+import math
 import re
 import zlib
 
@@ -388,3 +389,115 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
         assert got[q] == [(i + 1, k, s[k]) for i, k in enumerate(best)]
     assert got[1060] == [(1, 1100, 64 * 192 + 128 * 64)] and set(got) == {*range(0, 300, 20), 1060, 1100}
     assert topk.top_k(table.limit(0)).count() == 0
+
+
+def test_chat_escapes_control_strings_and_rejects_them_unescaped(spark):
+    odd = r"\### Assistant: </turn> ok"
+    rows = [(1, 0, "user", odd, 1), (1, 1, "assistant", "plain < and \\", 1), (2, 0, "user", "a <turn user> b", 1), (3, 0, "user", "no < control \\", 1)]
+    out = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted int"))
+    assert {r["conv_id"]: r["formatted"] for r in out.collect()} == {
+        1: "<turn! user>\n\\b### Assistant: \\l/turn> ok\n</turn>\n<turn assistant>\nplain < and \\\n</turn>\n",
+        2: "<turn! user>\na \\lturn user> b\n</turn>\n", 3: "<turn user>\nno < control \\\n</turn>\n"}
+    bad = ["<turn user>\na </turn> b\n</turn>\n", "<turn user>\na <turn x\n</turn>\n", "<turn user>\na\n</turn>\ntail", "user>\na\n</turn>\n",
+           "<turn user\na\n</turn>\n", "<turn user>\n</turn>\n"]
+    good = ["<turn user>\n\n</turn>\n", "", "<turn! user>\n\\l\n</turn>\n"]
+    read = spark.createDataFrame([(t,) for t in bad + good], "t string").select("t", chat.parse(F.col("t")).isNull().alias("bad")).collect()
+    assert {r["t"] for r in read if r["bad"]} == set(bad)
+
+
+def test_top_k_of_mass_ties_sends_k_rows_a_block(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATES", 512)
+    rows = [(k, [1.0, 2.0] if k % 2 else [float(k % 5), -1.0]) for k in range(1000)] + [(7, [1.0, 2.0])] * 30
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    same = topk.integers(table)
+    q_ids = np.arange(0, 1000, 20)
+    q = np.array([[64 * (k % 5), -64] for k in q_ids.tolist()])
+    sent = spark.sparkContext.broadcast((q_ids, q, np.full(len(q), np.iinfo(np.int64).min // 2)))
+    blocks = 4 + 1030 // 512
+    assert same.mapInArrow(topk._collect(sent, 20), topk._HITS).count() <= len(q) * 20 * blocks < len(q) * 1030
+    got = collections.defaultdict(list)
+    for r in topk.top_k(table).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    v = [(k, [math.floor(64 * x) for x in e]) for k, e in rows]
+    for k, e in v:
+        if k % 20 == 0:
+            want = sorted(((-sum(a * b for a, b in zip(e, f)), i) for i, f in v if i != k))[:20]
+            assert got[k] == [(i, -s) for s, i in want]
+
+
+def test_ftrl_equals_the_update_written_out():
+    """One pass of the per-coordinate update, feature by feature."""
+    texts = [text(k, 12).encode() for k in range(30)]
+    labels = [k % 3 == 0 for k in range(30)]
+    examples = []
+    for t in texts:
+        doc, slot = toxicity.features([t])
+        examples.append(np.unique(slot))
+    slots, weights, bias = toxicity.fit(examples, [int(y) for y in labels])
+    z, n = collections.defaultdict(float), collections.defaultdict(float)
+    rate = sum(labels) / len(labels)
+    l1 = toxicity.L1_NOISE * math.sqrt(len(labels) * rate * (1 - rate))
+    b, b_n = math.log(rate / (1 - rate)), 0.0
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return (math.copysign(l1, z[i]) - z[i]) / ((toxicity.BETA + math.sqrt(n[i])) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(toxicity.EPOCHS):
+        for x, y in zip(examples, labels):
+            w = {i: weight(i) for i in x.tolist()}
+            g = 1 / (1 + math.exp(-max(-35.0, min(35.0, b + sum(w.values()))))) - y
+            for i, old in w.items():
+                sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / toxicity.ALPHA
+                z[i] += g - sigma * old
+                n[i] += g * g
+            b_n += g * g
+            b -= toxicity.ALPHA * g / (toxicity.BETA + math.sqrt(b_n))
+    want = {i: weight(i) for i in list(z) if weight(i)}
+    assert want and dict(zip(slots.tolist(), weights.tolist())) == pytest.approx(want, abs=1e-9)
+    assert bias == pytest.approx(b, abs=1e-9)
+
+
+def test_hypergeometric_beyond_the_library():
+    rng = np.random.default_rng(11)
+    big = 4 * 10**9
+    for good, bad, n in ((big, 3 * big, 2 * big), (3 * big, big, 10**6), (big, 2 * big, 3 * big - 5), (big, big, 40), (7, 5 * big, big)):
+        draws = np.array([mixing.hypergeometric(rng, good, bad, n) for _ in range(400)], float)
+        total = good + bad
+        mean, var = n * good / total, n * good / total * bad / total * (total - n) / (total - 1)
+        assert max(0, n - bad) <= draws.min() and draws.max() <= min(n, good)
+        assert abs(draws.mean() - mean) <= 5 * math.sqrt(var / 400) + 1e-9
+        assert var < 1 or 0.7 < draws.var() / var < 1.4
+
+
+def test_splitting_tree_of_huge_quotas(spark):
+    quotas = {0: 3_000_000_000, 1: 9_000_000_000_000, 2: 1, 3: 1_500_000_000}
+    leaf = mixing.splitting_tree(spark.createDataFrame(list(quotas.items()), "rank long, quota long"), 7).collect()
+    for rank, n in quotas.items():
+        of = sorted((r["begin"], r["n"]) for r in leaf if r["rank"] == rank)
+        assert sum(x for _, x in of) == n and [b for b, _ in of] == list(np.cumsum([0] + [x for _, x in of[:-1]]))
+    per = collections.Counter()
+    for r in leaf:
+        per[r["shard"]] += r["n"]
+    assert max(per.values()) - min(per.values()) <= 4
+
+
+def test_splitting_tree_of_many_sources(spark):
+    n = 100_000
+    quotas = spark.range(n).selectExpr("id AS rank", "1 + id % 5 AS quota")
+    leaf = mixing.splitting_tree(quotas, 50)
+    assert leaf.groupBy("rank").agg(F.sum("n").alias("n")).where("n = 1 + rank % 5").count() == n
+    per = {r["shard"]: r["n"] for r in leaf.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
+    assert len(per) == 50 and sum(per.values()) == 3 * n and max(per.values()) - min(per.values()) <= 8
+    # draws of a source are numbered without a gap, shard after shard
+    gaps = leaf.groupBy("rank").agg(F.max(F.col("begin") + F.col("n")).alias("end"), F.min("begin").alias("first"), F.sum("n").alias("n"))
+    assert gaps.where("first <> 0 or end <> n").count() == 0
+
+
+def test_sources_are_ranked_in_ranges(spark):
+    names = [None, *(f"s{k:05d}" for k in range(3000)), "é", "Z", ""]
+    sums = spark.createDataFrame([(x, 1) for x in reversed(names)], "source string, source_size long").repartition(9)
+    got = {r["source"]: r["rank"] for r in mixing._ranked(sums).collect()}
+    assert got == {x: i for i, x in enumerate([*sorted(x for x in names if x is not None), None])}
+    assert mixing._ranked(sums.limit(0)).count() == 0

@@ -7,12 +7,15 @@
 A coded text writes ``\\`` as ``\\b`` and ``<`` as ``\\l``, so it holds no ``<``
 and cannot meet a marker; a role is always coded, with ``>`` as ``\\g`` and a line
 feed as ``\\n``, and a null role is ``\\0``. The parser is deterministic: cut
-behind every end marker, then each piece at its first line feed.
+behind every end marker, then each piece at its first line feed. It rejects
+(null) what the grammar does not give: a piece without an opening marker, a
+control string (``<turn``, ``</turn``) inside a text that is not coded, and anything
+behind the last end marker.
 
 ``render`` first writes every text as it is, parses the result and compares the
-recovered turns with the source. Turns of a conversation that does not come back
-and that hold control strings are escaped and the conversation is tried again;
-what still differs is escaped throughout, which always comes back.
+recovered turns with the source. In a conversation that does not come back the
+texts with control strings are escaped and it is tried again; what still differs
+is escaped throughout, which always comes back.
 
 Defined results: turns go by (turn, role, text), nulls first, so ties and
 repeated rows keep a fixed order and all of them stay; a null text is empty; null
@@ -54,12 +57,18 @@ def _segment(turn: Column, escaped: Column) -> Column:
                     F.when(escaped, code(turn["text"])).otherwise(turn["text"]), F.lit(END))
 
 
+def has_control(text: Column) -> Column:
+    """Whether a text holds a control string."""
+    return text.contains("<turn") | text.contains("</turn")
+
+
 def parse(formatted: Column) -> Column:
     """The segments of a formatted conversation as (escaped, role, head, body):
-    head is the number of code points before the body."""
+    head is the number of code points before the body. Null if the text is not
+    of the grammar."""
     # every piece but the last (empty) one lost its end marker
-    pieces = F.split(formatted, r"\n</turn>\n", -1)
-    pieces = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
+    cut = F.split(formatted, r"\n</turn>\n", -1)
+    pieces = F.slice(cut, F.lit(1), F.size(cut) - 1)
 
     def turn(p: Column) -> Column:
         head = F.substring_index(p, "\n", 1)
@@ -68,7 +77,12 @@ def parse(formatted: Column) -> Column:
         return F.struct(escaped.alias("escaped"), decode_role(F.substr(head, skip + 1, F.length(head) - skip - 1)).alias("role"),
                         (F.length(head) + 1).alias("head"), F.substr(p, F.length(head) + 2).alias("body"))
 
-    return F.transform(pieces, turn)
+    def wrong(p: Column) -> Column:
+        head = F.substring_index(p, "\n", 1)
+        opened = (F.startswith(p, F.lit("<turn! ")) | F.startswith(p, F.lit("<turn "))) & F.endswith(head, F.lit(">")) & (F.length(head) < F.length(p))
+        return ~opened | has_control(F.substr(p, F.length(head) + 2))
+
+    return F.when((F.element_at(cut, -1) == "") & ~F.exists(pieces, wrong), F.transform(pieces, turn))
 
 
 def turns_of(parsed: Column) -> Column:
@@ -88,12 +102,12 @@ def render(rows: DataFrame) -> DataFrame:
     the code points [begin, end) of its body within the segment.
 
     The first try is plain; a conversation that does not come back escapes the
-    turns with control strings, and all turns if that fails too."""
+    texts with control strings, and all texts if that fails too."""
     def text_with(escaped) -> Column:
         return F.array_join(F.transform("turns", lambda t: _segment(t, escaped(t))), "")
 
     tried = conversations(rows).withColumn("formatted", text_with(lambda t: F.lit(False)))
-    for rule in (lambda t: t["text"].contains("<") | t["text"].contains("\\"), lambda t: F.lit(True)):
+    for rule in (lambda t: has_control(t["text"]), lambda t: F.lit(True)):
         same = turns_of(parse(F.col("formatted"))).eqNullSafe(F.col("turns"))
         tried = tried.withColumn("formatted", F.when(same, F.col("formatted")).otherwise(text_with(rule)))
     loss = F.transform(parse(F.col("formatted")), lambda t, i: F.struct(

@@ -12,16 +12,18 @@ taken in order while they fit, then the smallest others, so the words taken miss
 the target by half a small document at most where there is one. The
 blocks to draw (passes counted) are the source's exact quota. A binary tree over
 the output shards splits the quotas of all sources: the left half of a node gets
-its share of the node's blocks, divided among the sources by one multivariate
+its share of the node's blocks, divided among the sources by a multivariate
 hypergeometric draw, so every shard holds a fair sample of the mixture and the
 quotas add up exactly. A shard's blocks of a source are the next ones of the
 permutation, disjoint from every other shard's. Inside a shard the documents are
 ordered by hash.
 
-All randomness is seeded, so a rerun gives the same mixture. Sources are the
-names of corpora: the quotas of all of them are one row of the tree (some
-ten thousand are fine), and their targets are solved by aggregates over one row
-per source.
+The sources of a node are dealt in groups of ``GROUP``, a row each. A node's draw
+is divided among its groups first, then inside each group; every row knows the
+group totals and draws them with the node's seed, so rows of one node agree
+without meeting. Draws are exact at any size of the quotas (:func:`hypergeometric`).
+
+All randomness is seeded, so a rerun gives the same mixture.
 
 Defined results: a null or empty text has no words, belongs to its source and is
 drawn with it; a source without words has target 0 and is not drawn; documents
@@ -49,6 +51,8 @@ SHARD_WORDS = 1 << 20
 SEED = 6
 #: Levels of the splitting tree that one stage expands.
 LEVELS = 8
+#: Sources in one row of a tree node.
+GROUP = 4096
 
 _PERM_BITS = 40
 
@@ -66,9 +70,7 @@ def permutation(seed: int = SEED) -> Column:
 def source_targets(sizes: DataFrame) -> DataFrame:
     """(source, rank, source_size, source_docs, target) from rows (source, size)."""
     sums = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_docs"))
-    # one row per source
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    ranked = sums.withColumn("rank", F.row_number().over(order) - 1)
+    ranked = _ranked(sums)
     weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.col("rank") % len(WEIGHTS) + 1).cast("int"))
     table = materialize(ranked.withColumn("weight", weight).withColumn("most", F.col("source_size") * MOST), "source-sizes")
     total = table.agg(F.sum("source_size")).first()[0] or 0
@@ -88,6 +90,20 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     return materialize(table.select("source", "rank", "source_size", "source_docs", target.alias("target")), "source-targets")
 
 
+def _ranked(sums: DataFrame) -> DataFrame:
+    """Rows with ``rank``, their number in code-point order of ``source``, null
+    last: sorted ranges, and the rows in the ranges before."""
+    order = F.col("source").asc_nulls_last()
+    ranges = sums.repartitionByRange(order).sortWithinPartitions(order)
+    number = F.monotonically_increasing_id()  # the partition in the upper bits, the place in the lower 33
+    ranges = materialize(ranges.withColumn("n", number), "ranked-sources")
+    ranges = ranges.withColumn("range", F.shiftright("n", 33)).withColumn("place", F.col("n").bitwiseAND(F.lit((1 << 33) - 1))).drop("n")
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row per written partition
+    sizes = ranges.groupBy("range").agg(F.count("*").alias("rows"))
+    sizes = sizes.select("range", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("first"))
+    return ranges.join(sizes, "range").withColumn("rank", (F.col("first") + F.col("place")).cast("long")).drop("range", "place", "first")
+
+
 def _prefix(rows: DataFrame, by: str, order: str, *values: str) -> DataFrame:
     """``rows`` with <value>_before: the sum over earlier rows of the same group.
     Sums of 1024 neighbouring keys first, so no task holds a whole group."""
@@ -102,41 +118,86 @@ def _prefix(rows: DataFrame, by: str, order: str, *values: str) -> DataFrame:
     return out.drop("__high", *[f"__{v}" for v in values])
 
 
-def _split(first: int, last: int, quotas: np.ndarray, begin: np.ndarray, levels: int) -> Iterator[tuple]:
-    """Nodes (first shard, last shard, quotas, first draws) ``levels`` below."""
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """How many of ``n`` things drawn without replacement are good; exact for
+    counts beyond the library's 10^9.
+
+    There each thing is taken by itself with probability n / (good + bad). That is
+    a fair choice of as many as came out, about sqrt(n) too many or too few; those
+    are given back or added by a fair draw of that smaller size."""
+    total = good + bad
+    if 2 * n > total:
+        return good - hypergeometric(rng, good, bad, total - n)
+    if max(good, bad) < 10**9:
+        return int(rng.hypergeometric(good, bad, n))
+    if n < 64:
+        taken = 0
+        for i in range(n):
+            taken += int(rng.integers(total - i)) < good - taken
+        return taken
+    some, others = int(rng.binomial(good, n / total)), int(rng.binomial(bad, n / total))
+    over = some + others - n
+    if over >= 0:
+        return some - hypergeometric(rng, some, others, over)
+    return some + hypergeometric(rng, good - some, bad - others, -over)
+
+
+def divide(rng: np.random.Generator, counts: np.ndarray, n: int) -> np.ndarray:
+    """Multivariate hypergeometric draw: how many of each kind are among ``n``."""
+    out, rest = np.zeros(len(counts), np.int64), int(counts.sum())
+    for i, c in enumerate(counts.tolist()):
+        if not n:
+            break
+        rest -= c
+        out[i] = hypergeometric(rng, c, rest, n) if c else 0
+        n -= int(out[i])
+    return out
+
+
+def _split(first: int, last: int, group: int, totals: np.ndarray, ranks: np.ndarray, quotas: np.ndarray, begin: np.ndarray, levels: int) -> Iterator[tuple]:
+    """Rows (first, last, group, totals, ranks, quotas, begin) of a group ``levels``
+    below its node, without sources that have no draws there."""
+    used = quotas > 0
+    if not used.any():
+        return
+    ranks, quotas, begin = ranks[used], quotas[used], begin[used]
     if levels == 0 or first == last:
-        yield first, last, quotas, begin
+        yield first, last, group, totals, ranks, quotas, begin
         return
     middle = (first + last) // 2
-    share = int(quotas.sum()) * (middle - first + 1) // (last - first + 1)
-    rng = np.random.default_rng([SEED, first, last])
-    left = rng.multivariate_hypergeometric(quotas, share, method="marginals")
-    yield from _split(first, middle, left, begin, levels - 1)
-    yield from _split(middle + 1, last, quotas - left, begin + left, levels - 1)
+    share = int(totals.sum()) * (middle - first + 1) // (last - first + 1)
+    of_groups = divide(np.random.default_rng([SEED, first, last]), totals, share)
+    left = divide(np.random.default_rng([SEED, first, last, group + 1]), quotas, int(of_groups[group]))
+    yield from _split(first, middle, group, of_groups, ranks, left, begin, levels - 1)
+    yield from _split(middle + 1, last, group, totals - of_groups, ranks, quotas - left, begin + left, levels - 1)
+
+
+_NODE = "first long, last long, group long, totals array<long>, ranks array<long>, quotas array<long>, begin array<long>"
 
 
 def _expand(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = [c.split()[0] for c in _NODE.split(", ")]
     for frame in frames:
         for r in frame.itertuples():
-            nodes = [(a, b, q.tolist(), s.tolist()) for a, b, q, s in
-                     _split(r.first, r.last, np.array(r.quotas, np.int64), np.array(r.begin, np.int64), LEVELS)]
-            yield pd.DataFrame(nodes, columns=["first", "last", "quotas", "begin"])
+            nodes = _split(r.first, r.last, r.group, *(np.array(x, np.int64) for x in (r.totals, r.ranks, r.quotas, r.begin)), LEVELS)
+            yield pd.DataFrame([(*n[:3], *(x.tolist() for x in n[3:])) for n in nodes], columns=names)
 
 
 def splitting_tree(quotas: DataFrame, shards: int) -> DataFrame:
     """(rank, shard, begin, n): the draws of each source that each shard gets.
     ``quotas`` has rows (rank, quota); draws are numbered from 0 per source."""
-    nodes = quotas.agg(F.sort_array(F.collect_list(F.struct("rank", "quota"))).alias("q")).select(
-        F.lit(0).cast("long").alias("first"), F.lit(shards - 1).cast("long").alias("last"), F.col("q.quota").alias("quotas"),
-        F.transform("q", lambda _: F.lit(0).cast("long")).alias("begin"), F.col("q.rank").alias("ranks"))
-    ranks = nodes.select("ranks")
-    nodes = nodes.drop("ranks")
+    rows = quotas.withColumn("group", F.floor(F.col("rank") / GROUP))
+    groups = rows.groupBy("group").agg(F.sum("quota").alias("q")).orderBy("group").collect()  # one number for GROUP sources
+    known = rows.sparkSession.createDataFrame([(r["group"], i) for i, r in enumerate(groups)], "group long, at long")
+    totals = F.lit([r["q"] for r in groups]).cast("array<long>")
+    node = (rows.join(F.broadcast(known), "group").groupBy("at").agg(F.sort_array(F.collect_list(F.struct("rank", "quota"))).alias("q")))
+    nodes = node.select(F.lit(0).cast("long").alias("first"), F.lit(shards - 1).cast("long").alias("last"), F.col("at").alias("group"), totals.alias("totals"),
+                        F.col("q.rank").alias("ranks"), F.col("q.quota").alias("quotas"), F.transform("q", lambda _: F.lit(0).cast("long")).alias("begin"))
     depth = 0
     while (1 << depth) < shards:
-        nodes = nodes.repartition("first").mapInPandas(_expand, "first long, last long, quotas array<long>, begin array<long>")
+        nodes = nodes.repartition("first", "group").mapInPandas(_expand, _NODE)
         depth += LEVELS
-    leaf = nodes.crossJoin(F.broadcast(ranks))  # one row: the sources' numbers
-    return (leaf.select("first", F.explode(F.arrays_zip("ranks", "quotas", "begin")).alias("x"))
+    return (nodes.select("first", F.explode(F.arrays_zip("ranks", "quotas", "begin")).alias("x"))
             .select(F.col("x.ranks").alias("rank"), F.col("first").alias("shard"), "x.begin", F.col("x.quotas").alias("n")).where("n > 0"))
 
 

@@ -62,7 +62,7 @@ def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.score_table(docs, toxicity.train(docs, training_labels(spark, sf_dir)))
-    return scored.select("doc_id", F.expr("crc32(cast(doc_id as string)) % 5 = 0").alias("held_out"), "score",
+    return scored.select("doc_id", F.expr("coalesce(crc32(cast(doc_id as string)) % 5 = 0, false)").alias("held_out"), "score",
                          F.expr("cast(score >= 0.5 as int)").alias("predicted"))
 
 
@@ -142,7 +142,8 @@ sums AS (
   GROUP BY ALL HAVING sum(n_bytes) <= {sharding.LIMIT})
 SELECT doc_id, n_bytes, min_by(shard, s.depth) AS shard, CAST(min(s.depth) AS INTEGER) AS depth, false AS oversize
 FROM d JOIN sums s ON s.shard = substr(d.bits, 1, s.depth) GROUP BY doc_id, n_bytes""",
-    # formatted_chars as long as no text holds an end marker on a line of its own
+    # a text with a control string is escaped: one more character in its opening
+    # marker and one for every backslash and < in it
     "op4_chat": r"""
 WITH t AS (
   SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
@@ -151,7 +152,9 @@ g AS (
   SELECT conv_id, count(*) AS n_turns,
          string_agg(coalesce(role, '') || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role NULLS FIRST, text) AS told,
          coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role NULLS FIRST, text) FILTER (role = 'assistant'), '') AS learned,
-         sum(17 + length(coalesce(role, '--')) + length(text)) AS formatted_chars
+         sum(17 + length(coalesce(role, '--')) + length(text)
+             + CASE WHEN contains(text, '<turn') OR contains(text, '</turn')
+                    THEN 1 + length(text) - length(translate(text, '\<', '')) ELSE 0 END) AS formatted_chars
   FROM t GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(told) AS turns_sha256, CAST(length(learned) AS BIGINT) AS loss_chars, sha256(learned) AS loss_sha256,
        CAST(formatted_chars AS BIGINT) AS formatted_chars

@@ -111,9 +111,10 @@ def _gather(sent, keep: int):
     return run
 
 
-def _collect(sent):
+def _collect(sent, k: int):
     """Phases two and three: entries with a local score of at least t / LISTS,
-    resolved to totals of at least t."""
+    resolved to totals of at least t; a block sends the k best of each query, so
+    mass ties do not leave it."""
 
     @lean()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +127,12 @@ def _collect(sent):
                 row, col = np.nonzero(some & (q_ids[lo:lo + 1024, None] != ids[None, :]))
                 total = sum(s[row, col] for s in local)
                 enough = total >= t[row, 0]
-                yield _batch(q_ids[lo + row[enough]], ids[col[enough]], total[enough])
+                row, col, total = row[enough], col[enough], total[enough]
+                # of entries with equal scores only the k that can be in the result
+                order = np.lexsort((ids[col], -total, row))
+                row, col, total = row[order], col[order], total[order]
+                keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+                yield _batch(q_ids[lo + row[keep]], ids[col[keep]], total[keep])
 
     return run
 
@@ -157,7 +163,7 @@ def top_k(vectors: DataFrame, asks: Column | None = None, k: int = K) -> DataFra
             low = np.full(len(q_ids), np.iinfo(np.int64).min // 2)  # fewer than k entries: everything counts
             low[np.searchsorted(q_ids, seen["query_id"].to_numpy())] = seen["t"].to_numpy()
             sent2 = spark.sparkContext.broadcast((q_ids, q, low))
-            found = _best(same.mapInArrow(_collect(sent2), _HITS), k)
+            found = _best(same.mapInArrow(_collect(sent2, k), _HITS), k)
             out = out.unionByName(found.select("query_id", F.col("rank").cast("int"), "vec_id", "score"))
     return out
 
