@@ -12,9 +12,12 @@ folders that any Spark file system can hold:
   part, seq, begin, n, start (ids of all documents before it), ordinal, and how
   many rows have that doc_id.
 
-``lookup`` and ``read_one`` answer by key in constant time: bucket by hash, a few
-bit probes, one slot, one slice of one shard. A foreign key is refused by its
-fingerprint (a wrong hit has probability 2**-32).
+``read_one`` answers by key in constant time: the key's bucket names the one folder
+of the index to open (``GROUP_BUCKETS`` buckets, sorted, of which the bucket's row
+group is read), a few bit probes and one slot name the payload folder (one per
+written partition) and shard, of which one slice is returned. ``lookup`` does the
+same for a table of keys. A foreign key is refused by its fingerprint (a wrong hit
+has probability 2**-32).
 
 Defined results: a null or empty text is the end id alone; rows of one doc_id
 (and copies of one row) follow each other by the text's hash, the index names the
@@ -31,6 +34,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +45,8 @@ from .tokens import mix64
 END_ID = 0
 SHARD_IDS = 1 << 18
 BUCKET_KEYS = 1024
+#: Buckets in one folder of the index, and bytes of its row groups.
+GROUP_BUCKETS, GROUP_BYTES = 1024, 1 << 20
 #: Bits per remaining key in each level of the hash.
 GAMMA = 1.7
 #: Keys left after so many levels are kept in a sorted list.
@@ -162,7 +168,7 @@ def payload(spark: SparkSession, path: str) -> DataFrame:
 
 
 def index(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_INDEX).parquet(f"{path}/index")
+    return spark.read.schema(_INDEX).parquet(f"{path}/index").drop("group")
 
 
 def _with_bucket(rows: DataFrame, n_buckets: int) -> DataFrame:
@@ -200,15 +206,16 @@ def write(docs: DataFrame, path: str, tokenizer: str) -> None:
     order = [F.col("doc_id").asc_nulls_first(), F.col("tie")]
     shards = (rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
               .mapInArrow(_encode_shards(tokenizer), _PAYLOAD))
-    shards.write.option("compression", "zstd").option("parquet.block.size", 16 << 20).parquet(f"{path}/payload")
+    shards.write.option("compression", "zstd").option("parquet.block.size", 16 << 20).partitionBy("part").parquet(f"{path}/payload")
 
     entries = _documents(shard_starts(payload(spark, path).drop("payload"))).where("doc_ids is not null")
     place = F.struct("ordinal", "start", "part", "seq", F.col("begins").alias("begin"), F.col("lens").alias("n"))
     keys = (entries.groupBy(F.col("doc_ids").alias("doc_id")).agg(F.min(place).alias("p"), F.count("*").alias("n_rows"))
             .select("doc_id", "p.*", "n_rows"))
     n = docs.where("doc_id is not null").count()
-    (_with_bucket(keys, n_buckets(n)).groupBy("bucket").applyInPandas(_build_bucket, _INDEX)
-     .write.option("compression", "zstd").parquet(f"{path}/index"))
+    built = _with_bucket(keys, n_buckets(n)).groupBy("bucket").applyInPandas(_build_bucket, _INDEX)
+    grouped = built.withColumn("group", F.floor(F.col("bucket") / GROUP_BUCKETS)).repartition("group").sortWithinPartitions("group", "bucket")
+    grouped.write.option("compression", "zstd").option("parquet.block.size", GROUP_BYTES).partitionBy("group").parquet(f"{path}/index")
 
 
 # --- reading ---
@@ -245,12 +252,40 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
                     F.col("lens").alias("n"), "crc"))
 
 
+def index_row(spark: SparkSession, path: str, group: int) -> DataFrame:
+    """The index rows of one folder; empty if it has none."""
+    try:
+        return spark.read.schema(_INDEX).parquet(f"{path}/index/group={group}")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], _INDEX)
+        raise
+
+
+def shard(spark: SparkSession, path: str, part: int, seq: int) -> DataFrame:
+    """One shard's row."""
+    return spark.read.schema(_PAYLOAD).parquet(f"{path}/payload/part={part}").where(F.col("seq") == seq)
+
+
+def find_one(spark: SparkSession, path: str, doc_id: int) -> dict | None:
+    """Place of the first row of that doc_id, or None; opens one bucket."""
+    first = index_row(spark, path, 0).select("n_buckets").first()  # the number of buckets stands in every row
+    if first is None:
+        return None
+    key = spark.range(1).select(F.lit(doc_id).cast("long").alias("doc_id"))
+    bucket = _with_bucket(key, first["n_buckets"]).first()["bucket"]
+    row = index_row(spark, path, bucket // GROUP_BUCKETS).where(F.col("bucket") == bucket).first()
+    found = [] if row is None else _find(pd.Series(row.asDict()), np.array([doc_id], np.int64)).to_dict("records")
+    return found[0] if found else None
+
+
 def read_one(spark: SparkSession, path: str, doc_id: int) -> np.ndarray | None:
-    """Ids of one document (the first row of that doc_id), or None."""
-    at = lookup(spark.createDataFrame([(doc_id,)], "doc_id long"), path).first()
+    """Ids of one document (the first row of that doc_id), or None; opens one
+    bucket of the index and one shard."""
+    at = find_one(spark, path, doc_id)
     if at is None:
         return None
-    raw = payload(spark, path).where((F.col("part") == at["part"]) & (F.col("seq") == at["seq"])).select(
+    raw = shard(spark, path, at["part"], at["seq"]).select(
         F.expr(f"substring(payload, {4 * at['begin'] + 1}, {4 * at['n']})").alias("p")).first()
     return np.frombuffer(bytes(raw["p"]), "<u4")
 
