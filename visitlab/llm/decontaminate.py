@@ -14,6 +14,11 @@ numbers or names passes, a chance meeting of placeholders with clashing values
 does not. An opening word that differs is checked like a slot; n_slots and
 n_changed count the slots of the first template.
 
+A window that stands in more than ``COMMON`` items (a preface, an instruction) is no
+evidence: it is neither looked up nor counted, unless it belongs to an item that
+has more common windows than others. These frequencies are counted over the whole
+benchmark first.
+
 A document is contaminated by an item if windows that count cover at least
 ``SHARE`` of the item's windows, or, whatever the item's length, ``RUN``
 consecutive words of it along one alignment. The benchmark is read in blocks of
@@ -50,6 +55,8 @@ SHARE = 0.3
 RUN = 13
 #: Most item values that one document value may stand for.
 SHARED = 2
+#: Items that may share a window before it counts as common.
+COMMON = 50
 #: Most benchmark items in one broadcast block, and most bytes of their texts.
 BLOCK_ITEMS, BLOCK_BYTES = 20_000, 16 << 20
 
@@ -99,28 +106,61 @@ def canonical(texts: list[bytes]) -> tuple[tokens.Words, np.ndarray, np.ndarray]
     return words, kinds, np.where(kinds == WORD, words.hash, _MARK[kinds])
 
 
-def item_windows(items: list[tuple[int, str]]) -> dict:
+def _item_hashes(text: str | None) -> tuple | None:
+    """(word hashes, kinds, window length, [(hashes, places)] of the plain words and
+    of each template's usable windows) of one item; None without words."""
+    words, kinds, token = canonical([(text or "").encode()])
+    n = len(words.hash)
+    if not n:
+        return None
+    size, one = min(WINDOW, n), np.zeros(n, np.int64)
+    found = [tokens.windows(words.hash, one, tuple(range(size)), 1)]
+    for kind, hashes in zip(kinds, token, strict=True):
+        literal = np.convolve(kind == WORD, np.ones(size, int), "valid")
+        template, at = tokens.windows(hashes, one, tuple(range(size)), 1)
+        usable = literal[at] >= min(LITERAL, size)
+        found.append((template[usable], at[usable]))
+    return words.hash, kinds, size, found
+
+
+def common_windows(benchmark: DataFrame) -> np.ndarray:
+    """Sorted hashes of the windows that more than ``COMMON`` items hold: at most
+    a ``COMMON``-th of all windows of the benchmark."""
+
+    @lean()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [np.unique(np.concatenate([h for h, _ in item[3]])) for t in batch["text"].to_pylist() if (item := _item_hashes(t))]
+            hashes = np.concatenate(own) if own else np.empty(0, np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["h"])
+
+    often = (benchmark.select("text").distinct().mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n"))
+             .where(F.col("n") > COMMON).select("h"))
+    return np.sort(np.array([r["h"] for r in often.collect()], np.int64).view(np.uint64))
+
+
+def item_windows(items: list[tuple[int, str]], common: np.ndarray = np.empty(0, np.uint64)) -> dict:
     """Lookup of one block of items: window lengths, sorted template and plain
     hashes with (item, place), each item's word hashes and kinds."""
     by_item = []
     lookup: dict[int, dict[int, list]] = defaultdict(lambda: defaultdict(list))
     for item_id, text in items:
-        words, kinds, token = canonical([(text or "").encode()])
-        n = len(words.hash)
-        if not n:
+        item = _item_hashes(text)
+        if item is None:
             continue
-        size, k = min(WINDOW, n), len(by_item)
-        count = n - size + 1
-        by_item.append((item_id, words.hash, kinds, count, size))
-        one = np.zeros(n, np.int64)
-        plain, at = tokens.windows(words.hash, one, tuple(range(size)), 1)
-        for h, q in zip(plain.tolist(), at.tolist(), strict=True):
-            lookup[size][h].append((k, q))
-        for kind, hashes in zip(kinds, token, strict=True):
-            literal = np.convolve(kind == WORD, np.ones(size, int), "valid")
-            template, at = tokens.windows(hashes, one, tuple(range(size)), 1)
-            for h, q in zip(template.tolist(), at.tolist(), strict=True):
-                if literal[q] >= min(LITERAL, size) and (not lookup[size].get(h) or (k, q) not in lookup[size][h]):
+        hashes, kinds, size, found = item
+        k, count = len(by_item), len(hashes) - size + 1
+        plain, at = found[0]
+        shared = np.zeros(count, bool)
+        shared[at] = np.isin(plain, common)
+        for template, at in found[1:]:
+            shared[at] |= np.isin(template, common)
+        if 2 * shared.sum() > count:  # an item of common windows is known by them
+            shared[:] = False
+        by_item.append((item_id, hashes, kinds, int(count - shared.sum()), size))
+        for found_hashes, at in found:
+            for h, q in zip(found_hashes.tolist(), at.tolist(), strict=True):
+                if not shared[q] and (not lookup[size].get(h) or (k, q) not in lookup[size][h]):
                     lookup[size][h].append((k, q))
     return {"items": by_item, "sizes": {s: (np.array(sorted(m), np.uint64), [m[h] for h in sorted(m)]) for s, m in lookup.items()}}
 
@@ -203,16 +243,17 @@ def matches(texts: list[bytes], bench: dict) -> list[tuple[int, int, int, int, i
 
 def _blocks(benchmark: DataFrame) -> Iterator[dict]:
     """Lookups of the items, a bounded block at a time."""
+    common = common_windows(benchmark)
     rows: list[tuple[int, str]] = []
     size = 0
     for r in benchmark.select("item_id", "text").toLocalIterator():
         rows.append((r["item_id"], r["text"]))
         size += len(r["text"] or "")
         if len(rows) == BLOCK_ITEMS or size > BLOCK_BYTES:
-            yield item_windows(rows)
+            yield item_windows(rows, common)
             rows, size = [], 0
     if rows:
-        yield item_windows(rows)
+        yield item_windows(rows, common)
 
 
 _OUT = "doc_id long, item_id long, n_windows long, n_matched long, n_slots long, n_changed long"
