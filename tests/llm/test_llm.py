@@ -501,3 +501,57 @@ def test_sources_are_ranked_in_ranges(spark):
     got = {r["source"]: r["rank"] for r in mixing._ranked(sums).collect()}
     assert got == {x: i for i, x in enumerate([*sorted(x for x in names if x is not None), None])}
     assert mixing._ranked(sums.limit(0)).count() == 0
+
+
+def test_one_key_opens_one_bucket_and_one_shard(spark, monkeypatch):
+    monkeypatch.setattr(tokenfiles, "SHARD_IDS", 300)
+    monkeypatch.setattr(tokenfiles, "BUCKET_KEYS", 8)
+    monkeypatch.setattr(tokenfiles, "GROUP_BUCKETS", 4)
+    path = scratch_path(spark, "t")
+    rows = [(3 * k, text(k, 20), "a") for k in range(200)] + [(None, "x", "a"), (30, "again", "a")]
+    tokenfiles.write(docs(spark, rows).repartition(4), path, tokenizer_path())
+    enc = Encoder(tokenizer_path())
+    opened = []
+    real = type(spark.read).parquet
+
+    def parquet(reader, *paths, **options):
+        df = real(reader, *paths, **options)
+        opened.append(df.inputFiles())
+        return df
+
+    monkeypatch.setattr(type(spark.read), "parquet", parquet)
+    for k in (0, 57, 597, -1, 5):
+        opened.clear()
+        got = tokenfiles.read_one(spark, path, k)
+        if k in (-1, 5):
+            assert got is None and len(opened) == 2
+        else:
+            assert got.tolist() == [*enc.whole(dict((i, t) for i, t, _ in rows if t != "again")[k]), 0]
+            assert [len(f) for f in opened] == [1, 1, 1]  # a folder's bucket count, the key's bucket, its shard
+    plan = tokenfiles.index_row(spark, path, 0).where("bucket = 3")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(bucket,3)" in plan
+    assert len(tokenfiles.index(spark, path).inputFiles()) > 3
+
+
+def test_a_preface_of_many_items_is_no_evidence(spark):
+    preface = text(70, 16)
+    items = [(k, f"{preface} {text(500 + k, 40)}") for k in range(200)]
+    bench = spark.createDataFrame([(k, t, "x") for k, t in items], "item_id long, text string, source string")
+    rows = [(k, f"{text(900 + k, 10)} {preface} {text(950 + k, 10)}", "a") for k in range(30)]
+    rows += [(100, f"some words {items[7][1]} more", "a"), (101, " ".join(items[9][1].split()[16:]), "a"), (102, " ".join(items[11][1].split()[20:34]), "a")]
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs(spark, rows), bench).collect()}
+    assert got == {(100, 7), (101, 9), (102, 11)}
+    assert sorted(r["doc_id"] for r in decontaminate.decontaminate(docs(spark, rows), bench).collect()) == list(range(30))
+    # copies of one item, however many, are still found: they are one text
+    many = spark.createDataFrame([(k, items[3][1], "x") for k in range(120)], "item_id long, text string, source string")
+    assert decontaminate.contaminated(docs(spark, [(1, items[3][1], "a")]), many).count() == 120
+    # items made of common windows only are known by them
+    same = spark.createDataFrame([(k, f"{preface} end{k}", "x") for k in range(120)], "item_id long, text string, source string")
+    assert decontaminate.contaminated(docs(spark, [(1, f"{preface} end5", "a")]), same).where("item_id = 5").count() == 1
+
+
+def test_redact_keeps_texts_with_their_spans(spark):
+    rows = [(k % 7, f"row {k} mail u{k}@site.org end", "a") for k in range(200)] + [(1, "row 5 mail u5@site.org end", "a")] * 3
+    out = pii.redact(docs(spark, rows).repartition(11)).collect()
+    assert collections.Counter((r["doc_id"], r["text"]) for r in out) == collections.Counter(
+        (i, re.sub(r"u\d+@site.org", "[email]", t)) for i, t, _ in rows)
