@@ -15,13 +15,14 @@ import functools
 import json
 import os
 import re
+from array import array
 
 import numpy as np
 
 from .common import keeps
 
 #: Pieces kept per worker: seen again, and seen once. A full part starts anew.
-CACHE_HOT, CACHE_NEW = 250_000, 100_000
+CACHE_HOT, CACHE_NEW = 250_000, 300_000
 #: Letters and numbers among the characters that the cached path accepts.
 _L, _N = "A-Za-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼½¾"
 _PLAIN = re.compile("[\t\n\r\x20-\x7e¡-¬®-ſ]*")
@@ -69,8 +70,8 @@ class Encoder:
             self.new.clear()
         at = [i for i, f in enumerate(found) if f is None]
         unknown = [p for p in dict.fromkeys(pieces[i] for i in at) if p not in self.new]
-        first = dict(zip(unknown, (np.array(e.ids, np.uint32).tobytes() for e in
-                                   self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)), strict=True))
+        encoded = self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)
+        first = {p: array("I", e.ids).tobytes() for p, e in zip(unknown, encoded, strict=True)}
         for i in at:
             p = pieces[i]
             ids = first.get(p)
