@@ -140,15 +140,29 @@ def test_lists_of_a_hot_session(spark):
 def test_repeated_users_do_not_repeat_sessions(spark):
     acts = make_actions(spark, HOT)
     again = [*USERS, user(1), user(1, age=31), user(2, age=None), (None, "x", "x", 30, "p", "c", "male")]
-    once = [user(1, age=31), *USERS[1:]]
-    assert rows(sessions.session_profile(acts, make_users(spark, again))) == rows(sessions.session_profile(acts, make_users(spark, once)))
-    assert rows(sessions.session_profile(acts, make_users(spark, again[::-1]))) == rows(sessions.session_profile(acts, make_users(spark, once)))
+    once = rows(sessions.session_profile(acts, make_users(spark, [user(1, age=31), *USERS[1:]])))
+    for order in (again, again[::-1]):
+        unique = sessions.one_row_per_user(make_users(spark, order))
+        assert rows(sessions.session_profile(acts, unique)) == once
     assert {tuple(r) for r in sessions.repeated_users(make_users(spark, again)).collect()} == {(1, 3), (2, 2)}
 
 
+def test_queries_and_reports_guard_the_users(spark, monkeypatch, tmp_path):
+    from visitlab.plans import reports
+    guarded = {n: rows(queries.REGISTRY[n](spark, SF_SMALL)) for n in ("session_filtered", "daily_length_stats")}
+    real = tables.user_info
+    monkeypatch.setattr(tables, "user_info", lambda spark, sf: real(spark, sf).union(real(spark, sf)))
+    for name, want in guarded.items():
+        assert rows(queries.REGISTRY[name](spark, SF_SMALL)) == want
+    acts = tables.visit_actions(spark, SF_SMALL, DEFAULT.start_date, DEFAULT.end_date)
+    reports.run_all(spark, acts, tables.user_info(spark, SF_SMALL), DEFAULT, reports.Sink(path=str(tmp_path)))
+    assert rows(spark.read.parquet(f"{tmp_path}/session_aggr_stat")) == rows(queries.REGISTRY["session_length_stats"](spark, SF_SMALL))
+
+
 def test_unique_users_add_no_exchange_on_the_shuffled_path(spark):
     with settings(spark, NO_BROADCAST):
-        plan = final_plan(sessions.session_profile(make_actions(spark, HOT), make_users(spark, USERS), lists=False))
+        users = sessions.one_row_per_user(make_users(spark, USERS))
+        plan = final_plan(sessions.session_profile(make_actions(spark, HOT), users, lists=False))
     assert sum("user_id" in k for k in exchanges(plan)) == 2  # sessions and users, once each
 
 

@@ -66,9 +66,9 @@ def merged_sessions(states: DataFrame) -> DataFrame:
 
 
 def merged_profile(states: DataFrame, users: DataFrame) -> DataFrame:
-    """Merged sessions with their user's attributes."""
-    return merged_sessions(states).join(
-        sessions.one_row_per_user(users.select(*sessions.USER_COLUMNS)), "user_id", "inner")
+    """Merged sessions with their user's attributes; ``users`` unique by ``user_id``
+    as for the session profile."""
+    return merged_sessions(states).join(users.select(*sessions.USER_COLUMNS), "user_id", "inner")
 
 
 def filtered(states: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:

@@ -120,13 +120,15 @@ def session_profile(actions: DataFrame, users: DataFrame,
                     params: TaskParams | None = None, lists: bool = True) -> DataFrame:
     """Session aggregates joined (inner) with the user attributes.
 
-    Sessions whose user is unknown drop out; repeated user rows do not repeat a
-    session (:func:`one_row_per_user`). The join strategy is left to AQE: the user
-    table is broadcast only when its measured size is under
-    ``spark.sql.autoBroadcastJoinThreshold``, otherwise both sides shuffle.
+    Sessions whose user is unknown drop out. ``users`` should be unique by
+    ``user_id``: this is the plain join, in which a repeated user row repeats its
+    sessions, and the queries and reports pass :func:`one_row_per_user`. The join
+    strategy is left to AQE: the user table is broadcast only when its measured
+    size is under ``spark.sql.autoBroadcastJoinThreshold``, otherwise both sides
+    shuffle.
     """
     agg = session_aggregate(actions, params, lists)
-    return agg.join(one_row_per_user(users.select(*USER_COLUMNS)), "user_id", "inner")
+    return agg.join(users.select(*USER_COLUMNS), "user_id", "inner")
 
 
 def session_predicate(params: TaskParams) -> Column | None:

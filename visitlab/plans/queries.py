@@ -39,10 +39,15 @@ def _actions(spark: SparkSession, sf_dir: str, p: TaskParams = DEFAULT) -> DataF
     return tables.visit_actions(spark, sf_dir, p.start_date, p.end_date)
 
 
+def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The users, one row each, so that no session is repeated by the join."""
+    return sessions.one_row_per_user(tables.user_info(spark, sf_dir))
+
+
 def _profile(spark: SparkSession, sf_dir: str, p: TaskParams = DEFAULT,
              lists: bool = False) -> DataFrame:
     """Session profiles; the keyword and category lists only where they are asked for."""
-    return sessions.session_profile(_actions(spark, sf_dir, p), tables.user_info(spark, sf_dir), p,
+    return sessions.session_profile(_actions(spark, sf_dir, p), _users(spark, sf_dir), p,
                                     lists)
 
 
@@ -201,12 +206,12 @@ def _bucketed_actions(spark, sf_dir):
 
 def bucketed_session_profile(spark, sf_dir):
     return _formatted(sessions.session_profile(_bucketed_actions(spark, sf_dir),
-                                               tables.user_info(spark, sf_dir), DEFAULT))
+                                               _users(spark, sf_dir), DEFAULT))
 
 
 def bucketed_filtered_actions(spark, sf_dir):
     actions = _bucketed_actions(spark, sf_dir)
-    kept = sessions.filtered_sessions(actions, tables.user_info(spark, sf_dir), DEFAULT, lists=False)
+    kept = sessions.filtered_sessions(actions, _users(spark, sf_dir), DEFAULT, lists=False)
     return sessions.filtered_actions(actions, kept).select(*tables.VISIT_COLUMNS)
 
 
@@ -223,14 +228,14 @@ def _stored_states(spark, sf_dir):
 
 def daily_length_stats(spark, sf_dir):
     """session_length_stats from stored daily states."""
-    kept = daily.filtered(_stored_states(spark, sf_dir), tables.user_info(spark, sf_dir), DEFAULT)
+    kept = daily.filtered(_stored_states(spark, sf_dir), _users(spark, sf_dir), DEFAULT)
     return metrics.length_stats(kept, TASK_ID)
 
 
 def daily_sessions_per_hour(spark, sf_dir):
     """sessions_per_hour from stored daily states."""
     return sampling.sessions_per_hour(daily.merged_profile(_stored_states(spark, sf_dir),
-                                                           tables.user_info(spark, sf_dir)))
+                                                           _users(spark, sf_dir)))
 
 
 def visit_log_rejects(spark, sf_dir):

@@ -105,8 +105,9 @@ def run_all(spark: SparkSession, actions: DataFrame, users: DataFrame, params: T
             sink: Sink) -> dict[str, DataFrame]:
     """Every report of one task run. The session profiles (with the filter
     flags the parameters need) are computed once and shared; the same pass over
-    the log counts what could not be read."""
+    the log counts what could not be read. Repeated user rows are reduced to one."""
     watched, seen = rejects.observed(actions)
+    users = sessions.one_row_per_user(users)
     profile = materialize(sessions.session_profile(watched, users, params), "session-profile")
     out = {"visit_log_rejects": rejects_report(spark, seen.get, params, sink),
            "session_aggr_stat": session_stat_report(profile, params, sink),
