@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from visitlab.llm import chat, decontaminate, mixing, neardup, pii, sharding, tokencounts, tokenfiles, tokens, topk, toxicity
 from visitlab.llm.common import configure, scratch_path
+from visitlab.llm.components import _least_of_each as least_of_each
 from visitlab.llm.components import components
 from visitlab.llm.encode import Encoder
 from visitlab.llm.queries import tokenizer_path
@@ -109,6 +110,17 @@ def test_components_of_a_chain(spark):
     assert {r["id"]: r["component"] for r in components(links).collect()} == {**{k: 0 for k in range(1, 41)}, 100: 90}
 
 
+def test_a_hub_is_dealt_over_parts(spark):
+    hub = [(1000, k) for k in range(1001, 1400)] + [(3, 1200), (3, 2), (1399, 5000)] + [(k, 7000) for k in range(6900, 7000)]
+    links = spark.createDataFrame(hub, "a long, b long")
+    want = {k: 2 for k in [3, 1000, *range(1001, 1400), 5000]} | {k: 6900 for k in range(6901, 7001)}
+    assert {r["id"]: r["component"] for r in components(links).collect()} == want
+    near = least_of_each(links.select(F.col("b").alias("u"), F.col("a").alias("v")).union(links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+    assert {r["m"] for r in near.where("u = 7000").collect()} == {6900} and near.where("u = 1000").count() == 399
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(u#" not in re.sub(r"hashpartitioning\(u#\d+L, part#\d+L", "", plan.split("SortMergeJoin")[0])
+
+
 def test_words_and_hashes():
     w = tokens.space_words([b"Ab c\x0bAB", b"", b"ab " + b"z" * 300])
     assert w.doc.tolist() == [0, 0, 0, 2, 2]
@@ -371,6 +383,23 @@ def test_pii_adds_wide_formats_that_read_like_validated_ones(spark):
     assert all(s.count(":") == 4 for s in (got[k] for k in range(300)))  # nothing added inside base spans
 
 
+def test_pii_adds_the_same_digits_by_their_context_alone(spark):
+    rng = np.random.default_rng(17)
+    digits = lambda n: "".join(map(str, rng.integers(0, 10, n)))
+    rows = [f"please dial +1 ({digits(3)}) {digits(3)}-{digits(4)} soon" for _ in range(300)]
+    rows += [f"batch {digits(6 + k % 5)} stored" for k in range(300)] + [f"shelf {digits(5)} stored" for k in range(100)]
+    at = len(rows)
+    same = ["5551 2345", "(212) 555-0187", "4111.1111.1111.1111"]
+    rows += [f"please dial {d} soon" for d in same] + [f"batch {d} stored" for d in same]
+    table = docs(spark, [(k, t, "a") for k, t in enumerate(rows)])
+    cands = pii.candidates(pii.proposals(table))
+    weight = dict(zip(pii.FEATURES, pii.trained(cands)[0].featureImportances.toArray()))
+    assert weight["odds_before"] + weight["odds_after"] > 0.5
+    answers = [{r["doc_id"]: r["spans"] for r in pii.summary(t).collect()} for t in (table, table.repartition(5))]
+    assert answers[0] == answers[1]
+    assert [answers[0][at + k] for k in range(6)] == ["phone:12:21", "phone:12:26", "card:12:31", "", "", ""]
+
+
 def test_top_k_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(topk, "CANDIDATES", 32)
     monkeypatch.setattr(topk, "QUERIES", 7)
