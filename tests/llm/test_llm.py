@@ -387,9 +387,9 @@ def test_pii_adds_the_same_digits_by_their_context_alone(spark):
     rng = np.random.default_rng(17)
     digits = lambda n: "".join(map(str, rng.integers(0, 10, n)))
     rows = [f"please dial +1 ({digits(3)}) {digits(3)}-{digits(4)} soon" for _ in range(300)]
-    rows += [f"batch {digits(6 + k % 5)} stored" for k in range(300)] + [f"shelf {digits(5)} stored" for k in range(100)]
+    rows += [f"batch {digits(5)} stored" if k % 5 == 0 else "batch {} stored".format("-".join([digits(5), "7", "8", digits(5)][:k % 5])) for k in range(400)]
     at = len(rows)
-    same = ["5551 2345", "(212) 555-0187", "4111.1111.1111.1111"]
+    same = ["5551 2345", "(212) 555-0187", "555.01.8734"]
     rows += [f"please dial {d} soon" for d in same] + [f"batch {d} stored" for d in same]
     table = docs(spark, [(k, t, "a") for k, t in enumerate(rows)])
     cands = pii.candidates(pii.proposals(table))
@@ -397,7 +397,7 @@ def test_pii_adds_the_same_digits_by_their_context_alone(spark):
     assert weight["odds_before"] + weight["odds_after"] > 0.5
     answers = [{r["doc_id"]: r["spans"] for r in pii.summary(t).collect()} for t in (table, table.repartition(5))]
     assert answers[0] == answers[1]
-    assert [answers[0][at + k] for k in range(6)] == ["phone:12:21", "phone:12:26", "card:12:31", "", "", ""]
+    assert [answers[0][at + k] for k in range(6)] == ["phone:12:21", "phone:12:26", "phone:12:23", "", "", ""]
 
 
 def test_top_k_equals_brute_force(spark, monkeypatch):
