@@ -439,11 +439,11 @@ def test_top_k_of_mass_ties_sends_k_rows_a_block(spark, monkeypatch):
     rows = [(k, [1.0, 2.0] if k % 2 else [float(k % 5), -1.0]) for k in range(1000)] + [(7, [1.0, 2.0])] * 30
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
     same = topk.integers(table)
-    q_ids = np.arange(0, 1000, 20)
-    q = np.array([[64 * (k % 5), -64] for k in q_ids.tolist()])
-    sent = spark.sparkContext.broadcast((q_ids, q, np.full(len(q), np.iinfo(np.int64).min // 2)))
-    blocks = 4 + 1030 // 512
-    assert same.mapInArrow(topk._collect(sent, 20), topk._HITS).count() <= len(q) * 20 * blocks < len(q) * 1030
+    cells = topk._write_packed(same, "cell", 512).drop("d")
+    queries = topk._write_packed(same.where("vec_id % 20 = 0").coalesce(1), "block", 4096).drop("d")
+    every = same.where("vec_id % 20 = 0").agg(F.collect_list(F.struct(F.col("vec_id").alias("query_id"), F.lit(None).cast("long").alias("t"))).alias("asked"))
+    pairs = cells.crossJoin(queries).crossJoin(every)  # one block, every query asks every cell
+    assert pairs.mapInArrow(topk._collect(20), topk._HITS).count() <= 50 * 20 * cells.count() < 50 * 1030
     got = collections.defaultdict(list)
     for r in topk.top_k(table).orderBy("query_id", "rank").collect():
         got[r["query_id"]].append((r["vec_id"], r["score"]))
@@ -454,6 +454,24 @@ def test_top_k_of_mass_ties_sends_k_rows_a_block(spark, monkeypatch):
             assert got[k] == [(i, -s) for s, i in want]
 
 
+def test_top_k_of_mixed_lengths_repeated_ids_and_large_products(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATES", 16)
+    monkeypatch.setattr(topk, "QUERIES", 3)
+    rng = np.random.default_rng(8)
+    rows = [(k % 180, [float(x) for x in rng.normal(size=4 if k % 3 else 6)]) for k in range(400)]
+    rows += [(k, [5e6, float(k)]) for k in range(2000, 2010)]  # products beyond exact floating point
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = collections.defaultdict(list)
+    for r in topk.top_k(table, k=3).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    v = [(k, [math.floor(64 * x) for x in e]) for k, e in rows]
+    asks = {k: min(e for i, e in v if i == k) for k, _ in v if k % 20 == 0}
+    for k, e in asks.items():
+        want = sorted(((-sum(a * b for a, b in zip(e, f)), i) for i, f in v if i != k and len(f) == len(e)))[:3]
+        assert got.pop(k) == [(i, -s) for s, i in want]
+    assert not got
+
+
 def test_ftrl_equals_the_update_written_out():
     """One pass of the per-coordinate update, feature by feature."""
     texts = [text(k, 12).encode() for k in range(30)]
