@@ -2,7 +2,7 @@
 
 A byte-level BPE file splits a text with a fixed pattern and merges inside each
 piece only, so the ids of a text are the ids of its pieces in order. Prose
-repeats its pieces: the library encodes a distinct piece once, and a bounded
+repeats its pieces: the library's model merges a distinct piece once, and a bounded
 cache per worker keeps the ids; pieces that came a second time stay longer. The cached path is taken only where the
 pattern is certain to split as the library does: plain ASCII and Latin
 characters, no special token in the text, and a tokenizer file with exactly that
@@ -30,6 +30,18 @@ _PLAIN = re.compile("[\t\n\r\x20-\x7e¡-¬®-ſ]*")
 _PIECES = re.compile(rf" ?[{_L}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+")
 
 
+def _byte_chars() -> dict[int, int]:
+    """The character of each byte in byte-level vocabularies: visible Latin-1
+    characters stand for themselves, the other bytes for those from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: 256 + n for n, b in enumerate(hidden)}
+
+
+_BYTE_CHARS = _byte_chars()
+_SPACE = chr(_BYTE_CHARS[32])
+
+
 class Encoder:
     """``ids(text)``: the ids as a numpy array of unsigned 32-bit integers."""
 
@@ -44,7 +56,7 @@ class Encoder:
         self.split = (isinstance(self.tokenizer.model, BPE) and self.tokenizer.normalizer is None and isinstance(pre, ByteLevel)
                       and not pre.add_prefix_space and json.loads(pre.__getstate__()).get("use_regex", True))
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces = _PIECES.findall
+        self.pieces, self.merge = _PIECES.findall, self.tokenizer.model.tokenize
         self.hot: dict[str, bytes] = {}
         self.new: dict[str, bytes] = {}
 
@@ -62,6 +74,14 @@ class Encoder:
             self._complete(pieces, found)
         return np.frombuffer(b"".join(found), np.uint32)
 
+    def _piece(self, piece: str) -> bytes:
+        """Ids of one piece by the library's model, which needs no second split."""
+        if piece.isascii() and piece.isprintable():
+            chars = piece.replace(" ", _SPACE)
+        else:
+            chars = piece.encode().decode("latin-1").translate(_BYTE_CHARS)
+        return array("I", [t.id for t in self.merge(chars)]).tobytes()
+
     def _complete(self, pieces: list[str], found: list[bytes | None]) -> None:
         """Fill in the pieces that the hot part does not know."""
         if len(self.hot) > CACHE_HOT:
@@ -70,8 +90,7 @@ class Encoder:
             self.new.clear()
         at = [i for i, f in enumerate(found) if f is None]
         unknown = [p for p in dict.fromkeys(pieces[i] for i in at) if p not in self.new]
-        encoded = self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)
-        first = {p: array("I", e.ids).tobytes() for p, e in zip(unknown, encoded, strict=True)}
+        first = {p: self._piece(p) for p in unknown}
         for i in at:
             p = pieces[i]
             ids = first.get(p)
