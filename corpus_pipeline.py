@@ -5,14 +5,22 @@ Toxic documents go, one document of each group of near-duplicates stays,
 documents with benchmark questions go, sources are mixed to target weights (a
 document may then occur twice), and the rest is written as token files, whose
 contents are the result: doc_id, start, n_tokens, ids_crc32.
+
+Defined results: all columns of the documents are kept, whatever their names, up
+to the last stage. A null or empty text is scored by the model's bias, resembles
+nothing, holds no question, has no words to mix and so is never drawn. Rows equal
+in doc_id and text are one document from the second stage on; texts that share a
+doc_id are documents of their own; rows with a null doc_id resemble nothing. An
+empty table stays empty.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from visitlab.llm import decontaminate, mixing, neardup, tokenfiles, toxicity
-from visitlab.llm.common import configure, materialize, scratch_path, table
+from visitlab.llm.common import configure, free_name, materialize, scratch_path, table
 from visitlab.llm.queries import tokenizer_path, training_labels
 
 
@@ -20,8 +28,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score under 0.5 (operator 8)."""
     configure(spark)
     model = toxicity.train(docs, training_labels(spark, sf_dir))
-    scored = toxicity.score_table(docs, model, "__toxicity")
-    return scored.where("__toxicity < 0.5").drop("__toxicity")
+    score = free_name(docs, "toxicity")
+    return toxicity.score_table(docs, model, score).where(F.col(score) < 0.5).drop(score)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
