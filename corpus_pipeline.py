@@ -8,7 +8,7 @@ contents are the result: doc_id, start, n_tokens, ids_crc32.
 
 Defined results: all columns of the documents are kept, whatever their names, up
 to the last stage. A null or empty text is scored by the model's bias, resembles
-nothing, holds no question, has no words to mix and so is never drawn. Rows equal
+nothing, holds no question, and is mixed like other rows but adds no words. Rows equal
 in doc_id and text are one document from the second stage on; texts that share a
 doc_id are documents of their own; rows with a null doc_id resemble nothing. An
 empty table stays empty.
