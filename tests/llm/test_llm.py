@@ -400,6 +400,24 @@ def test_pii_adds_the_same_digits_by_their_context_alone(spark):
     assert [answers[0][at + k] for k in range(6)] == ["phone:12:21", "phone:12:26", "phone:12:23", "", "", ""]
 
 
+def test_pii_learns_from_every_candidate(spark):
+    letters = lambda k: "".join(chr(97 + k // 26 ** i % 26) for i in range(4))
+    n, each = 21_000, 100
+    rows = [" ".join(f"{letters(k)} u{k}@site.org." for k in range(at, at + each)) for at in range(0, n, each)]
+    rows += [f"lot {1_000_000 + k} kept" for k in range(500)] + ["lot 1000007 kept"]
+    cands = pii.candidates(pii.proposals(docs(spark, [(k, t, "a") for k, t in enumerate(rows)])))
+    examples = pii._context(pii._examples(cands)).cache()
+    # every distinct candidate, once
+    assert {r["label"]: r["count"] for r in examples.groupBy("label").count().collect()} == {1.0: n, 0.0: 500}
+    model, odds, floors = pii.trained(cands)
+    told = {r["word_before"] for r in examples.where("part < 2 and label = 1").select("word_before").collect()}
+    assert {r["word"] for r in odds.where("side = 'before'").collect()} == told | {"lot"}
+    weighted = pii._weighted(pii._with_odds(examples.where("part >= 2"), odds))
+    known = {r["held"]: r["sum(weight)"] for r in weighted.groupBy("held").sum("weight").collect()}
+    assert known == {h: 2 * examples.where(f"part {p}").count() for h, p in [(False, "in (2, 3)"), (True, "= 4")]}
+    assert weighted.count() < 100 and model.getNumTrees == pii.TREES and all(0 <= x <= 1 for x in floors.values())
+
+
 def test_top_k_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(topk, "CANDIDATES", 32)
     monkeypatch.setattr(topk, "QUERIES", 7)

@@ -11,17 +11,19 @@ DataFrame functions and Spark's own boosted trees, no Python per row.
   domain, eight parts, Luhn, digit count and neither a date nor a dotted quad).
 * Boosted trees score every candidate by format and context: its kind, its groups of
   digits, letters, digits and marks next to it, announcing words, and how often the
-  words before and after it stand next to personal data in the sample. What the
+  words before and after it stand next to personal data. What the
   validators read (digit counts, check digits, ranges) decides labels only and is no
   feature. Learnt as personal: base spans that pass their validator, a phone number
   also without its country and its area, a card number also in four groups. Learnt as not
   personal: candidates that fail and overlap nothing that passes, a number for each
   kind whose count of digits it has. Wide proposals that pass are in neither class:
   they are what is asked for.
-* The sample is bounded (distinct candidates with the smallest hash of content
-  and context, so it does not depend on the partitioning) and in three parts: two
-  fifths give the words' odds, two fifths grow the trees, one fifth calibrates; the
-  latter two hold each candidate also with its words unknown. The threshold of a
+* Every distinct labelled candidate is learnt from. By a hash of content and context
+  (so not by the partitioning) each has one part: two fifths give the words' odds,
+  two fifths grow the trees, one fifth calibrates; the latter two hold each candidate
+  also with its words unknown. Odds are in steps of 1 / ``FINE``, so that the trees and
+  thresholds read each combination of features once, weighted by its number of
+  candidates: that table does not grow with the input. The threshold of a
   kind keeps ``KEPT`` of the calibration's validated candidates (of all kinds, where
   it has none of this one). It is set on recall, as the validators have already
   rejected every look-alike of which the label is known. Wide proposals that pass
@@ -33,7 +35,7 @@ sign skip them.
 
 Defined results: spans are code points, end exclusive, of the whole text; a null
 or empty text has none; repeated rows each get their result; without both
-classes in the sample (or without candidates) nothing is added. Extra columns are
+classes among the labelled candidates (or without any) nothing is added. Extra columns are
 ignored.
 """
 
@@ -48,10 +50,12 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 KINDS = ("email", "ip", "card", "phone")
-#: Most candidates that training and calibration read: those with the smallest hash.
-#: The table of words is bounded by it as well.
-SAMPLE = 20_000
 TREES, DEPTH, STEP = 12, 3, 0.3
+#: Steps in one unit of a word's odds, and the largest odds.
+FINE, MOST = 4, 8.0
+#: Every value of a feature may become a split. Spark looks for splits in all rows up to
+#: the square of it, which is more than there are combinations of features.
+BINS = 2048
 #: Share of the validated candidates of a kind that its threshold keeps.
 KEPT = 0.98
 #: Code points of context on each side.
@@ -157,13 +161,13 @@ def candidates(found: DataFrame) -> DataFrame:
 def _examples(cands: DataFrame) -> DataFrame:
     """Candidates with a label: 1 for validated base spans, 0 for those that fail
     their validator and overlap nothing that passes one. Equal ones once; ``part``
-    (0 to 4) and the order of the sample come from their content and context."""
+    (0 to 4) comes from their content and context."""
     row = Window.partitionBy("row").orderBy("start", "end", "generator")
     passed = lambda c: F.when(F.col("valid"), F.col(c))
     before = F.max(passed("end")).over(row.rowsBetween(Window.unboundedPreceding, -1))
     after = F.min(passed("start")).over(row.rowsBetween(1, Window.unboundedFollowing))
     covered = F.coalesce(before > F.col("start"), F.lit(False)) | F.coalesce(after < F.col("end"), F.lit(False))
-    order = F.xxhash64("generator", "hit", "left", "right", F.lit(5))
+    own = F.xxhash64("generator", "hit", "left", "right", F.lit(5))
     known = cands.withColumn("covered", covered).where("(base and valid) or not (valid or covered)")
     n, groups, kind = F.length("digits"), F.col("groups"), F.col("kind")
     form = lambda kind, groups: F.struct(kind.alias("kind"), groups.alias("groups"))
@@ -173,9 +177,9 @@ def _examples(cands: DataFrame) -> DataFrame:
              .when(F.col("valid") | (F.col("generator") != "card"), F.array(form(kind, groups)))
              .when(n.between(15, 19), F.array(form(kind, groups))).when(n.between(13, 14), F.array(form(kind, groups), form(F.lit("phone"), groups)))
              .when(n.between(6, 12), F.array(form(F.lit("phone"), groups))))
-    known = known.select(F.posexplode(forms).alias("form", "as"), "left", "right", F.col("valid").cast("double").alias("label"), order.alias("o"))
-    known = known.select("as.kind", "as.groups", "form", "left", "right", "label", "o").dropDuplicates(["o", "form"])
-    return known.orderBy("o", "form").limit(SAMPLE).withColumn("part", F.pmod("o", F.lit(5)))
+    known = known.select(F.posexplode(forms).alias("form", "as"), "left", "right", F.col("valid").cast("double").alias("label"), own.alias("o"))
+    known = known.select("as.kind", "as.groups", "form", "left", "right", "label", "o").distinct()
+    return known.withColumn("part", F.pmod("o", F.lit(5)))
 
 
 def _context(rows: DataFrame) -> DataFrame:
@@ -193,38 +197,48 @@ def _context(rows: DataFrame) -> DataFrame:
 
 def _word_odds(examples: DataFrame) -> DataFrame:
     """(side, word, odds): the logarithm of how much oftener a word stands there
-    next to personal data than next to other numbers. At most two rows an example."""
+    next to personal data than next to other numbers, in steps of 1 / ``FINE``. As many
+    rows as there are words: join it by the word, not by a broadcast."""
     sides = F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.col(f"word_{s}").alias("word")) for s in ("before", "after")]))
     counts = examples.select(sides.alias("w"), "label").groupBy("w.side", "w.word").agg(F.sum("label").alias("good"), F.sum(1 - F.col("label")).alias("bad"))
     sums = counts.groupBy("side").agg(F.sum("good").alias("all_good"), F.sum("bad").alias("all_bad"))
     odds = F.log((F.col("good") + 1) / (F.col("all_good") + 2)) - F.log((F.col("bad") + 1) / (F.col("all_bad") + 2))
-    return counts.join(F.broadcast(sums), "side").select("side", "word", odds.alias("odds"))
+    stepped = F.greatest(F.least(F.round(odds * FINE) / FINE, F.lit(MOST)), F.lit(-MOST))
+    return counts.join(F.broadcast(sums), "side").select("side", "word", stepped.alias("odds"))
 
 
 def _with_odds(rows: DataFrame, odds: DataFrame) -> DataFrame:
-    """``rows`` with the odds of their words; 0 for a word that the sample lacks."""
+    """``rows`` with the odds of their words; 0 for a word without."""
     for side in ("before", "after"):
         known = odds.where(F.col("side") == side).select(F.col("word").alias(f"word_{side}"), F.col("odds").alias(f"odds_{side}"))
-        rows = rows.join(F.broadcast(known), f"word_{side}", "left").withColumn(f"odds_{side}", F.coalesce(f"odds_{side}", F.lit(0.0)))
+        rows = rows.join(known.hint("merge"), f"word_{side}", "left").withColumn(f"odds_{side}", F.coalesce(f"odds_{side}", F.lit(0.0)))
     return rows
 
 
+def _weighted(examples: DataFrame) -> DataFrame:
+    """Combinations of held (the part that calibrates), kind, label and features, each with
+    its number of examples as ``weight``. Each example counts with its words' odds and
+    with its words unknown."""
+    words = {f: F.when(F.col("told"), F.col(f)).otherwise(F.lit(0.0)) for f in ("odds_before", "odds_after")}
+    both = examples.withColumn("told", F.explode(F.array(F.lit(True), F.lit(False)))).withColumns(words)
+    return both.groupBy((F.col("part") == 4).alias("held"), "kind", "label", *FEATURES).agg(F.count("*").alias("weight"))
+
+
 def trained(cands: DataFrame) -> tuple[GBTClassificationModel, DataFrame, dict[str, float]] | None:
     """The trees, the words' odds and the calibrated threshold of every kind; None
     if there is nothing to learn from."""
-    sample = materialize(_context(_examples(cands)).drop("left", "right"), "pii-sample")
-    classes = {(r["part"], r["label"]) for r in sample.select("part", "label").distinct().collect()}  # at most ten rows
+    examples = materialize(_context(_examples(cands)).drop("left", "right"), "pii-examples")
+    classes = {(r["part"], r["label"]) for r in examples.select("part", "label").distinct().collect()}  # at most ten rows
     has = lambda parts, label: any((p, label) in classes for p in parts)
     if not (has((2, 3), 0.0) and has((2, 3), 1.0) and has((4,), 1.0)):
         return None
-    odds = materialize(_word_odds(sample.where("part < 2")), "pii-words")
-    told = _with_odds(sample.where("part >= 2"), odds).withColumn("told", F.lit(1))
-    untold = told.withColumns({"odds_before": F.lit(0.0), "odds_after": F.lit(0.0), "told": F.lit(0)})
-    vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(told.unionByName(untold))
-    grown = vectors.where("part < 4").orderBy("o", "form", "told").select("features", "label")
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=5, maxBins=32).fit(grown)
-    held = model.transform(vectors.where("part = 4 and label = 1")).select("kind", _score().alias("score"))
-    floor = (F.floor(F.percentile("score", F.lit(1 - KEPT)) * 100) / 100).alias("floor")
+    odds = materialize(_word_odds(examples.where("part < 2")), "pii-words")
+    vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(
+        materialize(_weighted(_with_odds(examples.where("part >= 2"), odds)), "pii-vectors"))
+    grown = vectors.where("not held").orderBy("label", *FEATURES).select("features", "label", "weight")
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=5, maxBins=BINS, weightCol="weight").fit(grown)
+    held = model.transform(vectors.where("held and label = 1")).select("kind", "weight", _score().alias("score"))
+    floor = (F.floor(F.percentile("score", F.lit(1 - KEPT), F.col("weight")) * 100) / 100).alias("floor")
     known = {r["kind"]: r["floor"] for r in held.rollup("kind").agg(floor).collect()}  # at most five rows
     return model, odds, {k: known.get(k, known[None]) for k in KINDS}
 
