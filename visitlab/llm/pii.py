@@ -52,10 +52,10 @@ from .common import materialize
 KINDS = ("email", "ip", "card", "phone")
 TREES, DEPTH, STEP = 12, 3, 0.3
 #: Steps in one unit of a word's odds, and the largest odds.
-FINE, MOST = 4, 8.0
+FINE, MOST = 16, 8.0
 #: Every value of a feature may become a split. Spark looks for splits in all rows up to
 #: the square of it, which is more than there are combinations of features.
-BINS = 2048
+BINS = 8192
 #: Share of the validated candidates of a kind that its threshold keeps.
 KEPT = 0.98
 #: Code points of context on each side.
